@@ -132,22 +132,22 @@ def explode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumn("value", F.col("value").cast("double"))
 
 
-_ALL_TYPES = {
-    "long_col": F.col("l_orderkey"),
-    "int_col": F.col("l_linenumber"),
-    "float_col": F.col("l_linenumber").cast("float"),
-    "double_col": F.col("l_extendedprice"),
-    "date_col": F.col("l_shipdate").cast("date"),
-    "timestamp_col": F.col("l_shipdate").cast("timestamp"),
-    "string_col": F.col("l_returnflag"),
-    "boolean_col": F.col("l_quantity") > 25,
-    "binary_col": F.col("l_linestatus").cast("binary"),
-    "byte_col": F.col("l_linenumber").cast("byte"),
-    "decimal_col": F.col("l_discount").cast("decimal(10,2)"),
-    "short_col": F.col("l_linenumber").cast("short"),
-    "map_col": F.create_map(F.col("l_orderkey"), F.col("l_discount").cast("decimal(10,2)")),
-    "array_col": F.array("l_orderkey", "l_partkey"),
-}
+_ALL_TYPES = (
+    "l_orderkey as long_col",
+    "l_linenumber as int_col",
+    "cast(l_linenumber as float) as float_col",
+    "l_extendedprice as double_col",
+    "cast(l_shipdate as date) as date_col",
+    "cast(l_shipdate as timestamp) as timestamp_col",
+    "l_returnflag as string_col",
+    "l_quantity > 25 as boolean_col",
+    "cast(l_linestatus as binary) as binary_col",
+    "cast(l_linenumber as byte) as byte_col",
+    "cast(l_discount as decimal(10,2)) as decimal_col",
+    "cast(l_linenumber as short) as short_col",
+    "map(l_orderkey, cast(l_discount as decimal(10,2))) as map_col",
+    "array(l_orderkey, l_partkey) as array_col",
+)
 
 
 @query(
@@ -162,7 +162,7 @@ _ALL_TYPES = {
     """
 )
 def all_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = given(spark, sf_dir, "lineitem").select(*[c.alias(n) for n, c in _ALL_TYPES.items()])
+    rows = given(spark, sf_dir, "lineitem").selectExpr(*_ALL_TYPES)
     rows = rows.withColumn("struct_col", F.struct("map_col", "array_col"))
     stored = _loaded(spark, rows, "all_types", nested="native", partition_by=["int_col"]).read()
     return stored.select(
