@@ -1,12 +1,13 @@
-"""Conversion of one column to a canonical type.
+"""Conversion of one column to a canonical type, as SQL expressions.
 
-``convert`` gives null where a value has no form in the target type; what then happens (null, the
-type's zero value, failure) is the caller's choice, see ``with_policy``.
+``convert`` gives null where a value has no form in the target type; what then happens (null, the type's
+zero value, failure) is the caller's choice, see ``with_policy``. Expressions are SQL text: a wide table is
+planned with one call per column, which matters for streams that plan every batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession, functions as F, types as T
+from pyspark.sql import SparkSession, types as T
 
 from tableload.functions.types import ColSchema, stored_type
 from tableload.session import is_utc
@@ -24,197 +25,204 @@ INT_RANGE = {
 }
 
 # Accepted words of a boolean.
-TRUE_WORDS = ["1", "t", "T", "TRUE", "true", "True"]
-FALSE_WORDS = ["0", "f", "F", "FALSE", "false", "False"]
+TRUE_WORDS = ("1", "t", "T", "TRUE", "true", "True")
+FALSE_WORDS = ("0", "f", "F", "FALSE", "false", "False")
 
 # Accepted text forms.
-INT_TEXT = r"^[+-]?[0-9]+(\.0*)?$"
-FLOAT_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-FLOAT_WORD = r"^(?i)([+-]?inf|[+-]?infinity|nan)$"
-DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-ZONED_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
-CLOCK_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?$"
+INT_TEXT = "^[+-]?[0-9]+([.]0*)?$"
+FLOAT_TEXT = "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+FLOAT_WORD = "^(?i)([+-]?inf|[+-]?infinity|nan)$"
+DATE_TEXT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+ZONED_TEXT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
+CLOCK_TEXT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?$"
 
 # timestamp_millis fails above the range of microseconds in a long
 MAX_MILLIS = (2**63 - 1) // 1000
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NUMERIC = (*_WHOLE, T.FloatType, T.DoubleType, T.DecimalType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
+_TIMES = "'DATE', 'TIMESTAMP', 'TIMESTAMP_NTZ'"
+_TIME_KINDS = ("date", "datetime", "timestamp")
+_FLOAT_KINDS = ("float32", "float64")
 
 
-def try_cast(col: Column, dtype: T.DataType | str) -> Column:
-    return col.try_cast(dtype)
+def name_sql(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def convert(col: Column, src: T.DataType, target: ColSchema) -> Column:
-    """``col`` of Spark type ``src`` as the stored type of ``target``; null where that fails."""
+def text_sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def type_sql(dtype: T.DataType) -> str:
+    return dtype.simpleString()
+
+
+def no_value(dtype: T.DataType) -> str:
+    return f"cast(null as {type_sql(dtype)})"
+
+
+def convert(x: str, src: T.DataType, target: ColSchema) -> str:
+    """``x`` of Spark type ``src`` as the stored type of ``target``; null where that fails."""
     out = stored_type(target)
     if target.native is not None:
-        return col if src == target.native else _to_native(col, src, target.native)
+        return x if src == target.native else _to_native(x, src, target.native)
     kind = target.data_type
     if isinstance(src, T.VariantType):
-        return _from_variant(col, target)
+        return _from_variant(x, target)
     if isinstance(src, T.NullType):
-        return F.lit(None).cast(out)
+        return no_value(out)
     if kind in INT_RANGE:
-        return _to_int(col, src, kind, out)
-    if kind in ("float32", "float64"):
-        return _to_float(col, src, out)
+        return _to_int(x, src, kind, out)
+    if kind in _FLOAT_KINDS:
+        return _to_float(x, src, out)
     if kind == "bytes":
-        return col if isinstance(src, T.BinaryType) else F.lit(None).cast(out)
+        return x if isinstance(src, T.BinaryType) else no_value(out)
     if kind == "boolean":
-        return _to_bool(col, src)
+        return _to_bool(x, src)
     if kind == "date":
-        return _to_date(col, src)
-    if kind in ("datetime", "timestamp"):
-        return _to_timestamp(col, src)
+        return _to_date(x, src)
+    if kind in _TIME_KINDS:
+        return _to_timestamp(x, src)
     if kind == "any":
-        return to_json_text(col, src)
-    return to_text(col, src)
-
+        return to_json_text(x, src)
+    return to_text(x, src)
 
-def _no_value(out: T.DataType) -> Column:
-    return F.lit(None).cast(out)
 
-
-def _to_native(col: Column, src: T.DataType, native: T.DataType) -> Column:
+def _to_native(x: str, src: T.DataType, native: T.DataType) -> str:
     """Targets outside the canonical list: numbers and zone-less times are cast, the rest has no rule."""
     if isinstance(src, T.VariantType):
-        return F.try_variant_get(col, "$", native.simpleString())
-    if isinstance(native, T.DecimalType) and isinstance(src, _NUMERIC + (T.StringType,)):
-        return try_cast(col, native)
+        return f"try_variant_get({x}, '$', '{type_sql(native)}')"
+    if isinstance(native, T.DecimalType) and isinstance(src, (*_NUMERIC, T.StringType)):
+        return f"try_cast({x} as {type_sql(native)})"
     if isinstance(native, T.TimestampNTZType):
         if isinstance(src, (T.DateType, T.TimestampType)):
-            return col.cast(native)
+            return f"cast({x} as timestamp_ntz)"
         if isinstance(src, T.StringType):
-            return F.when(col.rlike(CLOCK_TEXT) | col.rlike(DATE_TEXT), try_cast(col, native))
-    return _no_value(native)
+            return f"case when {x} rlike '{CLOCK_TEXT}' or {x} rlike '{DATE_TEXT}' then try_cast({x} as timestamp_ntz) end"
+    return no_value(native)
 
 
-def _to_int(col: Column, src: T.DataType, kind: str, out: T.DataType) -> Column:
-    low, high = INT_RANGE[kind]
+def _to_int(x: str, src: T.DataType, kind: str, out: T.DataType) -> str:
+    if isinstance(src, T.BooleanType):
+        return f"cast(cast({x} as int) as {type_sql(out)})"
     if isinstance(src, T.StringType):
-        value = F.when(col.rlike(INT_TEXT), try_cast(F.substring_index(col, ".", 1), "bigint"))
-    elif isinstance(src, T.BooleanType):
-        return col.cast("int").cast(out)
+        value = f"case when {x} rlike '{INT_TEXT}' then try_cast(substring_index({x}, '.', 1) as bigint) end"
     elif isinstance(src, _NUMERIC):
-        value = try_cast(col, "bigint")
+        value = f"try_cast({x} as bigint)"
     else:
-        return _no_value(out)
+        return no_value(out)
     if kind == "int64":
         return value
-    return F.when(value.between(low, high), value).try_cast(out)
+    low, high = INT_RANGE[kind]
+    return f"try_cast(case when {value} between {low} and {high} then {value} end as {type_sql(out)})"
 
 
-def _to_float(col: Column, src: T.DataType, out: T.DataType) -> Column:
+def _to_float(x: str, src: T.DataType, out: T.DataType) -> str:
+    number = f"try_cast({x} as {type_sql(out)})"
     if isinstance(src, T.StringType):
-        number = try_cast(col, out)
-        finite = F.when(~F.isnan(number) & (F.abs(number) != F.lit(float("inf")).cast(out)), number)
-        return F.when(col.rlike(FLOAT_TEXT), finite).when(col.rlike(FLOAT_WORD), number)
+        finite = f"case when abs({number}) <> {type_sql(out)}('Infinity') then {number} end"
+        return f"case when {x} rlike '{FLOAT_TEXT}' then {finite} when {x} rlike '{FLOAT_WORD}' then {number} end"
     if isinstance(src, T.BooleanType):
-        return col.cast("int").cast(out)
-    if isinstance(src, _NUMERIC):
-        return try_cast(col, out)
-    return _no_value(out)
+        return f"cast(cast({x} as int) as {type_sql(out)})"
+    return number if isinstance(src, _NUMERIC) else no_value(out)
 
 
-def _to_bool(col: Column, src: T.DataType) -> Column:
+def _to_bool(x: str, src: T.DataType) -> str:
     if isinstance(src, T.BooleanType):
-        return col
+        return x
     if isinstance(src, T.StringType):
-        return F.when(col.isin(TRUE_WORDS), F.lit(True)).when(col.isin(FALSE_WORDS), F.lit(False))
-    if isinstance(src, _NUMERIC):
-        return col != F.lit(0)
-    return _no_value(T.BooleanType())
+        return f"case when {x} in {TRUE_WORDS} then true when {x} in {FALSE_WORDS} then false end"
+    return f"{x} <> 0" if isinstance(src, _NUMERIC) else no_value(T.BooleanType())
 
 
-def _to_date(col: Column, src: T.DataType) -> Column:
+def _to_date(x: str, src: T.DataType) -> str:
     if isinstance(src, T.DateType):
-        return col
+        return x
     if isinstance(src, T.TimestampNTZType):
-        return col.cast("date")
+        return f"cast({x} as date)"
     if isinstance(src, T.TimestampType):
-        return F.date_from_unix_date(F.floor(F.unix_seconds(col) / F.lit(86400)).cast("int"))
+        return f"date_from_unix_date(cast(floor(unix_seconds({x}) / 86400) as int))"
     if isinstance(src, _WHOLE):
-        return F.date_from_unix_date(try_cast(col, "int"))
+        return f"date_from_unix_date(try_cast({x} as int))"
     if isinstance(src, T.StringType):
-        return F.when(col.rlike(DATE_TEXT), try_cast(col, "date"))
-    return _no_value(T.DateType())
+        return f"case when {x} rlike '{DATE_TEXT}' then try_cast({x} as date) end"
+    return no_value(T.DateType())
 
 
-def _to_timestamp(col: Column, src: T.DataType) -> Column:
+def _to_timestamp(x: str, src: T.DataType) -> str:
     if isinstance(src, T.TimestampType):
-        return col
+        return x
     if isinstance(src, T.TimestampNTZType):
         spark = SparkSession.getActiveSession()
         if spark is not None and is_utc(spark):
-            return col.cast("timestamp")
-        return try_cast(F.concat(col.cast("string"), F.lit("Z")), "timestamp")
+            return f"cast({x} as timestamp)"
+        return f"try_cast(concat(cast({x} as string), 'Z') as timestamp)"
     if isinstance(src, T.DateType):
-        return F.timestamp_seconds(F.unix_date(col).cast("bigint") * F.lit(86400))
+        return f"timestamp_seconds(unix_date({x}) * 86400L)"
     if isinstance(src, _WHOLE):
-        millis = col.cast("bigint")
-        return F.timestamp_millis(F.when(millis.between(-MAX_MILLIS, MAX_MILLIS), millis))
+        return f"timestamp_millis(case when {x} between -{MAX_MILLIS} and {MAX_MILLIS} then cast({x} as bigint) end)"
     if isinstance(src, T.StringType):
-        utc = F.when(col.rlike(CLOCK_TEXT), F.concat(col, F.lit("Z")))
-        utc = utc.when(col.rlike(DATE_TEXT), F.concat(col, F.lit(" 00:00:00Z")))
-        return try_cast(utc.when(col.rlike(ZONED_TEXT), col), "timestamp")
-    return _no_value(T.TimestampType())
+        utc = (
+            f"case when {x} rlike '{CLOCK_TEXT}' then concat({x}, 'Z') "
+            f"when {x} rlike '{DATE_TEXT}' then concat({x}, ' 00:00:00Z') when {x} rlike '{ZONED_TEXT}' then {x} end"
+        )
+        return f"try_cast({utc} as timestamp)"
+    return no_value(T.TimestampType())
 
 
-def number_text(col: Column) -> Column:
+def number_text(x: str) -> str:
     """A float or double as plain decimal text: no exponent, no ``.0``, ``+Inf`` / ``-Inf`` / ``NaN``."""
-    text = col.cast("string")
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    whole = F.regexp_extract(text, r"^-?([0-9]+)", 1)
-    frac = F.regexp_replace(F.regexp_extract(text, r"\.([0-9]+)", 1), r"0+$", "")
-    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
-    digits = F.concat(whole, frac)
-    large = F.when(
-        F.length(frac) <= power, F.concat(digits, F.repeat(F.lit("0"), power - F.length(frac)))
-    ).otherwise(F.concat(F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2)))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    plain = F.when(frac == "", F.concat(sign, whole)).otherwise(F.concat(sign, whole, F.lit("."), frac))
-    return (
-        F.when(F.isnan(col), F.lit("NaN"))
-        .when(text == "Infinity", F.lit("+Inf"))
-        .when(text == "-Infinity", F.lit("-Inf"))
-        .when(~text.contains("E"), plain)
-        .when(power >= 0, F.concat(sign, large))
-        .otherwise(F.concat(sign, small))
+    text = f"cast({x} as string)"
+    plain = f"case when endswith({text}, '.0') then substr({text}, 1, length({text}) - 2) else {text} end"
+    # the other forms are rare; as a lambda they stay out of the compiled row loop
+    sign = "if(startswith(t, '-'), '-', '')"
+    power = "try_cast(regexp_extract(t, 'E(-?[0-9]+)$', 1) as int)"
+    frac = "regexp_replace(regexp_extract(t, '[.]([0-9]+)', 1), '0+$', '')"
+    digits = f"concat(regexp_extract(t, '^-?([0-9]+)', 1), {frac})"
+    large = (
+        f"if(length({frac}) <= {power}, concat({digits}, repeat('0', {power} - length({frac}))), "
+        f"concat(substr({digits}, 1, {power} + 1), '.', substr({digits}, {power} + 2)))"
+    )
+    small = f"concat('0.', repeat('0', -{power} - 1), {digits})"
+    spelled = (
+        f"case t when 'Infinity' then '+Inf' when '-Infinity' then '-Inf' when 'NaN' then t "
+        f"else concat({sign}, if({power} >= 0, {large}, {small})) end"
     )
+    unusual = f"get(transform(array({text}), t -> {spelled}), 0)"
+    return f"case when abs({x}) >= 1e-3 and abs({x}) < 1e7 or {x} = 0 then {plain} when {x} is not null then {unusual} end"
 
 
-def to_text(col: Column, src: T.DataType) -> Column:
+def to_text(x: str, src: T.DataType) -> str:
     if isinstance(src, T.StringType):
-        return col
+        return x
     if isinstance(src, (T.FloatType, T.DoubleType)):
-        return F.when(col.isNotNull(), number_text(col))
-    if isinstance(src, _NESTED):
-        return to_json_text(col, src)
-    return col.cast("string")
+        return number_text(x)
+    if isinstance(src, (*_NESTED, T.VariantType)):
+        return to_json_text(x, src)
+    return f"cast({x} as string)"
 
 
-def to_json_text(col: Column, src: T.DataType) -> Column:
+def to_json_text(x: str, src: T.DataType) -> str:
     """JSON encoding of any value; null members are kept, a null value stays null."""
     if isinstance(src, _NESTED):
-        return F.to_json(col, {"ignoreNullFields": "false"})
+        return f"to_json({x}, map('ignoreNullFields', 'false'))"
     if isinstance(src, T.VariantType):
-        return F.to_json(col)
-    if isinstance(src, _WHOLE + (T.BooleanType,)):
-        return col.cast("string")
-    wrapped = F.to_json(F.array(col), {"ignoreNullFields": "false"})
-    return F.when(col.isNotNull(), F.substr(wrapped, F.lit(2), F.length(wrapped) - 2))
+        return f"to_json({x})"
+    if isinstance(src, (*_WHOLE, T.BooleanType)):
+        return f"cast({x} as string)"
+    wrapped = f"to_json(array({x}), map('ignoreNullFields', 'false'))"
+    return f"case when {x} is not null then substr({wrapped}, 2, length({wrapped}) - 2) end"
 
 
-def to_variant(col: Column, src: T.DataType) -> Column:
+def to_variant(x: str, src: T.DataType) -> str:
     """Any value as a variant; types without a direct cast go through their JSON text."""
     if isinstance(src, T.VariantType):
-        return col
+        return x
     if _holds_map(src):
-        return F.try_parse_json(to_json_text(col, src))
-    return col.cast("variant")
+        return f"try_parse_json({to_json_text(x, src)})"
+    return f"cast({x} as variant)"
 
 
 def _holds_map(dtype: T.DataType) -> bool:
@@ -227,76 +235,85 @@ def _holds_map(dtype: T.DataType) -> bool:
     return False
 
 
-def _from_variant(col: Column, target: ColSchema) -> Column:
-    """A variant is converted by the rule of the type it holds."""
+def _from_variant(x: str, target: ColSchema) -> str:
+    """A variant is converted by the rule of the type it holds.
+
+    Few branches per column: tables are wide, and the row loop must stay small enough to be compiled.
+    """
     out = stored_type(target)
-    held = F.schema_of_variant(col)
-    if target.data_type == "any":
-        return F.when(held != "VOID", F.to_json(col))
+    kind = target.data_type
+    held = f"schema_of_variant({x})"
 
-    def held_as(spark_type: T.DataType) -> Column:
-        return convert(F.try_variant_get(col, "$", spark_type.simpleString()), spark_type, target)
+    def get(dtype: T.DataType) -> str:
+        return f"try_variant_get({x}, '$', '{type_sql(dtype)}')"
 
-    if target.data_type in ("string", "interval"):
-        nested = held.startswith("OBJECT") | held.startswith("ARRAY")
-        floating = held.isin("DOUBLE", "FLOAT")
+    def rule(dtype: T.DataType) -> str:
+        return convert(get(dtype), dtype, target)
+
+    text = T.StringType()
+    if kind == "any":
+        return f"case when {held} <> 'VOID' then to_json({x}) end"
+    if kind == "bytes":
+        return f"case when {held} = 'BINARY' then {get(out)} end"
+    if isinstance(out, T.StringType):
+        nested = f"startswith({held}, 'OBJECT') or startswith({held}, 'ARRAY')"
+        number = number_text(get(T.DoubleType()))
         return (
-            F.when(nested, F.to_json(col))
-            .when(floating, held_as(T.DoubleType()))
-            .otherwise(F.try_variant_get(col, "$", "string"))
+            f"case when {held} = 'STRING' then {get(text)} when {held} in ('DOUBLE', 'FLOAT') then {number} "
+            f"when {nested} then to_json({x}) else {get(text)} end"
         )
-    value = F.when(held == "STRING", held_as(T.StringType())).when(held == "BIGINT", held_as(T.LongType()))
-    value = value.when(held == "BOOLEAN", held_as(T.BooleanType())).when(held == "DOUBLE", held_as(T.DoubleType()))
-    value = value.when(held == "FLOAT", held_as(T.FloatType()))
-    if target.data_type in INT_RANGE or target.data_type in ("float32", "float64", "boolean"):
-        value = value.when(held.startswith("DECIMAL"), held_as(T.DecimalType(38, 9)))
-    if target.data_type == "bytes":
-        value = value.when(held == "BINARY", held_as(T.BinaryType()))
-    if target.data_type in ("date", "datetime", "timestamp"):
-        value = value.when(held == "DATE", held_as(T.DateType()))
-        value = value.when(held == "TIMESTAMP", held_as(T.TimestampType()))
-        value = value.when(held == "TIMESTAMP_NTZ", held_as(T.TimestampNTZType()))
-    return value.otherwise(_no_value(out))
-
-
-def is_present(col: Column, src: T.DataType) -> Column:
+    if kind in _TIME_KINDS:
+        held_rules = {
+            "STRING": text,
+            "TIMESTAMP_NTZ": T.TimestampNTZType(),
+            "TIMESTAMP": T.TimestampType(),
+            "DATE": T.DateType(),
+            "BIGINT": T.LongType(),
+        }
+        return "case " + held + "".join(f" when '{n}' then {rule(t)}" for n, t in held_rules.items()) + " end"
+    if kind == "boolean":
+        return (
+            f"case when {held} = 'STRING' then {rule(text)} when {held} = 'BOOLEAN' then {get(out)} "
+            f"when {held} not in ({_TIMES}) then {get(T.DoubleType())} <> 0 end"
+        )
+    number = rule(T.LongType()) if kind in INT_RANGE else get(out)
+    return f"case when {held} = 'STRING' then {rule(text)} when {held} not in ({_TIMES}) then {number} end"
+
+
+def is_present(x: str, src: T.DataType) -> str:
     """Whether there is a value to convert: not null and, for a variant, not a JSON null."""
     if isinstance(src, T.VariantType):
-        return col.isNotNull() & ~F.is_variant_null(col)
-    return col.isNotNull()
+        return f"({x} is not null and not is_variant_null({x}))"
+    return f"({x} is not null)"
 
 
-def zero_value(target: ColSchema) -> Column:
+def zero_value(target: ColSchema) -> str:
     """The value a failed conversion leaves under ``on_error="default"``."""
     out = stored_type(target)
     kind = target.data_type
     if target.native is not None or kind == "bytes":
-        return _no_value(out)
+        return no_value(out)
     if kind == "boolean":
-        return F.lit(False)
+        return "false"
     if kind == "date":
-        return F.date_from_unix_date(F.lit(0))
-    if kind in ("datetime", "timestamp"):
-        return F.timestamp_seconds(F.lit(0))
-    if kind in INT_RANGE or kind in ("float32", "float64"):
-        return F.lit(0).cast(out)
-    return F.lit("")
+        return "date_from_unix_date(0)"
+    if kind in _TIME_KINDS:
+        return "timestamp_seconds(0)"
+    if kind in INT_RANGE or kind in _FLOAT_KINDS:
+        return f"cast(0 as {type_sql(out)})"
+    return "''"
 
 
-def with_policy(col: Column, src: T.DataType, target: ColSchema, on_error: str | None) -> Column:
+def with_policy(x: str, src: T.DataType, target: ColSchema, on_error: str | None) -> str:
     """``convert`` with a policy for failures; without one: fail if required, else null."""
-    value = convert(col, src, target)
+    value = convert(x, src, target)
     policy = on_error or ("fail" if target.required else "null")
+    if policy not in ("null", "default", "fail"):
+        raise ValueError(f"unknown on_error policy {policy!r}")
     if policy == "null" or src == stored_type(target):
         return value
     if policy == "default":
-        return F.coalesce(value, F.when(is_present(col, src), zero_value(target)))
-    if policy != "fail":
-        raise ValueError(f"unknown on_error policy {policy!r}")
-    message = F.concat(
-        F.lit(f"column {target.name}: no {target.data_type} form of "), F.coalesce(to_text(col, src), F.lit("null"))
-    ) if not isinstance(src, T.VariantType) else F.concat(
-        F.lit(f"column {target.name}: no {target.data_type} form of "), F.to_json(col)
-    )
-    failure = F.raise_error(message).cast(stored_type(target))
-    return F.coalesce(value, F.when(is_present(col, src), failure))
+        return f"coalesce({value}, case when {is_present(x, src)} then {zero_value(target)} end)"
+    told = text_sql(f"column {target.name}: no {target.data_type} form of ")
+    failure = f"cast(raise_error(concat({told}, coalesce({to_text(x, src)}, 'null'))) as {type_sql(stored_type(target))})"
+    return f"coalesce({value}, case when {is_present(x, src)} then {failure} end)"

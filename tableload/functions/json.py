@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
 def _path(field: str) -> str:
@@ -25,23 +25,37 @@ def json_raw(document: Column, field: str) -> Column:
     return F.when(scalar_text & _is_string(value), F.to_json(value)).otherwise(text)
 
 
+def _elements(document: Column, field: str) -> Column:
+    """Elements of an array field as text, found in one pass over the document."""
+    schema = T.StructType([T.StructField(field, T.ArrayType(T.StringType()))])
+    return F.from_json(document, schema).getField(field)
+
+
 def json_array_raw(document: Column, field: str) -> Column:
-    """Elements of an array field as JSON text; null where the field is not an array."""
-    text = F.get_json_object(document, _path(field))
-    elements = F.from_json(text, "array<string>")
-    values = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
-    return F.zip_with(elements, values, lambda t, v: F.when(_is_string(v), F.to_json(v)).otherwise(t))
+    """Elements of an array field as JSON text; null where the field is not an array.
+
+    Element text comes without the quotes of a string. Where every element begins with a bracket and the
+    document has no string that does, no element is a string and the text stands as it is.
+    """
+    elements = _elements(document, field)
+    brackets = F.forall(elements, lambda x: F.coalesce(x.startswith("{") | x.startswith("["), F.lit(False)))
+    exact = brackets & ~F.contains(document, F.lit('"{')) & ~F.contains(document, F.lit('"['))
+    values = F.try_variant_get(F.try_parse_json(document), _path(field), "array<variant>")
+    quoted = F.zip_with(
+        elements, values, lambda t, v: F.when(_is_string(v) | F.is_variant_null(v), F.to_json(v)).otherwise(t)
+    )
+    return F.when(exact, elements).otherwise(quoted)
 
 
 def json_array_float(document: Column, field: str, key: str) -> Column:
     """``key`` of each element of an array field as a double; null where missing or not a number."""
-    elements = F.from_json(F.get_json_object(document, _path(field)), "array<string>")
-    return F.transform(elements, lambda x: F.get_json_object(x, _path(key)).try_cast("double"))
+    return F.transform(
+        _elements(document, field), lambda x: F.get_json_object(x, _path(key)).try_cast("double")
+    )
 
 
 def json_array_string(document: Column, field: str, key: str) -> Column:
-    elements = F.from_json(F.get_json_object(document, _path(field)), "array<string>")
-    return F.transform(elements, lambda x: F.get_json_object(x, _path(key)))
+    return F.transform(_elements(document, field), lambda x: F.get_json_object(x, _path(key)))
 
 
 def assume_not_null(col: Column) -> Column:

@@ -7,12 +7,19 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tableload.functions.convert import convert, is_present, with_policy, zero_value
-from tableload.functions.types import RESERVED_NAME, ColSchema, identifier_columns, stored_name, stored_type, to_struct_type
+from tableload.functions.convert import convert, is_present, name_sql, no_value, text_sql, with_policy
+from tableload.functions.types import (
+    RESERVED_NAME,
+    ColSchema,
+    from_struct_type,
+    identifier_columns,
+    stored_name,
+    stored_type,
+)
 
 
 def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(name_sql(name))
 
 
 def source_field(df: DataFrame, name: str) -> T.StructField | None:
@@ -51,11 +58,11 @@ def conform(
     for col in cols:
         field = source_field(df, col.name)
         if field is None:
-            value = F.lit(None).cast(stored_type(col))
+            value = no_value(stored_type(col))
         else:
-            value = with_policy(quoted(field.name), field.dataType, _keep_native(field, col, nested), on_error)
-        out.append(value.alias(stored_name(col.name)))
-    return df.select(*out, *[quoted(name) for name in extra])
+            value = with_policy(name_sql(field.name), field.dataType, _keep_native(field, col, nested), on_error)
+        out.append(f"{value} as {name_sql(stored_name(col.name))}")
+    return df.selectExpr(*out, *[name_sql(name) for name in extra])
 
 
 def align_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -73,19 +80,27 @@ def rename_reserved(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({a: b for a, b in RESERVED_NAME.items() if a in df.columns})
 
 
-def _unpivot_counts(df: DataFrame, labels: Sequence[tuple[str, ...]], counts: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
+def _unpivot_counts(
+    df: DataFrame, labels: Sequence[tuple], counts: Sequence[Sequence[str]], names: Sequence[str]
+) -> DataFrame:
     """One aggregate pass over ``df``, turned into one row per label."""
-    aggs = [F.coalesce(c, F.lit(0)).cast("bigint") for row in counts for c in row]
-    totals = df.agg(*[a.alias(f"c{i}") for i, a in enumerate(aggs)])
     width = len(names) - len(labels[0])
+    cells = [f"coalesce({c}, 0) as c{i}_{j}" for i, row in enumerate(counts) for j, c in enumerate(row)]
+    totals = df.selectExpr(*cells)
     rows = [
-        F.struct(
-            *[F.lit(v).alias(n) for v, n in zip(label, names)],
-            *[F.col(f"c{i * width + j}").alias(names[len(label) + j]) for j in range(width)],
+        "named_struct("
+        + ", ".join(
+            [f"{text_sql(n)}, {_literal(v)}" for n, v in zip(names, label)]
+            + [f"{text_sql(names[len(label) + j])}, cast(c{i}_{j} as bigint)" for j in range(width)]
         )
+        + ")"
         for i, label in enumerate(labels)
     ]
-    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return totals.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _literal(value: object) -> str:
+    return text_sql(value) if isinstance(value, str) else str(value).lower()
 
 
 def conform_report(df: DataFrame, cols: Sequence[ColSchema]) -> DataFrame:
@@ -95,12 +110,12 @@ def conform_report(df: DataFrame, cols: Sequence[ColSchema]) -> DataFrame:
         field = source_field(df, col.name)
         labels.append((stored_name(col.name), col.data_type))
         if field is None:
-            counts.append((F.lit(0), F.lit(0)))
+            counts.append(("max(0)", "max(0)"))
             continue
-        source = quoted(field.name)
+        source = name_sql(field.name)
         present = is_present(source, field.dataType)
-        failed = present & convert(source, field.dataType, col).isNull()
-        counts.append((F.count_if(present), F.count_if(failed)))
+        failed = f"{present} and ({convert(source, field.dataType, col)}) is null"
+        counts.append((f"count_if({present})", f"count_if({failed})"))
     return _unpivot_counts(df, labels, counts, ["column_name", "data_type", "present", "failed"])
 
 
@@ -112,27 +127,27 @@ def required_check(df: DataFrame, cols: Sequence[ColSchema]) -> DataFrame:
     counts = []
     for col in required:
         field = source_field(df, col.name)
-        counts.append((F.count_if(~is_present(quoted(field.name), field.dataType)) if field else F.count(F.lit(1)),))
+        counts.append((f"count_if(not {is_present(name_sql(field.name), field.dataType)})" if field else "count(1)",))
     return _unpivot_counts(df, [(stored_name(c.name),) for c in required], counts, ["column_name", "missing"])
 
 
 def require_values(df: DataFrame, cols: Sequence[ColSchema]) -> DataFrame:
     """The frame unchanged; reading it fails at the first row without a value in a required column."""
     names = [stored_name(c.name) for c in cols if c.required]
-    checked = {
-        name: F.coalesce(quoted(name), F.raise_error(F.lit(f"required column {name} is null")).cast(df.schema[name].dataType))
-        for name in names
-        if name in df.columns
-    }
-    if not checked:
+    if not any(name in df.columns for name in names):
         return df
-    return df.select(*[checked[n].alias(n) if n in checked else quoted(n) for n in df.columns])
+    out = []
+    for field in df.schema.fields:
+        column = name_sql(field.name)
+        if field.name in names:
+            failure = f"raise_error({text_sql(f'required column {field.name} is null')})"
+            column = f"coalesce({column}, cast({failure} as {field.dataType.simpleString()})) as {column}"
+        out.append(column)
+    return df.selectExpr(*out)
 
 
 def describe_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` with canonical type and flags, and the values ``df`` holds in each."""
-    from tableload.functions.types import from_struct_type
-
     keys = identifier_columns(schema)
     declared = from_struct_type(schema)
     labels = [
@@ -140,23 +155,10 @@ def describe_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
         for i, c in enumerate(declared)
     ]
     names = ["position", "column_name", "data_type", "stored_type", "primary_key", "required", "present"]
-    return _unpivot_counts(df, labels, [(F.count(quoted(c.name)),) for c in declared], names)
+    return _unpivot_counts(df, labels, [(f"count({name_sql(c.name)})",) for c in declared], names)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Identifier values held by more than one row, with their row count."""
     return df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
-
-__all__ = [
-    "align_columns",
-    "conform",
-    "conform_report",
-    "describe_schema",
-    "duplicate_keys",
-    "rename_reserved",
-    "require_values",
-    "required_check",
-    "to_struct_type",
-    "zero_value",
-]

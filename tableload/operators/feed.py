@@ -6,10 +6,10 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tableload.functions.convert import to_variant
+from tableload.functions.convert import name_sql, text_sql, to_variant
 from tableload.functions.names import default_namespace, join_id
 from tableload.functions.types import ColSchema, stored_name
-from tableload.operators.conform import quoted
+from tableload.operators.conform import conform
 
 # Kinds of feed rows.
 ROW_KINDS = ("insert", "update", "delete")
@@ -52,7 +52,7 @@ def table_to_changes(
         F.lit(commit_time_ns).cast("bigint").alias("commit_time"),
         (F.lit(None) if lsn is None else lsn).cast("bigint").alias("lsn"),
         F.array(*[F.lit(f.name) for f in fields]).alias("column_names"),
-        F.array(*[to_variant(quoted(f.name), f.dataType) for f in fields]).alias("column_values"),
+        F.expr(f"array({', '.join(to_variant(name_sql(f.name), f.dataType) for f in fields)})").alias("column_values"),
     )
 
 
@@ -93,20 +93,19 @@ def feed_columns(feed: DataFrame, cols: Sequence[ColSchema], extra: Sequence[str
     always list their columns in declared order; that test is shared by all columns of a row and spares
     the search per column.
     """
-    names, values = F.col("column_names"), F.col("column_values")
-    in_order = names == F.array(*[F.lit(c.name) for c in cols])
-    out = []
-    for i, col in enumerate(cols):
-        first = F.nullif(F.array_position(names, F.lit(col.name)), F.lit(0)).cast("int")
-        value = F.when(in_order, F.get(values, F.lit(i))).otherwise(F.try_element_at(values, first))
-        out.append(value.alias(stored_name(col.name)))
-    return feed.select(*out, *[quoted(e) for e in extra])
+    listed = ", ".join(text_sql(c.name) for c in cols)
+    out = [
+        f"case when _in_order then get(column_values, {i}) else try_element_at(column_values, "
+        f"cast(nullif(array_position(column_names, {text_sql(c.name)}), 0) as int)) end as {name_sql(stored_name(c.name))}"
+        for i, c in enumerate(cols)
+    ]
+    kept = ["column_names", "column_values", *[name_sql(e) for e in extra]]
+    tested = feed.selectExpr(*kept, f"column_names = array({listed}) as _in_order")
+    return tested.selectExpr(*out, *[name_sql(e) for e in extra])
 
 
 def restore_values(feed: DataFrame, cols: Sequence[ColSchema]) -> DataFrame:
     """Feed rows of one table back in canonical types; null stays null."""
-    from tableload.operators.conform import conform
-
     return conform(feed_columns(feed, cols), cols)
 
 

@@ -31,13 +31,17 @@ def parse_messages(
     keys = [k for k in DEDUPE_KEYS if k in messages.columns] if dedupe_keys else []
     parsed = messages.withColumn("_object", F.try_parse_json(text))
     parsed = parsed.filter(F.schema_of_variant("_object").startswith("OBJECT"))
+    # one extraction per field, then its conversion
+    fields = [
+        F.try_variant_get("_object", f"$['{c.name}']", "variant").alias(f"_field_{i}") for i, c in enumerate(cols)
+    ]
+    parsed = parsed.select(*fields, text.alias("_text"), *[quoted(k) for k in keys])
     out = [
-        with_policy(F.try_variant_get("_object", f"$['{c.name}']", "variant"), T.VariantType(), c, on_error).alias(c.name)
-        for c in cols
+        F.expr(with_policy(f"_field_{i}", T.VariantType(), c, on_error)).alias(c.name) for i, c in enumerate(cols)
     ]
     if rest:
         declared = [c.name for c in cols]
-        members = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+        members = F.from_json("_text", T.MapType(T.StringType(), T.StringType()))
         out.append(F.map_filter(members, lambda k, v: ~k.isin(declared)).alias(REST_COLUMN))
     return parsed.select(*out, *[quoted(k) for k in keys])
 
