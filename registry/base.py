@@ -158,8 +158,9 @@ def landed_events(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
 
 def event_feed(events: DataFrame) -> DataFrame:
     """Events as a change feed, one table per event type."""
-    changes = table_to_changes(events, "shop", "", lsn=F.col("event_id"), load_part=F.col("user_id") % 4)
-    return changes.withColumn("table", F.get("column_values", F.lit(3)).try_cast("string"))
+    return table_to_changes(
+        events, "shop", F.col("event_type"), lsn=F.col("event_id"), load_part=F.col("user_id") % 4
+    )
 
 
 def declared(spark: SparkSession, sf_dir: str, table: str, keys: tuple[str, ...] = ()) -> list[ColSchema]:

@@ -33,20 +33,23 @@ FEED_SCHEMA = T.StructType(
 
 def table_to_changes(
     df: DataFrame,
-    namespace: str,
-    table: str,
+    namespace: str | Column,
+    table: str | Column,
     snapshot_id: str = "",
     commit_time_ns: int | None = None,
     lsn: Column | None = None,
     load_part: Column | None = None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Every row as an insert item that carries its column names and values."""
+    """Every row as an insert item that carries its column names and values.
+
+    ``namespace`` and ``table`` are the same for all rows, or given per row by a column.
+    """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     return df.select(
         F.lit("insert").alias("kind"),
-        F.lit(namespace).alias("namespace"),
-        F.lit(table).alias("table"),
+        (namespace if isinstance(namespace, Column) else F.lit(namespace)).alias("namespace"),
+        (table if isinstance(table, Column) else F.lit(table)).alias("table"),
         (F.lit("") if load_part is None else load_part.cast("string")).alias("load_part"),
         F.lit(snapshot_id).alias("snapshot_id"),
         F.lit(commit_time_ns).cast("bigint").alias("commit_time"),
@@ -74,9 +77,8 @@ def split_events(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def with_default_namespace(feed: DataFrame, default: str | None) -> DataFrame:
-    if default is None:
-        return feed
-    return feed.withColumn("namespace", default_namespace(F.col("namespace"), default))
+    """Rows without a namespace get the default one, if any, else the empty name."""
+    return feed.withColumn("namespace", default_namespace(F.col("namespace"), default or ""))
 
 
 def include_tables(df: DataFrame, include: Iterable[str] | None) -> DataFrame:

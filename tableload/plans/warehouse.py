@@ -26,8 +26,8 @@ from tableload.plans.table import PART_COLUMN, Table
 TableId = tuple[str, str]
 Schemas = Mapping[TableId, Sequence[ColSchema]]
 
-# A feed of more tables than this is first written once, one folder per table, so that each table's load
-# reads only its own rows; for fewer tables filtering the feed again is cheaper than a second copy.
+# A feed of more tables than this is first written once, one folder per table, so that the source is read
+# once and each table's load reads only its own rows; for fewer, filtering the feed again is cheaper.
 DIRECT_TABLES = 2
 WRITERS = 4
 
@@ -71,13 +71,17 @@ class Warehouse:
         default_namespace: str | None = None,
         on_error: str | None = None,
         include: Iterable[str] | None = None,
+        stage: bool | None = None,
     ) -> list[Entry]:
         """Bulk load of a feed of any number of tables, each published on its own once all its rows are written.
 
-        Drop and truncate events act before the rows are loaded. Only insert rows are taken.
+        Drop and truncate events act before the rows are loaded. Only insert rows are taken. ``stage`` says
+        whether to write the feed once, split by table, before loading; by default with more than two tables.
         """
         load_id = load_id or f"load-{uuid.uuid4().hex}"
         feed = include_tables(with_default_namespace(feed, default_namespace), include)
+        if stage if stage is not None else len(schemas) > DIRECT_TABLES:
+            feed = self._stage(feed, load_id)
         counts, control = self._plan(feed, schemas)
         for key, kind in sorted(control):
             if kind == "drop":
@@ -98,7 +102,7 @@ class Warehouse:
         """One micro-batch of a stream: control events are dropped, the rest is appended."""
         feed = with_default_namespace(feed, default_namespace)
         counts, _ = self._plan(feed, schemas)
-        return self._load_tables(feed, schemas, counts, load_id, "append", props, on_error, stage=False)
+        return self._load_tables(feed, schemas, counts, load_id, "append", props, on_error)
 
     def _plan(self, feed: DataFrame, schemas: Schemas) -> tuple[dict[TableId, int], set[tuple[TableId, str]]]:
         """Rows per table and clean-up events: one row per table and kind reaches the driver."""
@@ -126,13 +130,11 @@ class Warehouse:
         mode: str,
         props: Mapping[str, str] | None,
         on_error: str | None,
-        stage: bool = True,
     ) -> list[Entry]:
         inserts = feed.filter(F.col("kind") == "insert")
-        staged = self._stage(inserts, load_id) if stage and len(counts) > DIRECT_TABLES else inserts
 
         def load(key: TableId) -> Entry:
-            rows = feed_columns(only_table(staged, *key), schemas[key], ["load_part"])
+            rows = feed_columns(only_table(inserts, *key), schemas[key], ["load_part"])
             entry = self.table(*key).load(
                 rows, schemas[key], load_id, mode, props, on_error, load_part=F.col("load_part")
             )
@@ -143,14 +145,15 @@ class Warehouse:
         with ThreadPoolExecutor(WRITERS) as pool:
             return list(pool.map(inheritable_thread_target(self.spark)(load), sorted(counts)))
 
-    def _stage(self, rows: DataFrame, load_id: str) -> DataFrame:
-        """The feed written once, one folder per table: no shuffle, and each table's load prunes the rest."""
+    def _stage(self, feed: DataFrame, load_id: str) -> DataFrame:
+        """The feed written once, one folder per table and kind: no shuffle, and each table's load prunes the rest."""
         path = f"{self.root}/staging/{segment('load', load_id)}"
-        rows.write.mode("overwrite").partitionBy("namespace", "table").parquet(path)
-        partitions = ("namespace", "table")
-        fields = [f for f in rows.schema.fields if f.name not in partitions]
-        fields += [T.StructField(n, T.StringType()) for n in partitions]
-        return self.spark.read.schema(T.StructType(fields)).parquet(path)
+        folders = ["namespace", "table", "kind"]
+        feed.write.mode("overwrite").partitionBy(*folders).parquet(path)
+        fields = [f for f in feed.schema.fields if f.name not in folders]
+        fields += [T.StructField(n, T.StringType()) for n in folders]
+        # the empty name comes back from a folder as null
+        return with_default_namespace(self.spark.read.schema(T.StructType(fields)).parquet(path), None)
 
 
 def manifest(warehouse: Warehouse, tables: Iterable[TableId], load_ids: Sequence[str] | None = None) -> DataFrame:
