@@ -217,22 +217,24 @@ def to_json_text(x: str, src: T.DataType) -> str:
 
 
 def to_variant(x: str, src: T.DataType) -> str:
-    """Any value as a variant; types without a direct cast go through their JSON text."""
+    """Any value as a variant; maps whose keys are not text go through their JSON text."""
     if isinstance(src, T.VariantType):
         return x
-    if _holds_map(src):
+    objects = _objects(src)
+    if any(isinstance(o, T.MapType) and not isinstance(o.keyType, T.StringType) for o in objects):
         return f"try_parse_json({to_json_text(x, src)})"
-    return f"cast({x} as variant)"
+    return f"to_variant_object({x})" if objects else f"cast({x} as variant)"
 
 
-def _holds_map(dtype: T.DataType) -> bool:
+def _objects(dtype: T.DataType) -> list[T.DataType]:
+    """The maps and structs in a type."""
     if isinstance(dtype, T.MapType):
-        return True
+        return [dtype, *_objects(dtype.valueType)]
     if isinstance(dtype, T.ArrayType):
-        return _holds_map(dtype.elementType)
+        return _objects(dtype.elementType)
     if isinstance(dtype, T.StructType):
-        return any(_holds_map(f.dataType) for f in dtype.fields)
-    return False
+        return [dtype, *[o for f in dtype.fields for o in _objects(f.dataType)]]
+    return []
 
 
 def _from_variant(x: str, target: ColSchema) -> str:
