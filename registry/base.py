@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableload.functions.types import ColSchema, from_struct_type, with_keys
 from tableload.operators.feed import table_to_changes
+from tableload.plans.table import Table
 from tableload.plans.warehouse import Warehouse
 from tableload.session import scratch_dir
 
@@ -79,13 +82,27 @@ def stack(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def registered(spark: SparkSession, sf_dir: str, name: str) -> Table:
+    """A given table registered in place: no data is copied."""
+
+    def build() -> Table:
+        table = new_warehouse(spark, "registered").table(NAMESPACE, name)
+        table.register([f"{sf_dir}/{name}.parquet"])
+        return table
+
+    return shared(spark, sf_dir, f"registered {name}", build)
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Every given table registered in place: no data is copied."""
+    """Every given table registered in place, in one warehouse."""
 
     def build() -> Warehouse:
         warehouse = new_warehouse(spark, "catalog")
-        for name in TABLES:
-            warehouse.table(NAMESPACE, name).register([f"{sf_dir}/{name}.parquet"], load_id=f"{name}-files")
+        add = inheritable_thread_target(spark)(
+            lambda name: warehouse.table(NAMESPACE, name).register([f"{sf_dir}/{name}.parquet"])
+        )
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(add, TABLES))
         return warehouse
 
     return shared(spark, sf_dir, "catalog", build)

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from registry.base import (
     EVENT_SCHEMAS,
     NAMESPACE,
-    catalog,
     declared,
     event_feed,
     given,
@@ -15,6 +14,7 @@ from registry.base import (
     lineitem_in_parts,
     new_warehouse,
     query,
+    registered,
     stack,
 )
 from tableload.functions.types import from_struct_type
@@ -247,7 +247,7 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verify.load_stats(catalog(spark, sf_dir).table(NAMESPACE, "documents").read(), ["lang"])
+    return verify.load_stats(registered(spark, sf_dir, "documents").read(), ["lang"])
 
 
 @query(

@@ -16,6 +16,7 @@ from registry.base import (
     one_row,
     orders_by_status,
     query,
+    registered,
     stack,
 )
 from tableload.functions.names import id_name, id_namespace, join_id
@@ -35,7 +36,7 @@ _COUNTS = " UNION ALL ".join(
 
 @query("SELECT * FROM orders")
 def load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog(spark, sf_dir).table(NAMESPACE, "orders").read()
+    return registered(spark, sf_dir, "orders").read()
 
 
 @query(
@@ -272,12 +273,12 @@ def filtered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         & (F.col("l_returnflag") == "R")
         & (F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
     )
-    return catalog(spark, sf_dir).table(NAMESPACE, "lineitem").read(where=condition)
+    return registered(spark, sf_dir, "lineitem").read(where=condition)
 
 
 @query("SELECT l_orderkey, l_extendedprice FROM lineitem")
 def projected_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog(spark, sf_dir).table(NAMESPACE, "lineitem").read(["l_orderkey", "l_extendedprice"])
+    return registered(spark, sf_dir, "lineitem").read(["l_orderkey", "l_extendedprice"])
 
 
 @query(

@@ -25,10 +25,9 @@ def json_raw(document: Column, field: str) -> Column:
     return F.when(scalar_text & _is_string(value), F.to_json(value)).otherwise(text)
 
 
-def _elements(document: Column, field: str) -> Column:
-    """Elements of an array field as text, found in one pass over the document."""
-    schema = T.StructType([T.StructField(field, T.ArrayType(T.StringType()))])
-    return F.from_json(document, schema).getField(field)
+def _field_as(document: Column, field: str, dtype: T.DataType) -> Column:
+    """One field of a document as a Spark type, found in one pass; null where the document does not fit it."""
+    return F.from_json(document, T.StructType([T.StructField(field, dtype)])).getField(field)
 
 
 def json_array_raw(document: Column, field: str) -> Column:
@@ -37,25 +36,41 @@ def json_array_raw(document: Column, field: str) -> Column:
     Element text comes without the quotes of a string. Where every element begins with a bracket and the
     document has no string that does, no element is a string and the text stands as it is.
     """
-    elements = _elements(document, field)
-    brackets = F.forall(elements, lambda x: F.coalesce(x.startswith("{") | x.startswith("["), F.lit(False)))
-    exact = brackets & ~F.contains(document, F.lit('"{')) & ~F.contains(document, F.lit('"['))
+    no_such_text = ~F.contains(document, F.lit('"{')) & ~F.contains(document, F.lit('"['))
     values = F.try_variant_get(F.try_parse_json(document), _path(field), "array<variant>")
-    quoted = F.zip_with(
-        elements, values, lambda t, v: F.when(_is_string(v) | F.is_variant_null(v), F.to_json(v)).otherwise(t)
+
+    def quoted(elements: Column) -> Column:
+        return F.zip_with(
+            elements, values, lambda t, v: F.when(_is_string(v) | F.is_variant_null(v), F.to_json(v)).otherwise(t)
+        )
+
+    def as_they_are(elements: Column) -> Column:
+        return no_such_text & F.forall(
+            elements, lambda x: F.coalesce(x.startswith("{") | x.startswith("["), F.lit(False))
+        )
+
+    # bound by a lambda, the parsed elements are not computed once per use
+    elements = F.array(_field_as(document, field, T.ArrayType(T.StringType())))
+    return F.get(F.transform(elements, lambda e: F.when(as_they_are(e), e).otherwise(quoted(e))), F.lit(0))
+
+
+def _members(document: Column, field: str, key: str) -> Column:
+    """``key`` of each element of an array field as text: in one pass if all elements are objects."""
+    objects = T.ArrayType(T.StructType([T.StructField(key, T.StringType())]))
+    elements = _field_as(document, field, T.ArrayType(T.StringType()))
+    return F.coalesce(
+        _field_as(document, field, objects).getField(key),
+        F.transform(elements, lambda x: F.get_json_object(x, _path(key))),
     )
-    return F.when(exact, elements).otherwise(quoted)
 
 
 def json_array_float(document: Column, field: str, key: str) -> Column:
     """``key`` of each element of an array field as a double; null where missing or not a number."""
-    return F.transform(
-        _elements(document, field), lambda x: F.get_json_object(x, _path(key)).try_cast("double")
-    )
+    return F.transform(_members(document, field, key), lambda x: x.try_cast("double"))
 
 
 def json_array_string(document: Column, field: str, key: str) -> Column:
-    return F.transform(_elements(document, field), lambda x: F.get_json_object(x, _path(key)))
+    return _members(document, field, key)
 
 
 def assume_not_null(col: Column) -> Column:
