@@ -14,6 +14,8 @@ from tableload.functions.types import ColSchema, from_struct_type, identifier_co
 from tableload.operators.conform import conform, quoted, require_values
 from tableload.plans.ledger import (
     LOADS,
+    REPLACED_ROWS,
+    ROLLED_UP,
     Entry,
     live_entries,
     ledger_frame,
@@ -188,9 +190,12 @@ class Table:
         load_part: Column | None = None,
         partition_by: Sequence[str] | None = None,
         max_records_per_file: int | None = None,
+        rebalance: bool = False,
     ) -> Entry:
         """Stage the rows as a new load, then publish it. A load id that is already published is skipped.
 
+        ``rebalance`` shuffles the rows into evenly sized files, for sources of many small or uneven partitions.
+
         ``mode="replace"`` hides everything before it; readers see the old rows until the load is published.
         """
         if mode not in ("append", "replace"):
@@ -217,11 +222,17 @@ class Table:
                 [T.StructField(f.name, rows.schema[f.name].dataType, True, f.metadata) for f in to_struct_type(cols).fields]
             )
         path = f"{table_folder(self.root, 'data', self.namespace, self.name)}/{segment(LOAD_COLUMN, load_id)}"
-        written = self._write(rows, schema, specs, path, max_records_per_file)
+        written = self._write(rows, schema, specs, path, max_records_per_file, rebalance)
         return self._publish(entries, mode, load_id, written, path, props, schema, specs)
 
     def _write(
-        self, rows: DataFrame, schema: T.StructType, specs: Sequence[str], path: str, max_records: int | None
+        self,
+        rows: DataFrame,
+        schema: T.StructType,
+        specs: Sequence[str],
+        path: str,
+        max_records: int | None = None,
+        rebalance: bool = False,
     ) -> int:
         transforms = [Transform.parse(s) for s in specs]
         for t in transforms:
@@ -229,6 +240,8 @@ class Table:
         if transforms:
             # few files per partition value; the adaptive planner splits the values that hold many rows
             rows = rows.hint("rebalance", *[quoted(t.column) for t in transforms])
+        elif rebalance:
+            rows = rows.hint("rebalance")
         writer = rows.write.mode("overwrite")
         if max_records:
             writer = writer.option("maxRecordsPerFile", max_records)
@@ -294,16 +307,38 @@ class Table:
         matches.write.mode("overwrite").parquet(path)
         return self._publish(entries, "delete", load_id, self._count_rows(path), path)
 
-    def compact(self, load_id: str | None = None, max_records_per_file: int | None = None) -> Entry:
-        """Rewrite the visible rows, deletes applied, as one load that replaces all others."""
-        return self.load(
-            self.read(), self.columns(), load_id or _new_id("compact"), mode="replace", nested="native",
-            max_records_per_file=max_records_per_file,
-        )
+    def compact(
+        self, first: int = 1, last: int | None = None, load_id: str | None = None, max_records_per_file: int | None = None
+    ) -> Entry | None:
+        """Rewrite the loads of versions ``first`` to ``last``, deletes applied, as one load that stands for them.
+
+        A table that is appended to all day is rolled up stretch by stretch; its older rows are not read again.
+        """
+        entries = self.entries()
+        load_id = load_id or _new_id("rollup")
+        done = [e for e in entries if e.load_id == load_id]
+        if done:
+            return done[0]
+        shown = visible_entries(self._live())
+        last = max(e.seq for e in shown) if last is None else last
+        chosen = [e for e in shown if e.op in LOADS and first <= e.span[0] and e.span[1] <= last]
+        if not chosen:
+            return None
+        schema, specs = shown[-1].schema, shown[-1].partitions
+        rows = self._rows(chosen, [e for e in shown if e.op == "delete" and e.rows], schema, specs, False)
+        path = f"{table_folder(self.root, 'data', self.namespace, self.name)}/{segment(LOAD_COLUMN, load_id)}"
+        rows = rows.select(*[quoted(n) for n in schema.names])
+        written = self._write(rows, schema, specs, path, max_records_per_file, rebalance=True)
+        props = {
+            ROLLED_UP[0]: str(min(e.span[0] for e in chosen)),
+            ROLLED_UP[1]: str(max(e.span[1] for e in chosen)),
+            REPLACED_ROWS: str(sum(e.rows for e in chosen)),
+        }
+        return self._publish(entries, "rollup", load_id, written, path, props, schema, specs)
 
     def manifest(self, load_ids: Sequence[str] | None = None) -> DataFrame:
         """Rows per load, part and file of the visible loads; reads one narrow column."""
-        loads = [e for e in visible_entries(self.entries()) if e.op in ("append", "replace") and e.rows]
+        loads = [e for e in visible_entries(self.entries()) if e.op in LOADS and e.op != "register" and e.rows]
         if load_ids is not None:
             loads = [e for e in loads if e.load_id in load_ids]
         schema = T.StructType([T.StructField(PART_COLUMN, T.StringType())])
@@ -376,19 +411,19 @@ class Table:
             raise TableNotFound(f"no table {self.namespace}.{self.name}")
         shown = visible_entries(entries, version)
         schema, specs = shown[-1].schema, shown[-1].partitions
-        loads = [e for e in shown if e.op in LOADS and e.rows and (since is None or e.seq > since)]
+        loads = [e for e in shown if e.op in LOADS and e.rows and (since is None or e.span[1] > since)]
+        if since is not None and any(e.span[0] <= since for e in loads):
+            raise VersionNotFound(f"versions around {since} of {self.namespace}.{self.name} have been rolled up")
         deletes = [e for e in shown if e.op == "delete" and e.rows]
         transforms = [Transform.parse(s) for s in specs]
         kept = schema.names + [t.column for t in transforms]
 
-        rows = self._scan(loads, schema, specs, bool(deletes) or positions)
+        rows = self._rows(loads, deletes, schema, specs, positions)
         for name, (low, high) in (between or {}).items():
             rows = rows.filter(quoted(name).between(low, high))
             for t in transforms:
                 bound = t.between(low, high, schema[name].dataType) if t.source == name else None
                 rows = rows if bound is None else rows.filter(bound)
-        if deletes:
-            rows = self._without_deleted(rows, deletes)
         rows = rows.select(*[quoted(n) for n in kept], *([FILE_COLUMN, POSITION_COLUMN] if positions else []))
         if where is not None:
             rows = rows.filter(where)
@@ -432,6 +467,12 @@ class Table:
             return empty
         return _union(frames)
 
+    def _rows(
+        self, loads: Sequence[Entry], deletes: Sequence[Entry], schema: T.StructType, specs: Sequence[str], positions: bool
+    ) -> DataFrame:
+        rows = self._scan(loads, schema, specs, bool(deletes) or positions)
+        return self._without_deleted(rows, deletes) if deletes else rows
+
     def _without_deleted(self, rows: DataFrame, deletes: Sequence[Entry]) -> DataFrame:
         gone = self.spark.read.schema(DELETE_SCHEMA).parquet(*[e.path for e in deletes])
         keys = [FILE_COLUMN, POSITION_COLUMN]

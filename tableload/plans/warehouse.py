@@ -10,17 +10,17 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
+from tableload.functions.names import join_id
 from tableload.functions.types import ColSchema
 from tableload.operators.feed import (
     CLEANUP_KINDS,
     ROW_KINDS,
     feed_columns,
-    feed_summary,
     include_tables,
     only_table,
     with_default_namespace,
 )
-from tableload.plans.ledger import LOADS, STARTS, Entry, ledger_frame, segment
+from tableload.plans.ledger import LOADS, REPLACED_ROWS, STARTS, Entry, ledger_frame, segment
 from tableload.plans.table import PART_COLUMN, Table
 
 TableId = tuple[str, str]
@@ -29,13 +29,17 @@ Schemas = Mapping[TableId, Sequence[ColSchema]]
 # A feed of more tables than this is first written once, one folder per table, so that the source is read
 # once and each table's load reads only its own rows; for fewer, filtering the feed again is cheaper.
 DIRECT_TABLES = 2
-WRITERS = 4
+# The same for a micro-batch, which is held in memory otherwise.
+DIRECT_BATCH_TABLES = 16
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    """``writers`` is the number of tables of one feed that are loaded at a time."""
+
+    def __init__(self, spark: SparkSession, root: str, writers: int = 4) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.writers = writers
 
     def table(self, namespace: str, name: str) -> Table:
         return Table(self.spark, self.root, namespace, name)
@@ -53,8 +57,9 @@ class Warehouse:
             "*", F.coalesce(start, F.lit(0)).alias("start"), F.coalesce(end, F.lit(0)).alias("end")
         ).filter(F.col("seq") > F.col("end"))
         counted = F.col("op").isin(*LOADS) & (F.col("seq") >= F.col("start"))
+        replaced = F.coalesce(F.try_element_at("props", F.lit(REPLACED_ROWS)).try_cast("bigint"), F.lit(0))
         return live.groupBy("namespace", "table").agg(
-            F.coalesce(F.sum(F.when(counted, F.col("rows"))), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(counted, F.col("rows") - replaced)), F.lit(0)).alias("rows"),
             F.lit(False).alias("is_view"),
             F.max_by("schema_json", "seq").alias("schema_json"),
         )
@@ -101,24 +106,44 @@ class Warehouse:
     ) -> list[Entry]:
         """One micro-batch of a stream: control events are dropped, the rest is appended."""
         feed = with_default_namespace(feed, default_namespace)
-        counts, _ = self._plan(feed, schemas)
-        return self._load_tables(feed, schemas, counts, load_id, "append", props, on_error)
+        if len(schemas) > DIRECT_BATCH_TABLES:
+            feed = self._stage(feed, load_id)
+        else:
+            # read once to plan and once per table
+            feed = feed.persist()
+        try:
+            counts, _ = self._plan(feed, schemas)
+            return self._load_tables(feed, schemas, counts, load_id, "append", props, on_error)
+        finally:
+            feed.unpersist()
 
     def _plan(self, feed: DataFrame, schemas: Schemas) -> tuple[dict[TableId, int], set[tuple[TableId, str]]]:
-        """Rows per table and clean-up events: one row per table and kind reaches the driver."""
+        """Rows per table and clean-up events.
+
+        What reaches the driver is bounded by the declared tables and the tables to clean up: rows of
+        undeclared tables are counted together.
+        """
+        declared = F.lit(False)
+        for namespace in {key[0] for key in schemas}:
+            names = [key[1] for key in schemas if key[0] == namespace]
+            declared = declared | ((F.col("namespace") == namespace) & F.col("table").isin(names))
+        kind = F.when(F.col("kind").isin(*ROW_KINDS, *CLEANUP_KINDS), F.col("kind"))
+        named = declared | F.col("kind").isin(*CLEANUP_KINDS)
+        summary = feed.groupBy(
+            F.when(named, F.col("namespace")).alias("namespace"), F.when(named, F.col("table")).alias("table"), kind.alias("kind")
+        ).agg(F.count(F.lit(1)).alias("rows"), F.min(join_id(F.col("namespace"), F.col("table"))).alias("example"))
         counts: dict[TableId, int] = {}
         control: set[tuple[TableId, str]] = set()
-        for row in feed_summary(feed).collect():
+        for row in summary.collect():
             key = (row["namespace"], row["table"])
-            if row["kind"] == "insert":
-                counts[key] = row["rows"]
-            elif row["kind"] in ROW_KINDS:
-                raise ValueError(f"{row['rows']} {row['kind']} rows for {'.'.join(key)}: only inserts can be loaded")
-            elif row["kind"] in CLEANUP_KINDS:
+            if row["kind"] in CLEANUP_KINDS:
                 control.add((key, row["kind"]))
-        unknown = [key for key in counts if key not in schemas]
-        if unknown:
-            raise ValueError(f"no schema declared for {', '.join('.'.join(k) for k in sorted(unknown))}")
+            elif row["kind"] in ROW_KINDS and row["kind"] != "insert":
+                raise ValueError(f"{row['rows']} {row['kind']} rows, as for {row['example']}: only inserts can be loaded")
+            elif row["kind"] == "insert" and row["table"] is None:
+                raise ValueError(f"no schema declared for the table of {row['rows']} rows, as for {row['example']}")
+            elif row["kind"] == "insert":
+                counts[key] = row["rows"]
         return counts, control
 
     def _load_tables(
@@ -142,7 +167,7 @@ class Warehouse:
                 raise RuntimeError(f"{'.'.join(key)}: {entry.rows} rows written, {counts[key]} in the feed")
             return entry
 
-        with ThreadPoolExecutor(WRITERS) as pool:
+        with ThreadPoolExecutor(self.writers) as pool:
             return list(pool.map(inheritable_thread_target(self.spark)(load), sorted(counts)))
 
     def _stage(self, feed: DataFrame, load_id: str) -> DataFrame:

@@ -58,14 +58,7 @@ def stream_append(
         raise ValueError("stream_append needs a streaming frame; use Warehouse.load_feed for a batch")
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        # the batch is read once to plan and once per table
-        batch = batch.persist()
-        try:
-            warehouse.append_batch(
-                batch, schemas, batch_load_id(stream, batch_id), props, default_namespace, on_error
-            )
-        finally:
-            batch.unpersist()
+        warehouse.append_batch(batch, schemas, batch_load_id(stream, batch_id), props, default_namespace, on_error)
 
     return _start(feed.writeStream.foreachBatch(append), stream, checkpoint, interval, drain)
 
