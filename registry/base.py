@@ -161,14 +161,23 @@ EVENT_SCHEMAS = {("shop", kind): EVENT_COLUMNS for kind in EVENT_TYPES}
 BATCHES = 4
 
 
+def land(df: DataFrame, path: str) -> int:
+    """Write rows as files for a stream to find; gives the number of files that makes four batches.
+
+    Input of many files keeps its partitions; only a table of very few files is split up, by a shuffle.
+    """
+    if len(df.inputFiles()) < BATCHES:
+        df = df.repartition(max(BATCHES, df.sparkSession.sparkContext.defaultParallelism))
+    df.write.parquet(path)
+    return -(-len(df.sparkSession.read.parquet(path).inputFiles()) // BATCHES)
+
+
 def landed_events(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """Events as they would land for a stream: files of rows, and how many files make a quarter of them."""
+    """Events as they would land for a stream, and how many of the files make a quarter of them."""
 
     def build() -> tuple[str, int]:
         path = scratch_dir(spark, "landed-events")
-        files = max(BATCHES, spark.sparkContext.defaultParallelism)
-        given(spark, sf_dir, "events").repartition(files).write.parquet(path)
-        return path, files // BATCHES
+        return path, land(given(spark, sf_dir, "events"), path)
 
     return shared(spark, sf_dir, "landed_events", build)
 

@@ -190,11 +190,11 @@ def empty_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def choose_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A frame is bulk-loaded, a stream is appended, any other kind of transfer is refused."""
-    path, _ = landed_events(spark, sf_dir)
+    path, quarter = landed_events(spark, sf_dir)
     events = given(spark, sf_dir, "events")
     bulk, live, none = (new_warehouse(spark, n) for n in ("bulk", "live", "none"))
     transfer(event_feed(events), bulk, EVENT_SCHEMAS, "bulk")
-    stream = event_feed(row_files(spark, path, events.schema))
+    stream = event_feed(row_files(spark, path, events.schema, quarter))
     transfer(stream, live, EVENT_SCHEMAS, "live", scratch_dir(spark, "checkpoint"), drain=True).awaitTermination()
     try:
         transfer(event_feed(events), none, EVENT_SCHEMAS, "changes", mode="snapshot_and_changes")

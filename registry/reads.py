@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registry.base import (
-    BATCHES,
     NAMESPACE,
     TABLES,
     catalog,
     declared,
     given,
+    land,
     lineitem_by_year,
     new_warehouse,
     one_row,
@@ -349,10 +349,8 @@ def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = given(spark, sf_dir, "events")
     # ids are text in the messages
     body = F.struct(F.col("event_id").cast("string").alias("event_id"), "user_id", "event_type", "value")
-    files = max(BATCHES, spark.sparkContext.defaultParallelism)
-    events.select(F.col("user_id").cast("string").alias("key"), F.to_json(body).alias("value")).repartition(
-        files
-    ).write.parquet(path)
+    messages = events.select(F.col("user_id").cast("string").alias("key"), F.to_json(body).alias("value"))
+    quarter = land(messages, path)
     cols = [
         ColSchema("event_id", "int32", primary_key=True),
         ColSchema("user_id", "int64"),
@@ -361,7 +359,7 @@ def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     warehouse = new_warehouse(spark, "topic")
     table = warehouse.table("streaming", "events")
-    messages = message_files(spark, path, "events", files_per_batch=files // 2)
+    messages = message_files(spark, path, "events", files_per_batch=quarter)
     stream_table(
         parse_messages(messages, cols), table, "topic", scratch_dir(spark, "checkpoint"), drain=True
     ).awaitTermination()

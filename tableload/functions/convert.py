@@ -254,7 +254,7 @@ def _from_variant(x: str, target: ColSchema) -> str:
 
     text = T.StringType()
     if kind == "any":
-        return f"case when {held} <> 'VOID' then to_json({x}) end"
+        return f"case when not is_variant_null({x}) then to_json({x}) end"
     if kind == "bytes":
         return f"case when {held} = 'BINARY' then {get(out)} end"
     if isinstance(out, T.StringType):

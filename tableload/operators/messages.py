@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tableload.functions.convert import with_policy
 from tableload.functions.types import ColSchema
@@ -29,13 +29,15 @@ def parse_messages(
     """
     text = quoted(value).cast("string")
     keys = [k for k in DEDUPE_KEYS if k in messages.columns] if dedupe_keys else []
-    parsed = messages.withColumn("_object", F.try_parse_json(text))
-    parsed = parsed.filter(F.schema_of_variant("_object").startswith("OBJECT"))
+    # as a generator the text is parsed once, and rows without an object fall out
+    objects = F.filter(F.array(F.try_parse_json(text)), lambda o: o.isNotNull())
+    kept = [text.alias("_text"), *[quoted(k) for k in keys]]
+    parsed = messages.filter(_begins_object(text)).select(F.explode(objects).alias("_object"), *kept)
     # one extraction per field, then its conversion
     fields = [
         F.try_variant_get("_object", f"$['{c.name}']", "variant").alias(f"_field_{i}") for i, c in enumerate(cols)
     ]
-    parsed = parsed.select(*fields, text.alias("_text"), *[quoted(k) for k in keys])
+    parsed = parsed.select(*fields, "_text", *[quoted(k) for k in keys])
     out = [
         F.expr(with_policy(f"_field_{i}", T.VariantType(), c, on_error)).alias(c.name) for i, c in enumerate(cols)
     ]
@@ -46,10 +48,15 @@ def parse_messages(
     return parsed.select(*out, *[quoted(k) for k in keys])
 
 
+def _begins_object(text: Column) -> Column:
+    """Of valid JSON texts, exactly the objects begin with a brace."""
+    return F.coalesce(F.ltrim(text, F.lit(" \t\r\n")).startswith("{"), F.lit(False))
+
+
 def bad_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Messages that ``parse_messages`` leaves out, whole."""
-    shape = F.schema_of_variant(F.try_parse_json(quoted(value).cast("string")))
-    return messages.filter(~F.coalesce(shape.startswith("OBJECT"), F.lit(False)))
+    text = quoted(value).cast("string")
+    return messages.filter(~_begins_object(text) | F.try_parse_json(text).isNull())
 
 
 def dedupe_messages(df: DataFrame, keys: Sequence[str], watermark: tuple[str, str] | None = None) -> DataFrame:

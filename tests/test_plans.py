@@ -85,3 +85,23 @@ def test_staged_feed_prunes_other_tables(spark, warehouse, plan):
     text = plan(only_table(staged, "", "t1").filter("kind = 'insert'").select("lsn"))
     assert "PartitionFilters: [isnotnull(table#" in text and "Filter " not in text.replace("PartitionFilters", "")
     assert only_table(staged, "", "t1").count() == 333
+
+
+def test_a_file_filter_prunes_the_scan(spark, warehouse):
+    table = warehouse.table("ns", "wide")
+    for i in range(4):
+        table.load(wide(spark).coalesce(1))
+    rows = table.read(positions=True)
+    one = rows.select("_file").first()[0]
+    scan = rows.filter(F.col("_file") == one)._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.selectedPartitions().totalNumberOfFiles() >= 1
+    assert scan.inputRDD().getNumPartitions() == 1
+
+
+def test_messages_are_parsed_once(spark, plan):
+    from tableload import ColSchema
+    from tableload.operators.messages import parse_messages
+
+    df = spark.range(10).selectExpr("to_json(named_struct('id', id, 'name', 'n')) as value")
+    text = plan(parse_messages(df, [ColSchema("id", "int64"), ColSchema("name", "string")]))
+    assert text.count("parseJson") == 1
