@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timezone
+from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -14,11 +15,11 @@ from tableload.functions.types import ColSchema, from_struct_type, identifier_co
 from tableload.operators.conform import conform, quoted, require_values
 from tableload.plans.ledger import (
     LOADS,
-    REPLACED_ROWS,
     ROLLED_UP,
     Entry,
     live_entries,
     ledger_frame,
+    loaded_rows,
     publish,
     read_entries,
     segment,
@@ -98,12 +99,14 @@ class Table:
             load_id,
             op,
             rows,
+            0,
             path,
             dict(props or {}),
             None,
             (schema or T.StructType()).json(),
             json.dumps(list(partition_by)),
         )
+        entry = replace(entry, total_rows=loaded_rows(entries + [entry]))
         publish(self.spark, self.root, entry)
         return entry
 
@@ -162,7 +165,7 @@ class Table:
         if fork.exists():
             raise ValueError(f"branch {name} is there already")
         for entry in self._live(version):
-            publish(self.spark, self.root, Entry(**(entry.__dict__ | {"table": fork.name})))
+            publish(self.spark, self.root, replace(entry, table=fork.name))
         return fork
 
     # -- schema -------------------------------------------------------------------------------------
@@ -332,7 +335,6 @@ class Table:
         props = {
             ROLLED_UP[0]: str(min(e.span[0] for e in chosen)),
             ROLLED_UP[1]: str(max(e.span[1] for e in chosen)),
-            REPLACED_ROWS: str(sum(e.rows for e in chosen)),
         }
         return self._publish(entries, "rollup", load_id, written, path, props, schema, specs)
 
@@ -378,7 +380,8 @@ class Table:
         if isinstance(as_of, int):
             return self._check_version(entries, as_of)
         if isinstance(as_of, datetime):
-            moment = as_of if as_of.tzinfo is None else as_of.astimezone(timezone.utc).replace(tzinfo=None)
+            # ledger times arrive on the driver in its local time
+            moment = as_of if as_of.tzinfo is None else as_of.astimezone().replace(tzinfo=None)
             before = [e.seq for e in entries if e.published_at is not None and e.published_at <= moment]
             if not before:
                 raise VersionNotFound(f"table {self.namespace}.{self.name} has no version at {as_of}")
@@ -486,10 +489,10 @@ class Table:
         return rows.filter(~hit).unionByName(rows.filter(hit).join(gone.hint("merge"), keys, "left_anti"))
 
     def count(self, exact: bool = True) -> int:
-        """Live rows; ``exact=False`` sums the ledger's row counts and does not subtract deleted rows."""
+        """Live rows; ``exact=False`` takes the ledger's total, which does not subtract deleted rows."""
         if exact:
             return self.read().count()
-        return sum(e.rows for e in visible_entries(self._live()) if e.op in LOADS)
+        return self._live()[-1].total_rows
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:

@@ -8,7 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.window import Window
 
 from tableload.functions.names import join_id
 from tableload.functions.types import ColSchema
@@ -20,7 +19,7 @@ from tableload.operators.feed import (
     only_table,
     with_default_namespace,
 )
-from tableload.plans.ledger import LOADS, REPLACED_ROWS, STARTS, Entry, ledger_frame, segment
+from tableload.plans.ledger import Entry, ledger_frame, segment
 from tableload.plans.table import PART_COLUMN, Table
 
 TableId = tuple[str, str]
@@ -50,18 +49,18 @@ class Warehouse:
     def list_tables(self, namespace: str | None = None, include: Iterable[str] | None = None) -> DataFrame:
         """Live tables with their estimated rows (deleted rows not subtracted) and schema."""
         ledger = include_tables(ledger_frame(self.spark, self.root, namespace), include)
-        table = Window.partitionBy("namespace", "table")
-        start = F.max(F.when(F.col("op").isin(*STARTS), F.col("seq"))).over(table)
-        end = F.max(F.when(F.col("op") == "drop", F.col("seq"))).over(table)
-        live = ledger.select(
-            "*", F.coalesce(start, F.lit(0)).alias("start"), F.coalesce(end, F.lit(0)).alias("end")
-        ).filter(F.col("seq") > F.col("end"))
-        counted = F.col("op").isin(*LOADS) & (F.col("seq") >= F.col("start"))
-        replaced = F.coalesce(F.try_element_at("props", F.lit(REPLACED_ROWS)).try_cast("bigint"), F.lit(0))
-        return live.groupBy("namespace", "table").agg(
-            F.coalesce(F.sum(F.when(counted, F.col("rows") - replaced)), F.lit(0)).alias("rows"),
-            F.lit(False).alias("is_view"),
-            F.max_by("schema_json", "seq").alias("schema_json"),
+        latest = F.max_by(F.struct("op", "total_rows", "schema_json"), "seq").alias("latest")
+        return (
+            ledger.groupBy("namespace", "table")
+            .agg(latest)
+            .filter("latest.op <> 'drop'")
+            .select(
+                "namespace",
+                "table",
+                F.col("latest.total_rows").alias("rows"),
+                F.lit(False).alias("is_view"),
+                F.col("latest.schema_json").alias("schema_json"),
+            )
         )
 
     # -- change feeds -------------------------------------------------------------------------------
