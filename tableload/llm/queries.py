@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableload.llm.exact import exact_duplicates
+from tableload.llm.jaccard import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,3 +37,28 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 )
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(given(spark, sf_dir, "documents")).drop("raw_sha256")
+
+
+@query(
+    r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+        FROM documents
+    ), s AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+            ELSE list_transform(range(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3]) END) AS shingle
+        FROM w
+    ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    both_have AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+    ), links AS (
+        SELECT a, b FROM both_have JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+    ), reach AS (
+        SELECT doc_id AS node, doc_id AS other FROM documents UNION SELECT node, b FROM reach JOIN links ON a = other
+    )
+    SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id
+    FROM documents d JOIN reach ON node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+    """
+)
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(given(spark, sf_dir, "documents")).drop("class_id")
