@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableload.llm.exact import exact_duplicates
 from tableload.llm.jaccard import near_duplicates
+from tableload.llm.quality import judged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -62,3 +63,66 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(given(spark, sf_dir, "documents")).drop("class_id")
+
+
+@query(
+    r"""
+    WITH w AS (
+        SELECT doc_id, lang, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+               len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS n_symbols
+        FROM documents
+    ), starts AS (
+        SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w
+    ), windows AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i + 7], ' ')) AS c FROM starts
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM windows WHERE c > 1) GROUP BY 1
+    ), m AS (
+        SELECT w.doc_id, lang, source, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+               n_symbols, len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+        FROM w LEFT JOIN covered c ON c.doc_id = w.doc_id
+    ), b AS (
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+               {'symbols_pm': 1000 * n_symbols // greatest(word_chars, 1), 'dup_lines_pm': 1000 * n_dup_lines // greatest(n_lines, 1),
+                'repeat_pm': 1000 * n_repeat_words // greatest(n_words, 1), 'word_length_pm': 1000 * word_chars // greatest(n_words, 1)} AS pm
+        FROM m
+    ), measured AS (
+        SELECT doc_id, lang, source, 'symbols_pm' AS measure, pm.symbols_pm AS v, base_failed FROM b
+        UNION ALL SELECT doc_id, lang, source, 'dup_lines_pm', pm.dup_lines_pm, base_failed FROM b
+        UNION ALL SELECT doc_id, lang, source, 'repeat_pm', pm.repeat_pm, base_failed FROM b
+        UNION ALL SELECT doc_id, lang, source, 'word_length_pm', pm.word_length_pm, base_failed FROM b
+    ), buckets AS (
+        SELECT lang, source, measure, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bucket, count(*) AS n
+        FROM measured WHERE NOT base_failed GROUP BY ALL
+    ), merged AS (
+        SELECT 1 AS level, lang, source, measure, bucket, n FROM buckets
+        UNION ALL SELECT 2, lang, NULL, measure, bucket, sum(n) FROM buckets GROUP BY ALL
+        UNION ALL SELECT 3, NULL, NULL, measure, bucket, sum(n) FROM buckets GROUP BY ALL
+    ), ranked AS (
+        SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bucket) AS upto,
+               sum(n) OVER (PARTITION BY level, lang, source, measure) AS size
+        FROM merged
+    ), q AS (
+        SELECT level, lang, source, measure, any_value(size) AS size, min(bucket) FILTER (upto * 100 >= size * 25) AS q25,
+               min(bucket) FILTER (upto * 100 >= size * 50) AS q50, min(bucket) FILTER (upto * 100 >= size * 75) AS q75
+        FROM ranked GROUP BY ALL
+    ), f AS (
+        SELECT level, lang, source, measure, size, q50,
+               4 * greatest(q75 - q25, CASE measure WHEN 'symbols_pm' THEN 10 WHEN 'dup_lines_pm' THEN 120 WHEN 'repeat_pm' THEN 60 ELSE 250 END) AS spread
+        FROM q
+    ), chosen AS (
+        SELECT d.doc_id, d.measure, d.v, arg_min({'q50': f.q50, 'spread': f.spread}, f.level) AS t
+        FROM measured d JOIN f ON f.measure = d.measure AND (f.level = 3 OR f.size >= 100
+            AND f.lang IS NOT DISTINCT FROM d.lang AND (f.level = 2 OR f.source IS NOT DISTINCT FROM d.source))
+        GROUP BY ALL
+    ), verdicts AS (
+        SELECT doc_id, bool_and(v <= t.q50 + t.spread AND (measure <> 'word_length_pm' OR v >= t.q50 - t.spread)) AS fine FROM chosen GROUP BY 1
+    )
+    SELECT b.doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND coalesce(fine, TRUE) AS kept
+    FROM b LEFT JOIN verdicts v ON v.doc_id = b.doc_id
+    """
+)
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(given(spark, sf_dir, "documents")).drop("lang", "source", "n_lines", "level")
