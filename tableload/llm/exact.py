@@ -111,6 +111,7 @@ def exact_duplicates(
     groups = flat.groupBy("n_blocks", "name").agg(
         F.max(F.struct("doc_id", "row_id")).alias("best"), F.count("*").alias("group_size")
     )
+    groups = stored(groups, "dedup-groups")  # a join of its own, which Spark can split at a large group
     return flat.join(groups, ["n_blocks", "name"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
