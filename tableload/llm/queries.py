@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tableload.llm.exact import exact_duplicates
 from tableload.llm.jaccard import near_duplicates
 from tableload.llm.quality import judged
+from tableload.llm.toxicity import THRESHOLD, scored, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +127,14 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(given(spark, sf_dir, "documents")).drop("lang", "source", "n_lines", "level")
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = train(docs, given(spark, sf_dir, "labels"), learn=fold != 1)
+    rows = scored(docs.select("doc_id", "text"), model)
+    return rows.select(
+        "doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    )
