@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableload.llm.exact import exact_duplicates
 from tableload.llm.jaccard import near_duplicates
+from tableload.llm.packing import packed_documents
 from tableload.llm.quality import judged
 from tableload.llm.toxicity import THRESHOLD, scored, train
 
@@ -138,3 +139,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
+
+
+@query()
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(given(spark, sf_dir, "documents"))

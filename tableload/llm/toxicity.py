@@ -182,12 +182,14 @@ def train(
     marks = marks.groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     if learn is not None:
         marks = marks.withColumnRenamed("id", id_col).filter(learn).withColumnRenamed(id_col, "id")
-    order = F.xxhash64("id")
-    picked = None
+    marks = marks.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(1 << 14)))
+    sizes = marks.groupBy("toxic", "part").count().toPandas().sort_values("part")  # at most 2 * 2**14 rows
+    bound = F.lit(False)
     for value, most in zip((1, 0), sample):
-        part = marks.filter(F.col("toxic") == value).orderBy(order, "id").limit(most)  # the bound of the sample
-        picked = part if picked is None else picked.unionByName(part)
-    picked = picked.withColumn("counted", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(4)) > 0)
+        own = sizes[sizes["toxic"] == value]
+        within = own["part"][own["count"].cumsum() <= most]
+        bound = bound | (F.col("toxic") == value) & (F.col("part") <= (int(within.max()) if len(within) else -1))
+    picked = marks.filter(bound).select("id", "toxic", (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(4)) > 0).alias("counted"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     chosen = stored(texts.join(F.broadcast(picked), "id").filter("text is not null"), "toxic-sample")
 
