@@ -24,7 +24,7 @@ LENGTH = 2048
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
 TOLERANCE = 0.0005
-ROUNDS = 1500
+ROUNDS = 400
 SMOOTHING = 0.7
 RANK_BLOCK = 50_000  # pieces ranked together
 
@@ -116,15 +116,18 @@ def cutting_stock(widths: np.ndarray, demand: np.ndarray, length: int) -> list[t
     patterns = [np.where(np.arange(m) == i, length // widths[i], 0) for i in range(m)]
     inverse = np.diag(1.0 / np.array([p[i] for i, p in enumerate(patterns)]))
     pool = np.array([p for p, _ in _greedy(widths, demand, length)])
-    centre, bound = np.zeros(m), 0.0  # the prices that gave the best lower bound so far
+    centre = widths / length  # the prices that gave the best lower bound so far; these are feasible
+    bound = float(centre @ need)
     for turn in range(ROUNDS):
-        if turn % 200 == 199:
+        if turn % 25 == 24:
             inverse = np.linalg.inv(np.array(patterns, float).T)  # against rounding errors
         plan, prices = inverse @ need, inverse.sum(axis=0)
         total = plan.sum()
         worths = pool @ prices
         column = pool[int(worths.argmax())]
         if worths.max() <= 1 + 1e-6:
+            if total - bound < max(0.5, TOLERANCE * total):
+                break
             smooth = SMOOTHING * centre + (1 - SMOOTHING) * prices  # calmer prices find better patterns [Wentges, 1997]
             for asked in (smooth, prices):
                 worth, column = _knapsack(widths, asked, length)
@@ -135,10 +138,8 @@ def cutting_stock(widths: np.ndarray, demand: np.ndarray, length: int) -> list[t
                     break
             else:
                 break
-            if total - bound < max(0.5, TOLERANCE * total):
-                break
         change = inverse @ column
-        up = change > 1e-9
+        up = change > 1e-7
         ratio = np.where(up, np.maximum(plan, 0) / np.where(up, change, 1), np.inf)
         leaves = int(ratio.argmin())
         row = inverse[leaves] / change[leaves]
