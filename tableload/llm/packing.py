@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tableload.llm.common import stored, text_slices
-from tableload.llm.segments import SegmentEncoder
+from tableload.llm.segments import encoder
 
 LENGTH = 2048
 END_ID = 1
@@ -199,11 +199,11 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = SegmentEncoder(vocabulary)
+        encode_texts = encoder(vocabulary).encode
         for batch in text_slices(batches, 4 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             which, starts, lengths, totals, pieces = [], [], [], [], []
-            for i, ids in enumerate(encoder.encode(texts)):
+            for i, ids in enumerate(encode_texts(texts)):
                 ids += END_ID.to_bytes(4, "little")
                 total = len(ids) // 4
                 for at, end in zip(cuts := cut_points(total, length), cuts[1:]):

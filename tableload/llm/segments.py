@@ -1,21 +1,27 @@
 """Exact token ids of whole texts, from the ids of segments that no token can cross.
 
-A text is cut before single spaces between other characters, where the byte-level splitting rule always cuts too.
-Each task encodes a distinct segment once while it remembers it, and joins the ids of its texts from there.
+The byte-level splitting rule never joins a Latin word with what follows it, nor with anything before it but one
+space. Texts of such words, figures and punctuation are therefore cut around words; a text with an apostrophe before a
+word, several white-space characters before a word, or other scripts is cut only before single spaces between other
+characters, where the rule cuts too. Each worker encodes a distinct segment once while it remembers it, and joins
+the ids of its texts from there.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import public_tokenizers
 from tokenizers import Tokenizer
 
-KNOWN_SEGMENTS = 300_000
-_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
-_PLAIN_ODD = [x for c in _SPACES if c.isascii() for x in {c + " ", " " + c}]
-_OTHER_ODD = [x for c in _SPACES if not c.isascii() for x in (c + " ", " " + c)]
+KNOWN_SEGMENTS = 600_000
+_LATIN = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+_WORDS = re.compile(f" ?[{_LATIN}]+(?:'[{_LATIN}]+)*|(?:(?! ?[{_LATIN}])[\\s\\S])+")
+_SPACED_WORD = re.compile(rf"\s\s[{_LATIN}]")
+_QUOTED_WORD = re.compile(f"(?<![{_LATIN}])'[{_LATIN}]")
+_OTHER_SCRIPT = re.compile("[ɐ-‏ -  -\U0010ffff]")
 _BORDER = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -25,11 +31,11 @@ def vocabulary_path(name: str) -> str:
 
 
 def segments(text: str) -> list[str]:
-    """The text cut before every space that stands between characters other than white space."""
-    odd = text[0] == " " or text[-1] == " " or any(x in text for x in _PLAIN_ODD)
-    odd = odd or not text.isascii() and any(x in text for x in _OTHER_ODD)
-    first, *rest = _BORDER.split(text) if odd else text.split(" ")
-    return [first, *[" " + part for part in rest]]
+    odd = _SPACED_WORD.search(text) or "'" in text and _QUOTED_WORD.search(text)
+    if odd or not text.isascii() and _OTHER_SCRIPT.search(text):
+        first, *rest = _BORDER.split(text)
+        return [first, *[" " + part for part in rest]]
+    return _WORDS.findall(text)
 
 
 class SegmentEncoder:
@@ -43,7 +49,7 @@ class SegmentEncoder:
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [b"".join([i.to_bytes(4, "little") for i in e.ids]) for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = {i for i, t in enumerate(texts) if any(m in t for m in self.marks)}  # marks may stand across segments
@@ -51,10 +57,20 @@ class SegmentEncoder:
         if len(self.known) > KNOWN_SEGMENTS:
             self.known.clear()
         known = self.known
-        new = list({s for parts in cut for s in parts if s not in known})
+        new = list(set().union(*cut).difference(known))
         known.update(zip(new, self._bytes(new)))
         get = known.__getitem__
         out = [b"".join(map(get, parts)) for parts in cut]
         for i in whole:
             out[i] = self._bytes([texts[i]])[0]
         return out
+
+
+_encoders: dict[str, SegmentEncoder] = {}
+
+
+def encoder(vocabulary: str) -> SegmentEncoder:
+    """This worker's encoder: tasks that follow one another keep its segments."""
+    if vocabulary not in _encoders:
+        _encoders[vocabulary] = SegmentEncoder(vocabulary)
+    return _encoders[vocabulary]
