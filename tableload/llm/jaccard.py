@@ -5,11 +5,11 @@ n - ceil(0.85 n) + 1). Rows with equal sets become one class; classes of equal s
 [Bouros, Ge and Mamoulis, 2012]. Groups meet on shared prefix shingles and are filtered by size and position; only
 then are they expanded to their classes, filtered by a signature and verified on whole texts.
 
-Joining goes in two rounds, so that a family of m near copies does not cost m*m comparisons. Round one compares
-each class with its group's first and each group with the pivot of each shingle it shares (the group where the
-shingle stands foremost). Round two takes every other pair of groups that shares a prefix shingle and is not
-already one component, and verifies all their pairs of classes from different components. Every candidate pair is
-thus either verified or already connected, which is all that components need.
+Joining goes in rounds, so that a family of m near copies does not cost m*m comparisons. The first compares each
+class with its group's first and each group with the pivots of the shingles it shares; some more take other pivots
+for what is still apart. The last takes every other pair of groups that shares a prefix shingle and is not already
+one component, and verifies all their pairs of classes from different components. Every candidate pair is thus
+either verified or already connected, which is all that components need.
 
 The order of shingles uses a bounded summary of frequent ones. It only steers how many candidates there are: any
 order common to all sets gives the same components.
@@ -30,7 +30,7 @@ SHINGLE_WORDS = 4
 SIMILARITY = 85  # hundredths
 SUMMARY_KEYS = 1 << 17  # frequent shingles known to every task: 2 MB
 SUMMARY_LOCAL = 1 << 18  # shingles one task keeps while it counts
-SIGNATURE_CELLS = 64
+STAR_ROUNDS = 2  # rounds with other pivots, after the first
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93), np.uint64(1))
@@ -103,16 +103,12 @@ def frequent_shingles(docs: DataFrame, text_col: str, size: int, keys: int) -> t
         often = counts >= 4
         yield pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(counts[often])], ["token", "n"])
 
-    top = (
-        docs.select(text_col)
-        .mapInArrow(count, "token long, n long")
-        .groupBy("token")
-        .agg(F.sum("n").alias("n"))
-        .filter("n >= 8")
-        .orderBy(F.desc("n"), "token")
-        .limit(keys)
-        .toPandas()
-    )
+    found = stored(docs.select(text_col).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter("n >= 8"), "frequent")
+    # the most frequent ones that fit, by six leading bits of their counts: at most a few hundred rows decide
+    rough = F.expr("shiftleft(shiftright(n, greatest(length(bin(n)) - 6, 0)), greatest(length(bin(n)) - 6, 0))")
+    sizes = found.groupBy(rough.alias("rough")).count().toPandas().sort_values("rough", ascending=False)
+    fits = sizes["rough"][sizes["count"].cumsum() <= keys]
+    top = found.filter(rough >= int(fits.min()) if len(fits) else F.lit(False)).toPandas()
     tokens = top["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], top["n"].to_numpy(np.int64)[order]
@@ -134,8 +130,23 @@ def prefix_of(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, simi
 
 
 def _signature(tokens: np.ndarray) -> bytes:
-    """Shingles per cell of the hash space; |a - b| summed over the cells bounds the sets' difference from below."""
-    return np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=SIGNATURE_CELLS).astype("<i4").tobytes()
+    """Shingles per cell of the hash space, about two a cell, at most 255; the number of cells is a power of two."""
+    bits = min(16, max(4, (len(tokens) // 2).bit_length()))
+    return np.minimum(np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def _least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the number of shingles in one of two sets only: |a - b| summed over common cells."""
+    x, y = (np.frombuffer(s, np.uint8).astype(np.int32) for s in (a, b))
+    if len(x) > len(y):
+        x, y = y, x
+    if len(y) > len(x):
+        y = y.reshape(len(x), -1)
+        if y.max() == 255:  # cut off: the sum of its parts is no count
+            return 0
+        y = y.sum(axis=1)
+        x, y = np.minimum(x, 255), np.minimum(y, 255)
+    return int(np.abs(x - y).sum())
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, size: int, similarity: int, keys: int) -> DataFrame:
@@ -182,12 +193,9 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = [
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").reshape(-1, SIGNATURE_CELLS).astype(np.int64)
-                for c in ("s_a", "s_b")
-            ]
             total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            most = (total - np.abs(cells[0] - cells[1]).sum(axis=1)) // 2
+            apart = np.fromiter(map(_least_difference, batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist()), np.int64, len(total))
+            most = (total - apart) // 2
             yield batch.select(["a", "b"]).filter(pa.array(100 * most >= similarity * (total - most)))
 
     pairs = stored(pairs.filter(_alike_in_size("n_a", "n_b", similarity)).mapInArrow(near, "a long, b long"), "near-pairs")
@@ -230,6 +238,28 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     return stored(wide.mapInArrow(verify, "a long, b long"), "links")
 
 
+def _order(turn: int):
+    """A random order of groups, one of four for each shingle, anew in each turn."""
+    return F.xxhash64("group", F.pmod("token", F.lit(4)), F.lit(turn))
+
+
+def _open_pairs(postings: DataFrame, spans: DataFrame, placed: DataFrame, similarity: int) -> DataFrame:
+    """All pairs (a, b) of classes from different components whose groups share a prefix shingle or are one group."""
+    x, y = postings.alias("x"), postings.alias("y")
+    reach = F.expr("least(x.pos, y.pos) + least(x.n - x.pos, y.n - y.pos)")  # most shingles the two sets can share
+    pairs = x.join(
+        y,
+        F.expr("x.token = y.token and x.`group` < y.`group` and not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo)")
+        & _alike_in_size("x.n", "y.n", similarity)
+        & (reach * (100 + similarity) >= F.expr("x.n + y.n") * similarity),
+    )
+    pairs = pairs.select(F.col("x.group").alias("g"), F.col("y.group").alias("h")).distinct()
+    pairs = pairs.unionByName(spans.filter("lo <> hi").select(F.col("group").alias("g"), F.col("group").alias("h")))
+    left = placed.select(F.col("class").alias("a"), F.col("group").alias("g"), F.col("component").alias("c"))
+    right = placed.select(F.col("class").alias("b"), F.col("group").alias("h"), F.col("component").alias("d"))
+    return pairs.join(left, "g").join(right, "h").filter("c <> d and (g <> h or a < b)").select("a", "b")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -264,49 +294,50 @@ def near_duplicates(
     )
     members = stored(classes.select("class", "prefix_key").join(groups.select("group", "prefix_key"), "prefix_key").drop("prefix_key"), "members")
 
-    # prefix shingles that two groups or more share, with the pivot: the group in whose prefix it stands foremost
+    # prefix shingles that two groups or more share, with two pivots: the group in whose prefix the shingle stands
+    # foremost, and the first in one of a few random orders
     postings = groups.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
-    place = F.shiftleft(F.least("pos", F.lit(1023)).cast("long"), 53)
-    pivots = postings.groupBy("token").agg(F.count("*").alias("c"), F.min(place.bitwiseOR(F.col("group"))).alias("pivot"))
-    pivots = pivots.filter("c > 1").select("token", F.col("pivot").bitwiseAND(F.lit((1 << 53) - 1)).alias("pivot"))
+    place = F.shiftleft(F.least("pos", F.lit(1023)).cast("long"), 53).bitwiseOR(F.col("group"))
+    pivots = postings.groupBy("token").agg(
+        F.count("*").alias("c"), F.min(place).alias("place"), F.min_by("group", _order(0)).alias("other")
+    )
+    pivots = pivots.filter("c > 1").select("token", F.col("place").bitwiseAND(F.lit((1 << 53) - 1)).alias("pivot"), "other")
     postings = stored(postings.join(pivots, "token"), "postings")
 
-    first = members.filter("class <> `group`").select(F.col("group").alias("a"), F.col("class").alias("b"))
-    first = first.unionByName(
-        postings.filter("`group` <> pivot").select(F.col("pivot").alias("a"), F.col("group").alias("b")).distinct()
-    )
-    tried = stored(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
-    links = _linked(tried, classes, docs, id_col, text_col, size, similarity)
-    joined = stored(components(links), "joined")
+    def verified(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
+        return pairs, _linked(pairs, classes, docs, id_col, text_col, size, similarity)
 
-    # round two: pairs of groups that are not wholly within one component
-    placed = stored(
-        members.join(joined.withColumnRenamed("node", "class"), "class", "left").select("class", "group", F.coalesce("component", "class").alias("component")),
-        "placed",
-    )
-    spans = placed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_postings = postings.drop("pivot").join(spans, "group")
-    mixed = open_postings.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("token")
-    open_postings = stored(open_postings.join(mixed, "token", "left_semi"), "open-postings")
-    x, y = open_postings.alias("x"), open_postings.alias("y")
-    reach = F.expr("least(x.pos, y.pos) + 1 + least(x.n - x.pos, y.n - y.pos) - 1")
-    apart = F.expr("not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo)")
-    pairs = x.join(y, F.expr("x.token = y.token and x.`group` < y.`group`") & apart & _alike_in_size("x.n", "y.n", similarity)
-                   & (reach * (100 + similarity) >= F.expr("x.n + y.n") * similarity))
-    pairs = pairs.select(F.col("x.group").alias("g"), F.col("y.group").alias("h")).distinct()
-    pairs = pairs.unionByName(spans.filter("lo <> hi").select(F.col("group").alias("g"), F.col("group").alias("h")))
-    left = placed.select(F.col("class").alias("a"), F.col("group").alias("g"), F.col("component").alias("c"))
-    right = placed.select(F.col("class").alias("b"), F.col("group").alias("h"), F.col("component").alias("d"))
-    rest = pairs.join(left, "g").join(right, "h").filter("c <> d and (g <> h or a < b)")
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = _linked(stored(rest, "rest"), classes, docs, id_col, text_col, size, similarity)
-
-    if not more.isEmpty():
-        joined = stored(components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "joined")
+    first = members.select(F.col("group").alias("a"), F.col("class").alias("b"))
+    for pivot in ("pivot", "other"):
+        first = first.unionByName(postings.select(F.col(pivot).alias("a"), F.col("group").alias("b")))
+    tried, links = verified(first.filter("a <> b"))
+    joined = stored(components(links), "joined")
+    for turn in range(1, STAR_ROUNDS + 2):
+        # what is still open: shingles shared by groups that are not all in one component
+        placed = members.join(joined.withColumnRenamed("node", "class"), "class", "left")
+        placed = stored(placed.select("class", "group", F.coalesce("component", "class").alias("component")), "placed")
+        spans = placed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        postings = postings.select("token", "group", "n", "pos").join(spans, "group")
+        mixed = postings.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("token")
+        postings = stored(postings.join(mixed, "token", "left_semi"), "open-postings")
+        if turn <= STAR_ROUNDS:
+            pivots = postings.groupBy("token").agg(F.min_by(F.struct("group", "lo", "hi"), _order(turn)).alias("p"))
+            rest = postings.join(pivots, "token").filter("p.`group` <> `group` and not (lo = hi and p.lo = p.hi and lo = p.lo)")
+            rest = rest.select(F.col("p.group").alias("a"), F.col("group").alias("b"))
+        else:
+            rest = _open_pairs(postings, spans, placed, similarity)
+        rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        done, more = verified(rest.join(tried, ["a", "b"], "left_anti"))
+        tried = tried.unionByName(done)
+        if not more.isEmpty():
+            known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            joined = stored(components(known.unionByName(more)), "joined")
+        postings = postings.drop("lo", "hi")
     joined = joined.withColumnRenamed("node", "class")
     spread = classes.select("class", "set_key", "low").join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     lowest = spread.groupBy("component").agg(F.min("low").alias("component_id"))
-    ids = spread.join(lowest, "component").select("set_key", F.col("low").alias("class_id"), "component_id")
+    ids = stored(spread.join(lowest, "component").select("set_key", F.col("low").alias("class_id"), "component_id"), "ids")
     rows = sets.select("doc_id", F.col("n").alias("n_shingles"), "set_key")
     return rows.join(ids, "set_key", "left").select(
         "doc_id",
