@@ -11,6 +11,7 @@ from tableload.llm.jaccard import near_duplicates
 from tableload.llm.packing import packed_documents
 from tableload.llm.quality import judged
 from tableload.llm.toxicity import THRESHOLD, scored, train
+from tableload.llm.warc import archived_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -144,3 +145,22 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(given(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    hashed AS (SELECT page_id, h, sha1(h) AS hex, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+    bits AS (
+        SELECT page_id, h, first, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31 AS INT), 1), '' ORDER BY i) AS digest
+        FROM hashed, range(32) t(i) GROUP BY ALL
+    )
+    SELECT page_id, octet_length(encode(h)) AS payload_bytes, digest AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM bits
+    """
+)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = archived_pages(given(spark, sf_dir, "pages"))
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
