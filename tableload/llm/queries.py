@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableload.llm.exact import exact_duplicates
 from tableload.llm.jaccard import near_duplicates
+from tableload.llm import langid
 from tableload.llm.packing import packed_documents
 from tableload.llm.quality import judged
+from tableload.llm.spm import encoded, token_counts
 from tableload.llm.toxicity import THRESHOLD, scored, train
 from tableload.llm.warc import archived_pages
 
@@ -164,3 +166,30 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = archived_pages(given(spark, sf_dir, "pages"))
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents")
+    rows = encoded(docs.select("doc_id", "text"), carry_text=True)
+    spaced = F.translate(F.coalesce("text", F.lit("")), "\u2581", " ")  # the marker is a space to the tokenizer
+    return rows.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+        (F.col("decoded") == spaced).alias("round_trip"),
+    )
+
+
+@query()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(given(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    filters = langid.train(docs, learn=fold != 2)
+    rows = langid.identified(docs, filters)
+    return rows.select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
