@@ -1,7 +1,7 @@
-"""Grouped prefix join: connected components of documents whose shingle sets have a Jaccard similarity of 0.85 or more.
+"""Grouped prefix join: connected components of documents whose shingle sets have a Jaccard similarity of at least a threshold.
 
 Sets are ordered rare shingles first, so that two similar sets must share a shingle of their prefixes (the first
-n - ceil(0.85 n) + 1). Rows with equal sets become one class; classes of equal size and prefix become one group
+n - ceil(t n) + 1). Rows with equal sets become one class; classes of equal size and prefix become one group
 [Bouros, Ge and Mamoulis, 2012]. Groups meet on shared prefix shingles and are filtered by size and position; only
 then are they expanded to their classes, filtered by a signature and verified on whole texts.
 
@@ -24,10 +24,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tableload.llm.common import components, stored, text_slices
+from tableload.llm.common import components, free_name, stored, text_slices
 
-SHINGLE_WORDS = 4
-SIMILARITY = 85  # hundredths
+SHINGLE_WORDS = 5
+SIMILARITY = 80  # hundredths
 SUMMARY_KEYS = 1 << 17  # frequent shingles known to every task: 2 MB
 SUMMARY_LOCAL = 1 << 18  # shingles one task keeps while it counts
 STAR_ROUNDS = 2  # rounds with other pivots, after the first
@@ -345,3 +345,17 @@ def near_duplicates(
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS, similarity: int = SIMILARITY
+) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component, with all their columns.
+
+    Rows with one id are one document: they stay or go together. Rows without an id stay.
+    """
+    rows = near_duplicates(docs, id_col, text_col, size, similarity)
+    gone = free_name(docs.columns, "dropped_id")
+    dropped = rows.groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"))
+    dropped = stored(dropped.filter("stays = 0").select(F.col("doc_id").alias(gone)), "dropped")
+    return docs.join(dropped, F.col(id_col).cast("long") == F.col(gone), "left_anti")

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tableload.llm import langid
+from tableload.llm.chat import rendered
 from tableload.llm.exact import exact_duplicates
 from tableload.llm.jaccard import near_duplicates
-from tableload.llm import langid
 from tableload.llm.packing import packed_documents
 from tableload.llm.quality import judged
 from tableload.llm.spm import encoded, token_counts
@@ -67,7 +68,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(given(spark, sf_dir, "documents")).drop("class_id")
+    return near_duplicates(given(spark, sf_dir, "documents"), size=4, similarity=85).drop("class_id")
 
 
 @query(
@@ -193,3 +194,25 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     filters = langid.train(docs, learn=fold != 2)
     rows = langid.identified(docs, filters)
     return rows.select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query(
+    """
+    WITH t AS (
+        SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+    ), c AS (
+        SELECT conv_id, list({'turn': turn, 'content': sha256(length(role) || ':' || role || text), 'role': role, 'text': text}
+            ORDER BY turn, sha256(length(role) || ':' || role || text)) AS turns
+        FROM t GROUP BY 1
+    ), k AS (SELECT conv_id, turns, len(turns) AS n, list_transform(turns, lambda x: x.turn || x.content) AS keys FROM c),
+    proper AS (SELECT DISTINCT keys[1:i] AS keys FROM k, range(1, 1000) r(i) WHERE i < n),
+    whole AS (SELECT keys, min(conv_id) AS conv_id, count(*) AS n_copies FROM k GROUP BY 1)
+    SELECT w.conv_id, CAST(x.turn // 512 AS BIGINT) AS part, CAST(k.n AS BIGINT) AS n_turns, w.n_copies,
+           string_agg('<|im_start|>' || x.role || chr(10) || x.text || '<|im_end|>' || chr(10), '' ORDER BY x.turn, x.content) AS chat
+    FROM whole w JOIN k ON k.conv_id = w.conv_id, unnest(k.turns) u(x)
+    WHERE w.keys NOT IN (SELECT keys FROM proper) GROUP BY ALL
+    """
+)
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rendered(given(spark, sf_dir, "conversations"))
