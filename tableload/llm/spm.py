@@ -120,7 +120,7 @@ class Normaliser:
         self.model = model
         steps = [normalizers.Precompiled(model.char_map)] if model.char_map else []
         if model.squeeze_spaces:
-            steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip()]
+            steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Replace(Regex(r"\A | \z"), "")]
         self.rules = normalizers.Sequence(steps) if steps else None
 
     def __call__(self, text: str) -> str:
