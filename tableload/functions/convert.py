@@ -115,6 +115,12 @@ def _to_int(x: str, src: T.DataType, kind: str, out: T.DataType) -> str:
         return no_value(out)
     if kind == "int64":
         return value
+    if kind == "uint64":
+        # values that no column can hold stop the job, whatever the policy for bad values
+        whole = f"substring_index({x}, '.', 1)" if isinstance(src, T.StringType) else x
+        told = f"raise_error(concat('uint64 value beyond the signed 64-bit range: ', cast({x} as string)))"
+        beyond = f"try_cast({whole} as decimal(38,0)) > {INT_RANGE[kind][1]}"
+        return f"case when {beyond} then cast({told} as bigint) when {value} >= 0 then {value} end"
     low, high = INT_RANGE[kind]
     return f"try_cast(case when {value} between {low} and {high} then {value} end as {type_sql(out)})"
 
@@ -259,9 +265,9 @@ def _from_variant(x: str, target: ColSchema) -> str:
         return f"case when {held} = 'BINARY' then {get(out)} end"
     if isinstance(out, T.StringType):
         nested = f"startswith({held}, 'OBJECT') or startswith({held}, 'ARRAY')"
-        number = number_text(get(T.DoubleType()))
+        number, short = number_text(get(T.DoubleType())), number_text(get(T.FloatType()))
         return (
-            f"case when {held} = 'STRING' then {get(text)} when {held} in ('DOUBLE', 'FLOAT') then {number} "
+            f"case when {held} = 'STRING' then {get(text)} when {held} = 'DOUBLE' then {number} when {held} = 'FLOAT' then {short} "
             f"when {nested} then to_json({x}) else {get(text)} end"
         )
     if kind in _TIME_KINDS:

@@ -54,6 +54,9 @@ class Transform:
     def value(self, col: Column, dtype: T.DataType) -> Column:
         if self.kind == "identity":
             return col
+        if isinstance(dtype, T.TimestampType) and self.kind in ("years", "months", "days"):
+            # of the day in UTC, whatever the session's zone
+            col = F.date_from_unix_date(F.floor(F.unix_seconds(col) / F.lit(86400)).cast("int"))
         if self.kind == "years":
             return F.year(col) - 1970
         if self.kind == "months":
@@ -74,9 +77,11 @@ class Transform:
         """Partition filter implied by ``low <= source <= high``; none where the transform has no order."""
         column = F.col(f"`{self.column}`")
         if self.kind in MONOTONIC:
-            return column.between(
+            bound = column.between(
                 self.value(F.lit(low).cast(dtype), dtype), self.value(F.lit(high).cast(dtype), dtype)
             )
+            # the empty text comes back from a folder's name as null
+            return bound | column.isNull() if isinstance(dtype, T.StringType) and low == "" else bound
         if low == high:
             return column == self.value(F.lit(low).cast(dtype), dtype)
         return None

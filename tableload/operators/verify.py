@@ -69,12 +69,13 @@ def observed(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]
 
 
 def _comparable(df: DataFrame) -> DataFrame:
-    """Columns by name; maps and variants, which cannot be hashed or compared, as JSON text."""
+    """Columns by name; nested values and variants as JSON text that shows nulls at every depth."""
 
     def column(field: T.StructField) -> Column:
         col = quoted(field.name)
-        simple = field.dataType.simpleString()
-        return F.to_json(col).alias(field.name) if "map<" in simple or "variant" in simple else col
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            return F.to_json(col, {"ignoreNullFields": "false"}).alias(field.name)
+        return col
 
     return df.select(*[column(f) for f in sorted(df.schema.fields, key=lambda f: f.name)])
 
@@ -82,7 +83,7 @@ def _comparable(df: DataFrame) -> DataFrame:
 def fingerprint(df: DataFrame) -> DataFrame:
     """Rows and an order-free hash: row hashes summed as decimals, so that no overflow occurs."""
     rows = _comparable(df)
-    row_hash = F.xxhash64(*[quoted(c) for c in rows.columns]).cast("decimal(20,0)")
+    row_hash = _row_hash(rows).cast("decimal(20,0)")
     return rows.agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_hash), F.lit(0)).cast("decimal(38,0)").alias("hash")
     )
@@ -117,7 +118,12 @@ def canon_compare(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 def _hashes(df: DataFrame, sign: int) -> DataFrame:
     rows = _comparable(df)
-    return rows.select(F.xxhash64(*[quoted(c) for c in rows.columns]).alias("hash"), F.lit(sign).cast("bigint").alias("n"))
+    return rows.select(_row_hash(rows).alias("hash"), F.lit(sign).cast("bigint").alias("n"))
+
+
+def _row_hash(rows: DataFrame) -> Column:
+    """Nulls are hashed as such: Spark's hash of several columns passes over them."""
+    return F.xxhash64(*[c for name in rows.columns for c in (quoted(name).isNull(), quoted(name))], F.lit(len(rows.columns)))
 
 
 def _signature(df: DataFrame) -> list[tuple[str, str]]:

@@ -3,38 +3,44 @@
 from __future__ import annotations
 
 import json
+import random
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from datetime import datetime
+from urllib.parse import quote, unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tableload.functions.layout import Transform
 from tableload.functions.types import ColSchema, from_struct_type, identifier_columns, stored_name, to_struct_type
 from tableload.operators.conform import conform, quoted, require_values
+from tableload.operators.feed import table_to_changes
 from tableload.plans.ledger import (
     LOADS,
     ROLLED_UP,
     Entry,
+    current_entries,
     live_entries,
     ledger_frame,
     loaded_rows,
     publish,
+    publish_together,
     read_entries,
     segment,
     table_folder,
+    unused_id,
     visible_entries,
 )
 
-# Delete sets up to this many rows are sent to every executor (about 200 bytes per row); their row count
-# is in the ledger. Larger ones are joined by shuffle, on the affected files only.
-BROADCAST_DELETES = 200_000
-# Above this many affected files the file list is not put into the plan.
-LISTED_FILES = 1_000
+# Attempts to take a version number of one's own while other writers publish too.
+PUBLISH_ATTEMPTS = 20
 
 LOAD_COLUMN = "_load_id"
 PART_COLUMN = "_load_part"
+REGISTERED = "registered_paths"
 FILE_COLUMN = "_file"
 POSITION_COLUMN = "_pos"
 
@@ -107,8 +113,23 @@ class Table:
             json.dumps(list(partition_by)),
         )
         entry = replace(entry, total_rows=loaded_rows(entries + [entry]))
-        publish(self.spark, self.root, entry)
-        return entry
+        folder_id = unused_id(entries, load_id)
+        publish(self.spark, self.root, entry, folder_id)
+        for _ in range(PUBLISH_ATTEMPTS):
+            # of two writers that took one number, the later one sees both rows and moves on
+            others = [e for e in self.entries() if (e.load_id, e.seq) != (load_id, entry.seq)]
+            if all(e.seq != entry.seq for e in others):
+                return entry
+            time.sleep(random.random() / 4)
+            others = [e for e in self.entries() if (e.load_id, e.seq) != (load_id, entry.seq)]
+            entry = replace(entry, seq=max(e.seq for e in [*others, entry]) + 1)
+            entry = replace(entry, total_rows=loaded_rows([*others, entry]))
+            publish(self.spark, self.root, entry, folder_id)
+        raise RuntimeError(f"no version number of {self.namespace}.{self.name} could be taken for load {load_id}")
+
+    def _published(self, entries: list[Entry], load_id: str) -> Entry | None:
+        """The entry of a load id since the table's rows last began anew."""
+        return next((e for e in current_entries(entries) if e.load_id == load_id), None)
 
     def ensure(
         self, cols: Sequence[ColSchema], partition_by: Sequence[str] = (), props: Mapping[str, str] | None = None
@@ -124,20 +145,20 @@ class Table:
         self._publish(entries, "create", _new_id("create"), props=props, schema=schema, partition_by=partition_by)
         return True
 
-    def drop(self) -> bool:
-        """End the table's life; no error if it is absent."""
+    def drop(self, load_id: str | None = None) -> bool:
+        """End the table's life; no error if it is absent. An id that was published is not acted on again."""
         entries = self.entries()
-        if not live_entries(entries):
+        if not live_entries(entries) or any(e.load_id == load_id for e in entries):
             return False
-        self._publish(entries, "drop", _new_id("drop"))
+        self._publish(entries, "drop", load_id or _new_id("drop"))
         return True
 
-    def truncate(self, cols: Sequence[ColSchema] | None = None) -> bool:
-        """Hide all rows and take on the given schema; an absent table is not created."""
+    def truncate(self, cols: Sequence[ColSchema] | None = None, load_id: str | None = None) -> bool:
+        """Hide all rows and take on the given schema; an absent table is not created. Ids as for ``drop``."""
         entries = self.entries()
-        if not live_entries(entries):
+        if not live_entries(entries) or any(e.load_id == load_id for e in entries):
             return False
-        self._publish(entries, "truncate", _new_id("truncate"), schema=to_struct_type(cols) if cols else None)
+        self._publish(entries, "truncate", load_id or _new_id("truncate"), schema=to_struct_type(cols) if cols else None)
         return True
 
     def add_columns(self, cols: Sequence[ColSchema]) -> T.StructType:
@@ -164,8 +185,7 @@ class Table:
         fork = Table(self.spark, self.root, self.namespace, f"{self.name}@{name}")
         if fork.exists():
             raise ValueError(f"branch {name} is there already")
-        for entry in self._live(version):
-            publish(self.spark, self.root, replace(entry, table=fork.name))
+        publish_together(self.spark, self.root, [replace(e, table=fork.name) for e in self._live(version)], f"branch-{name}")
         return fork
 
     # -- schema -------------------------------------------------------------------------------------
@@ -205,9 +225,8 @@ class Table:
             raise ValueError(f"unknown load mode {mode!r}")
         entries = self.entries()
         load_id = load_id or _new_id(mode)
-        done = [e for e in entries if e.load_id == load_id]
-        if done:
-            return done[0]
+        if done := self._published(entries, load_id):
+            return done
         life = live_entries(entries)
         if life and mode == "append":
             schema, specs = life[-1].schema, life[-1].partitions
@@ -224,10 +243,43 @@ class Table:
             schema = T.StructType(
                 [T.StructField(f.name, rows.schema[f.name].dataType, True, f.metadata) for f in to_struct_type(cols).fields]
             )
-        path = f"{table_folder(self.root, 'data', self.namespace, self.name)}/{segment(LOAD_COLUMN, load_id)}"
+        path = self._load_path(entries, load_id)
         written = self._write(rows, schema, specs, path, max_records_per_file, rebalance)
         return self._publish(entries, mode, load_id, written, path, props, schema, specs)
 
+    def _load_path(self, entries: list[Entry], load_id: str) -> str:
+        return f"{table_folder(self.root, 'data', self.namespace, self.name)}/{segment(LOAD_COLUMN, unused_id(entries, load_id))}"
+
+    def stage_part(self, df: DataFrame, load_id: str, part: str, on_error: str | None = None, nested: str = "json") -> int:
+        """Write one part of a load without publishing it; the table must exist. Rows of the part.
+
+        Parts are written by any number of workers at once. Writing a part again replaces it.
+        """
+        entries = self.entries()
+        life = self._live()
+        if self._published(entries, load_id):
+            raise ValueError(f"load {load_id} is published already")
+        cols = from_struct_type(life[-1].schema)
+        rows = df.withColumn(PART_COLUMN, F.lit(part))
+        rows = require_values(conform(rows, cols, on_error, nested, [PART_COLUMN]), cols)
+        path = f"{self._load_path(entries, load_id)}/{quote('part-' + part, safe='')}"
+        return self._write(rows, life[-1].schema, life[-1].partitions, path)
+
+    def publish_parts(self, load_id: str, parts: Sequence[str], mode: str = "append", props: Mapping[str, str] | None = None) -> Entry:
+        """Make the staged parts of a load visible, all at once; every one of ``parts`` must be there, and no other."""
+        entries = self.entries()
+        if done := self._published(entries, load_id):
+            return done
+        life = self._live()
+        path = self._load_path(entries, load_id)
+        rows = self.spark.read.schema(T.StructType([T.StructField(PART_COLUMN, T.StringType())])).option("recursiveFileLookup", "true")
+        staged = {r[0]: r[1] for r in rows.parquet(path).groupBy(PART_COLUMN).count().collect()}  # one row per part
+        folders = {p: f"{path}/{quote('part-' + p, safe='')}" for p in parts}
+        missing = [p for p in parts if p not in staged and not _is_there(self.spark, folders[p])]
+        if missing or set(staged) - set(parts):
+            raise ValueError(f"load {load_id}: parts {missing} are not staged, parts {sorted(set(staged) - set(parts))} are not asked for")
+        return self._publish(entries, mode, load_id, sum(staged.values()), path, props, life[-1].schema, life[-1].partitions)
+
     def _write(
         self,
         rows: DataFrame,
@@ -268,42 +320,54 @@ class Table:
         """
         entries = self.entries()
         load_id = load_id or _new_id("register")
-        done = [e for e in entries if e.load_id == load_id]
-        if done:
-            return done[0]
+        if done := self._published(entries, load_id):
+            return done
         life = live_entries(entries)
-        found = self.spark.read.parquet(*paths)
-        cols = cols or from_struct_type(life[-1].schema if life else found.schema)
+        # every footer is read, by a job: files that do not go together are refused here, not at a later read
+        frames = [self.spark.read.option("mergeSchema", "true").parquet(path) for path in paths]
+        found = frames[0].schema
+        cols = cols or from_struct_type(life[-1].schema if life else found)
         schema = life[-1].schema if life else to_struct_type(cols)
-        for field in schema.fields:
-            if field.name in found.columns and found.schema[field.name].dataType != field.dataType:
-                raise ValueError(
-                    f"column {field.name} is {found.schema[field.name].dataType.simpleString()} in the files, "
-                    f"{field.dataType.simpleString()} in the table"
-                )
-        files = (
-            self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(list(paths)).select(F.col("path").alias(FILE_COLUMN))
-        )
-        known = [e.path for e in visible_entries(entries) if e.op == "register"]
+        for frame in frames:
+            for field in schema.fields:
+                if field.name in frame.columns and frame.schema[field.name].dataType != field.dataType:
+                    raise ValueError(
+                        f"column {field.name} is {frame.schema[field.name].dataType.simpleString()} in the files, "
+                        f"{field.dataType.simpleString()} in the table"
+                    )
+        reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+        files = _union([reader.load(path).select(F.col("_metadata.file_path").alias(FILE_COLUMN)) for path in paths])
+        twice = files.groupBy(FILE_COLUMN).count().filter("count > 1").select(FILE_COLUMN)
+        known = [e.path for e in current_entries(entries) if e.op == "register"]
         if known:
-            repeated = files.join(self._file_lists(known), FILE_COLUMN, "left_semi").take(1)
-            if repeated:
-                raise ValueError(f"{repeated[0][0]} is part of the table already")
-        path = f"{table_folder(self.root, 'files', self.namespace, self.name)}/{segment(LOAD_COLUMN, load_id)}"
+            twice = twice.unionByName(files.join(self._file_lists(known), FILE_COLUMN, "left_semi"))
+        if repeated := twice.take(1):
+            raise ValueError(f"{repeated[0][0]} is part of the table already")
+        path = f"{table_folder(self.root, 'files', self.namespace, self.name)}/{segment(LOAD_COLUMN, unused_id(entries, load_id))}"
         files.write.mode("overwrite").parquet(path)
-        rows = found.count()
+        rows = sum(frame.count() for frame in frames)
+        props = {**(props or {}), REGISTERED: json.dumps(list(paths))}
         return self._publish(entries, "register", load_id, rows, path, props, schema)
 
     def _file_lists(self, paths: Sequence[str]) -> DataFrame:
         return self.spark.read.schema(f"{FILE_COLUMN} string").parquet(*paths)
 
+    def _registered(self, entry: Entry, schema: T.StructType) -> DataFrame:
+        """Rows of registered files: their folders are scanned, files that came later are left out by a join."""
+        files = self._file_lists([entry.path])
+        frames = []
+        for path in json.loads(entry.props[REGISTERED]):
+            rows = self.spark.read.schema(schema).parquet(path)
+            rows = rows.withColumn(FILE_COLUMN, F.col("_metadata.file_path")).withColumn(POSITION_COLUMN, F.col("_metadata.row_index"))
+            frames.append(rows.join(files, FILE_COLUMN, "left_semi"))
+        return _union(frames)
+
     def delete_where(self, condition: Column | str, load_id: str | None = None) -> Entry:
         """Record the position of every matching row; data files stay as they are."""
         entries = self.entries()
         load_id = load_id or _new_id("delete")
-        done = [e for e in entries if e.load_id == load_id]
-        if done:
-            return done[0]
+        if done := self._published(entries, load_id):
+            return done
         self._live()
         path = f"{table_folder(self.root, 'deletes', self.namespace, self.name)}/{segment(LOAD_COLUMN, load_id)}"
         matches = self.read(positions=True).filter(condition).select(FILE_COLUMN, POSITION_COLUMN)
@@ -319,9 +383,8 @@ class Table:
         """
         entries = self.entries()
         load_id = load_id or _new_id("rollup")
-        done = [e for e in entries if e.load_id == load_id]
-        if done:
-            return done[0]
+        if done := self._published(entries, load_id):
+            return done
         shown = visible_entries(self._live())
         last = max(e.seq for e in shown) if last is None else last
         chosen = [e for e in shown if e.op in LOADS and first <= e.span[0] and e.span[1] <= last]
@@ -356,10 +419,14 @@ class Table:
                 for group in _by_folder(loads)
             ]
         )
+        renamed = {e.path.rsplit("/", 1)[1]: e.load_id for e in loads if not e.path.endswith(f"/{segment(LOAD_COLUMN, e.load_id)}")}
+        load = F.col(LOAD_COLUMN)
+        for folder, name in renamed.items():  # ids that an earlier life of the table had used
+            load = F.when(F.col(LOAD_COLUMN) == unquote(folder.split("=", 1)[1]), F.lit(name)).otherwise(load)
         return files.groupBy(LOAD_COLUMN, PART_COLUMN, "file").agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(self.namespace).alias("namespace"),
             F.lit(self.name).alias("table"),
-            F.col(LOAD_COLUMN).alias("load_id"),
+            load.alias("load_id"),
             F.col(PART_COLUMN).alias("load_part"),
             "file",
             "rows",
@@ -400,9 +467,15 @@ class Table:
         since: int | None = None,
         positions: bool = False,
         partitions: bool = False,
+        touched_only: bool = False,
     ) -> DataFrame:
         """Visible rows, now or as of a version, or only those of loads after version ``since`` (0: all).
 
+        Deleted positions are taken out by an anti-join whose sides Spark sizes itself. With ``touched_only`` the files
+        that deletes touch are told apart first, by their names: for large delete sets that leave most files alone,
+        only rows of touched files are shuffled, at the price of a second scan. A ``since`` before the last replace or
+        truncate is refused, as the rows read up to then are void.
+
         ``between`` bounds a column and skips the folders outside, where the table is partitioned by it.
         ``positions`` adds file and row position, ``partitions`` the partition values.
         """
@@ -415,13 +488,15 @@ class Table:
         shown = visible_entries(entries, version)
         schema, specs = shown[-1].schema, shown[-1].partitions
         loads = [e for e in shown if e.op in LOADS and e.rows and (since is None or e.span[1] > since)]
+        if since and any(e.op in ("replace", "truncate", "drop") and e.seq > since and (version is None or e.seq <= version) for e in entries):
+            raise VersionNotFound(f"the rows of {self.namespace}.{self.name} up to version {since} were replaced")
         if since is not None and any(e.span[0] <= since for e in loads):
             raise VersionNotFound(f"versions around {since} of {self.namespace}.{self.name} have been rolled up")
         deletes = [e for e in shown if e.op == "delete" and e.rows]
         transforms = [Transform.parse(s) for s in specs]
         kept = schema.names + [t.column for t in transforms]
 
-        rows = self._rows(loads, deletes, schema, specs, positions)
+        rows = self._rows(loads, deletes, schema, specs, positions, touched_only)
         for name, (low, high) in (between or {}).items():
             rows = rows.filter(quoted(name).between(low, high))
             for t in transforms:
@@ -437,6 +512,19 @@ class Table:
             shown_columns = shown_columns + [FILE_COLUMN, POSITION_COLUMN]
         return rows.select(*[quoted(c) for c in shown_columns])
 
+    def changes(self, as_of: int | str | datetime | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+        """The rows of a version as a change feed, with the version's number and commit time.
+
+        ``lsn`` is a row's position in its file; with ``load_part``, the file's name, it is unique in the table.
+        """
+        version = self.resolve(as_of)
+        entry = self._live(version)[-1]
+        rows = self.read(columns, as_of=version, positions=True)
+        moment = int(entry.published_at.timestamp() * 1_000_000) * 1000 if entry.published_at else None
+        return table_to_changes(
+            rows, self.namespace, self.name, str(entry.seq), moment, F.col(POSITION_COLUMN), F.col(FILE_COLUMN), list(columns or self.schema(version).names)
+        )
+
     def _read_loads(self, loads: Sequence[Entry], schema: T.StructType) -> DataFrame:
         """One scan over the folders of the given loads; other folders are not even listed."""
         stored, specs = loads[-1].schema, loads[-1].partitions
@@ -456,13 +544,13 @@ class Table:
             ]
         owned = [e for e in loads if e.op != "register"]
         frames = [self._read_loads(group, schema).select(*wanted) for group in _by_folder(owned)]
-        listed = [e.path for e in loads if e.op == "register"]
-        if listed:
-            files = [r[0] for r in self._file_lists(listed).collect()]
-            found = self.spark.read.schema(schema).parquet(*files)
-            for t in transforms:
-                found = found.withColumn(t.column, t.value(quoted(t.source), schema[t.source].dataType))
-            frames.append(found.select(*wanted))
+        for entry in loads:
+            if entry.op == "register":
+                found = self._registered(entry, schema)
+                for t in transforms:
+                    found = found.withColumn(t.column, t.value(quoted(t.source), schema[t.source].dataType))
+                own = [quoted(n) for n in schema.names] + [quoted(t.column) for t in transforms]
+                frames.append(found.select(*own, *([FILE_COLUMN, POSITION_COLUMN] if positions else [])))
         if not frames:
             fields = list(schema.fields)
             fields += [T.StructField(t.column, t.result_type(schema[t.source].dataType)) for t in transforms]
@@ -471,28 +559,34 @@ class Table:
         return _union(frames)
 
     def _rows(
-        self, loads: Sequence[Entry], deletes: Sequence[Entry], schema: T.StructType, specs: Sequence[str], positions: bool
+        self,
+        loads: Sequence[Entry],
+        deletes: Sequence[Entry],
+        schema: T.StructType,
+        specs: Sequence[str],
+        positions: bool,
+        touched_only: bool = False,
     ) -> DataFrame:
         rows = self._scan(loads, schema, specs, bool(deletes) or positions)
-        return self._without_deleted(rows, deletes) if deletes else rows
+        return self._without_deleted(rows, deletes, touched_only) if deletes else rows
 
-    def _without_deleted(self, rows: DataFrame, deletes: Sequence[Entry]) -> DataFrame:
+    def _without_deleted(self, rows: DataFrame, deletes: Sequence[Entry], touched_only: bool) -> DataFrame:
         gone = self.spark.read.schema(DELETE_SCHEMA).parquet(*[e.path for e in deletes])
         keys = [FILE_COLUMN, POSITION_COLUMN]
-        if sum(e.rows for e in deletes) <= BROADCAST_DELETES:
-            return rows.join(F.broadcast(gone), keys, "left_anti")
-        touched = [r[0] for r in gone.select(FILE_COLUMN).distinct().limit(LISTED_FILES + 1).collect()]
-        if len(touched) > LISTED_FILES:
-            return rows.join(gone.hint("merge"), keys, "left_anti")
-        # files without deletes skip the shuffle: the file filter prunes whole files from each scan
-        hit = F.col(FILE_COLUMN).isin(touched)
-        return rows.filter(~hit).unionByName(rows.filter(hit).join(gone.hint("merge"), keys, "left_anti"))
+        if not touched_only:
+            return rows.join(gone, keys, "left_anti")
+        touched = gone.select(FILE_COLUMN).distinct()
+        clean = rows.join(touched, FILE_COLUMN, "left_anti")
+        return clean.unionByName(rows.join(touched, FILE_COLUMN, "left_semi").join(gone, keys, "left_anti"))
 
     def count(self, exact: bool = True) -> int:
         """Live rows; ``exact=False`` takes the ledger's total, which does not subtract deleted rows."""
         if exact:
             return self.read().count()
-        return self._live()[-1].total_rows
+        entries = self.entries()
+        if not live_entries(entries):
+            raise TableNotFound(f"no table {self.namespace}.{self.name}")
+        return loaded_rows(entries)
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -510,5 +604,16 @@ def _by_folder(loads: Sequence[Entry]) -> list[list[Entry]]:
     return list(groups.values())
 
 
+def _is_there(spark: SparkSession, path: str) -> bool:
+    """Whether a folder of Parquet files was written, perhaps without rows."""
+    try:
+        spark.read.schema("_none int").option("recursiveFileLookup", "true").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def _new_id(op: str) -> str:
     return f"{op}-{uuid.uuid4().hex}"

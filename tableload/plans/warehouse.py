@@ -13,24 +13,20 @@ from tableload.functions.names import join_id
 from tableload.functions.types import ColSchema
 from tableload.operators.feed import (
     CLEANUP_KINDS,
+    DONE_KINDS,
     ROW_KINDS,
     feed_columns,
     include_tables,
     only_table,
     with_default_namespace,
 )
-from tableload.plans.ledger import Entry, ledger_frame, segment
+from tableload.plans.ledger import LOADS, ROLLED_UP, STARTS, Entry, ledger_frame, segment
 from tableload.plans.table import PART_COLUMN, Table
+from tableload.session import remove_folder
 
 TableId = tuple[str, str]
 Schemas = Mapping[TableId, Sequence[ColSchema]]
 
-# A feed of more tables than this is first written once, one folder per table, so that the source is read
-# once and each table's load reads only its own rows; for fewer, filtering the feed again is cheaper.
-DIRECT_TABLES = 2
-# The same for a micro-batch, which is held in memory otherwise.
-DIRECT_BATCH_TABLES = 16
-
 
 class Warehouse:
     """``writers`` is the number of tables of one feed that are loaded at a time."""
@@ -49,18 +45,29 @@ class Warehouse:
     def list_tables(self, namespace: str | None = None, include: Iterable[str] | None = None) -> DataFrame:
         """Live tables with their estimated rows (deleted rows not subtracted) and schema."""
         ledger = include_tables(ledger_frame(self.spark, self.root, namespace), include)
-        latest = F.max_by(F.struct("op", "total_rows", "schema_json"), "seq").alias("latest")
-        return (
-            ledger.groupBy("namespace", "table")
-            .agg(latest)
-            .filter("latest.op <> 'drop'")
-            .select(
-                "namespace",
-                "table",
-                F.col("latest.total_rows").alias("rows"),
-                F.lit(False).alias("is_view"),
-                F.col("latest.schema_json").alias("schema_json"),
-            )
+        key = ["namespace", "table"]
+        latest = ledger.groupBy(*key).agg(
+            F.max_by(F.struct("op", "schema_json"), "seq").alias("latest"),
+            F.coalesce(F.max(F.when(F.col("op").isin(*STARTS, "drop"), F.col("seq"))), F.lit(0)).alias("start"),
+        )
+        live = latest.filter("latest.op <> 'drop'")
+        loads = ledger.filter(F.col("op").isin(*LOADS)).select(*key, "seq", "op", "rows", "props").join(live, key).filter("seq >= start")
+        rollups = loads.filter("op = 'rollup'").select(
+            *key,
+            F.col("seq").alias("at"),
+            *[F.try_element_at("props", F.lit(p)).cast("bigint").alias(n) for p, n in zip(ROLLED_UP, ("first", "last"))],
+        )
+        # a load that a later roll-up stands for is not counted
+        begins = F.coalesce(F.try_element_at("l.props", F.lit(ROLLED_UP[0])).cast("bigint"), F.col("l.seq"))
+        inside = begins.between(F.col("r.first"), F.col("r.last")) & (F.col("l.seq") < F.col("r.at"))
+        same = (F.col("l.namespace") == F.col("r.namespace")) & (F.col("l.table") == F.col("r.table"))
+        counted = loads.alias("l").join(rollups.alias("r"), same & inside, "left_anti")
+        totals = counted.groupBy(*key).agg(F.sum("rows").alias("rows"))
+        return live.join(totals, key, "left").select(
+            *key,
+            F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+            F.lit(False).alias("is_view"),
+            F.col("latest.schema_json").alias("schema_json"),
         )
 
     # -- change feeds -------------------------------------------------------------------------------
@@ -75,24 +82,29 @@ class Warehouse:
         default_namespace: str | None = None,
         on_error: str | None = None,
         include: Iterable[str] | None = None,
-        stage: bool | None = None,
+        stage: bool = True,
     ) -> list[Entry]:
         """Bulk load of a feed of any number of tables, each published on its own once all its rows are written.
 
-        Drop and truncate events act before the rows are loaded. Only insert rows are taken. ``stage`` says
-        whether to write the feed once, split by table, before loading; by default with more than two tables.
+        Drop and truncate events act before the rows are loaded, once per load id: a retry does not repeat them. Only
+        insert rows are taken; rows of unknown kinds are refused. The feed is written once, split by table, so that
+        the source is read once; ``stage=False`` filters it again for each table instead. The staged copy is removed
+        when all tables are published.
         """
         load_id = load_id or f"load-{uuid.uuid4().hex}"
         feed = include_tables(with_default_namespace(feed, default_namespace), include)
-        if stage if stage is not None else len(schemas) > DIRECT_TABLES:
+        if stage:
             feed = self._stage(feed, load_id)
         counts, control = self._plan(feed, schemas)
         for key, kind in sorted(control):
             if kind == "drop":
-                self.table(*key).drop()
+                self.table(*key).drop(load_id=f"{load_id}-drop")
             elif kind == "truncate":
-                self.table(*key).truncate(schemas.get(key))
-        return self._load_tables(feed, schemas, counts, load_id, mode, props, on_error)
+                self.table(*key).truncate(schemas.get(key), load_id=f"{load_id}-truncate")
+        entries = self._load_tables(feed, schemas, counts, load_id, mode, props, on_error)
+        if stage:
+            remove_folder(self.spark, self._staging(load_id))
+        return entries
 
     def append_batch(
         self,
@@ -102,19 +114,23 @@ class Warehouse:
         props: Mapping[str, str] | None = None,
         default_namespace: str | None = None,
         on_error: str | None = None,
+        stage: bool = False,
     ) -> list[Entry]:
-        """One micro-batch of a stream: control events are dropped, the rest is appended."""
+        """One micro-batch of a stream: control events are dropped, the rest is appended.
+
+        The batch is kept in memory and on disk while its tables are loaded; with ``stage``, for streams of very many
+        tables, it is written once, split by table, and removed after the publish.
+        """
         feed = with_default_namespace(feed, default_namespace)
-        if len(schemas) > DIRECT_BATCH_TABLES:
-            feed = self._stage(feed, load_id)
-        else:
-            # read once to plan and once per table
-            feed = feed.persist()
+        feed = self._stage(feed, load_id) if stage else feed.persist()
         try:
             counts, _ = self._plan(feed, schemas)
-            return self._load_tables(feed, schemas, counts, load_id, "append", props, on_error)
+            entries = self._load_tables(feed, schemas, counts, load_id, "append", props, on_error)
         finally:
             feed.unpersist()
+        if stage:
+            remove_folder(self.spark, self._staging(load_id))
+        return entries
 
     def _plan(self, feed: DataFrame, schemas: Schemas) -> tuple[dict[TableId, int], set[tuple[TableId, str]]]:
         """Rows per table and clean-up events.
@@ -127,14 +143,17 @@ class Warehouse:
             names = [key[1] for key in schemas if key[0] == namespace]
             declared = declared | ((F.col("namespace") == namespace) & F.col("table").isin(names))
         kind = F.when(F.col("kind").isin(*ROW_KINDS, *CLEANUP_KINDS), F.col("kind"))
+        unknown = ~F.coalesce(F.col("kind").isin(*ROW_KINDS, *CLEANUP_KINDS, *DONE_KINDS), F.lit(False))
         named = declared | F.col("kind").isin(*CLEANUP_KINDS)
         summary = feed.groupBy(
             F.when(named, F.col("namespace")).alias("namespace"), F.when(named, F.col("table")).alias("table"), kind.alias("kind")
-        ).agg(F.count(F.lit(1)).alias("rows"), F.min(join_id(F.col("namespace"), F.col("table"))).alias("example"))
+        ).agg(F.count(F.lit(1)).alias("rows"), F.count_if(unknown).alias("unknown"), F.min(join_id(F.col("namespace"), F.col("table"))).alias("example"))
         counts: dict[TableId, int] = {}
         control: set[tuple[TableId, str]] = set()
         for row in summary.collect():
             key = (row["namespace"], row["table"])
+            if row["unknown"]:
+                raise ValueError(f"{row['unknown']} rows of an unknown kind, as for {row['example']}")
             if row["kind"] in CLEANUP_KINDS:
                 control.add((key, row["kind"]))
             elif row["kind"] in ROW_KINDS and row["kind"] != "insert":
@@ -169,11 +188,14 @@ class Warehouse:
         with ThreadPoolExecutor(self.writers) as pool:
             return list(pool.map(inheritable_thread_target(self.spark)(load), sorted(counts)))
 
+    def _staging(self, load_id: str) -> str:
+        return f"{self.root}/staging/{segment('load', load_id)}"
+
     def _stage(self, feed: DataFrame, load_id: str) -> DataFrame:
-        """The feed written once, one folder per table and kind: no shuffle, and each table's load prunes the rest."""
-        path = f"{self.root}/staging/{segment('load', load_id)}"
+        """The feed written once, one folder per table and kind, in few files each: a table's load prunes the rest."""
+        path = self._staging(load_id)
         folders = ["namespace", "table", "kind"]
-        feed.write.mode("overwrite").partitionBy(*folders).parquet(path)
+        feed.hint("rebalance", *folders).write.mode("overwrite").partitionBy(*folders).parquet(path)
         fields = [f for f in feed.schema.fields if f.name not in folders]
         fields += [T.StructField(n, T.StringType()) for n in folders]
         # the empty name comes back from a folder as null

@@ -50,5 +50,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     )
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate rows from the shared storage it lies in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def is_utc(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")

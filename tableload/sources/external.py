@@ -63,13 +63,13 @@ def topic_stream(spark: SparkSession, servers: str, topic: str, **options: str)
 def message_files(
     spark: SparkSession, path: str, topic: str, stream: bool = True, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Messages landed as Parquet files of ``key`` and ``value``; file and row stand for partition and offset."""
+    """Messages landed as Parquet files of ``key`` and ``value``; a file's path and row stand for partition and offset."""
     reader = spark.readStream if stream else spark.read
     if stream and files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.schema("key string, value string").parquet(path).select(
         F.lit(topic).alias("_topic"),
-        F.col("_metadata.file_name").alias("_partition"),
+        F.col("_metadata.file_path").alias("_partition"),
         F.col("_metadata.row_index").alias("_offset"),
         F.col("_metadata.file_modification_time").alias("_timestamp"),
         "key",

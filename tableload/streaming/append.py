@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tableload.plans.table import Table
@@ -22,9 +23,14 @@ def commit_interval(interval: str | float | None) -> str:
     return interval
 
 
-def batch_load_id(stream: str, batch_id: int) -> str:
-    """The same batch always has the same load id, which makes a replay recognisable."""
-    return f"{stream}-{batch_id:020d}"
+def batch_load_id(stream: str, query_id: str, batch_id: int) -> str:
+    """The same batch of the same checkpoint always has the same load id, which makes a replay recognisable."""
+    return f"{stream}-{query_id}-{batch_id:020d}"
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint: a new checkpoint is a new stream, whatever its name."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()[0]
 
 
 def _start(
@@ -50,15 +56,17 @@ def stream_append(
 ) -> StreamingQuery:
     """Append a streaming change feed to the tables it names.
 
-    Every batch is published per table under an id made of stream name and batch number. A replayed batch
-    publishes only what is still missing, so each row arrives exactly once. A failing batch stops the query;
-    a restart from the checkpoint replays it.
+    Every batch is published per table under an id made of stream name, query id and batch number. A batch that is
+    replayed from its checkpoint publishes only what is still missing, so each row arrives exactly once while the
+    checkpoint lives; a new checkpoint reads the source anew. A failing batch stops the query; a restart from the
+    checkpoint replays it.
     """
     if not feed.isStreaming:
         raise ValueError("stream_append needs a streaming frame; use Warehouse.load_feed for a batch")
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        warehouse.append_batch(batch, schemas, batch_load_id(stream, batch_id), props, default_namespace, on_error)
+        load_id = batch_load_id(stream, query_id(batch.sparkSession, checkpoint), batch_id)
+        warehouse.append_batch(batch, schemas, load_id, props, default_namespace, on_error)
 
     return _start(feed.writeStream.foreachBatch(append), stream, checkpoint, interval, drain)
 
@@ -77,7 +85,7 @@ def stream_table(
         raise ValueError("stream_table needs a streaming frame; use Table.load for a batch")
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        table.load(batch, load_id=batch_load_id(stream, batch_id), **load_options)
+        table.load(batch, load_id=batch_load_id(stream, query_id(batch.sparkSession, checkpoint), batch_id), **load_options)
 
     return _start(rows.writeStream.foreachBatch(append), stream, checkpoint, interval, drain)
 
@@ -97,14 +105,18 @@ def transfer(
     name: str,
     checkpoint: str | None = None,
     mode: str | None = None,
+    run: str | None = None,
     **options: object,
 ):
-    """Pick the load mode: streams are appended, frames are bulk-loaded; anything else is refused."""
+    """Pick the load mode: streams are appended, frames are bulk-loaded; anything else is refused.
+
+    A bulk load takes the source anew each time it is called. ``run`` names one run, so that it can be retried.
+    """
     chosen = mode or ("append_stream" if source.isStreaming else "snapshot")
     if chosen == "append_stream" and source.isStreaming:
         if checkpoint is None:
             raise ValueError("a stream needs a checkpoint folder")
         return stream_append(source, warehouse, schemas, name, checkpoint, **options)
     if chosen == "snapshot" and not source.isStreaming:
-        return warehouse.load_feed(source, schemas, name, mode="replace", **options)
+        return warehouse.load_feed(source, schemas, f"{name}-{run or uuid.uuid4().hex}", mode="replace", **options)
     raise ValueError("only a snapshot of a frame and an append-only stream are supported")

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-import tableload.plans.table as table_module
 from tableload import table_to_changes
 from tableload.functions.types import from_struct_type
 from tableload.operators.feed import feed_columns, only_table, with_default_namespace
@@ -49,19 +48,26 @@ def test_small_delete_sets_do_not_shuffle_the_table(spark, warehouse, plan):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-def test_files_without_deletes_skip_the_shuffle(spark, warehouse, plan, monkeypatch):
-    monkeypatch.setattr(table_module, "BROADCAST_DELETES", 0)
+def test_files_without_deletes_skip_the_shuffle(spark, warehouse, plan):
+    """Only rows of touched files are joined with the deletes, however many files that are."""
     table = warehouse.table("ns", "wide")
     for i in range(4):
         table.load(wide(spark).filter(F.col("key") % 4 == i))
     table.delete_where("key = 5")
-    df = table.read()
-    text = plan(df)
-    assert "SortMergeJoin" in text and "Union" in text
-    assert df.count() == 999
-    joined = df.filter("key < 1000").select("key")
-    scans = [line for line in plan(joined).splitlines() if "FileScan parquet" in line]
-    assert len(scans) == 3  # untouched files, touched files, delete set
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = table.read(touched_only=True)
+        text = plan(df)
+        assert "Union" in text and text.count("SortMergeJoin") == 3
+        assert df.count() == table.read().count() == 999
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staged_files_do_not_grow_with_tasks(spark, warehouse):
+    feed = table_to_changes(wide(spark).repartition(32), "", F.concat(F.lit("t"), F.col("key") % 3))
+    staged = warehouse._stage(with_default_namespace(feed, None), "load")
+    assert len(staged.inputFiles()) == 3
 
 
 def test_counts_read_no_columns(spark, warehouse, plan):

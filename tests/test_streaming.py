@@ -6,9 +6,11 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tableload import ColSchema, stream_append, stream_table, table_to_changes, transfer
+from tableload.operators.feed import control_events
 from tableload.operators.messages import dedupe_messages
-from tableload.sources.external import row_files
-from tableload.streaming.append import batch_load_id, commit_interval, drain_and_stop
+from tableload.session import remove_folder
+from tableload.sources.external import message_files, row_files
+from tableload.streaming.append import batch_load_id, commit_interval, drain_and_stop, query_id
 
 COLS = [ColSchema("id", "int64", primary_key=True, required=True), ColSchema("name", "string", required=True)]
 SCHEMA = "id bigint, name string"
@@ -47,7 +49,7 @@ def test_commit_interval():
 def test_fan_out_with_default_namespace(spark, warehouse, landing, checkpoint):
     stream_append(feed(spark, landing), warehouse, SCHEMAS, "s", checkpoint, drain=True, default_namespace="streaming").awaitTermination()
     assert ids(warehouse, "n0", "n1") == ALL
-    assert [e.load_id for e in warehouse.table("streaming", "n0").entries()] == [batch_load_id("s", i) for i in range(3)]
+    assert [e.load_id for e in warehouse.table("streaming", "n0").entries()] == [batch_load_id("s", query_id(spark, checkpoint), i) for i in range(3)]
 
 
 def test_two_pushes_are_both_visible(spark, warehouse, landing, checkpoint):
@@ -82,14 +84,65 @@ def test_failed_batch_is_completed_by_the_restart(spark, warehouse, landing, che
 
 
 def test_rows_staged_by_a_dead_batch_are_replaced(spark, warehouse, landing, checkpoint):
-    table = warehouse.table("streaming", "n0")
-    table.ensure(COLS)
-    stale = f"{warehouse.root}/data/ns=streaming/table=n0/_load_id={batch_load_id('s', 1)}"
-    spark.createDataFrame([(777, "stale")], SCHEMA).write.parquet(stale)
-    stream_append(feed(spark, landing), warehouse, SCHEMAS, "s", checkpoint, drain=True, default_namespace="streaming").awaitTermination()
+    options = {"drain": True, "default_namespace": "streaming"}
+    stream_append(feed(spark, landing), warehouse, SCHEMAS, "s", checkpoint, **options).awaitTermination()
+    # as if the stream had died before it published the last batch
+    last = batch_load_id("s", query_id(spark, checkpoint), 2)
+    for name in glob.glob(f"{checkpoint}/commits/*2") + glob.glob(f"{checkpoint}/commits/.2*"):
+        os.unlink(name)
+    for table in ("n0", "n1"):
+        remove_folder(spark, f"{warehouse.root}/ledger/ns=streaming/table={table}/load={last}")
+    stale = f"{warehouse.root}/data/ns=streaming/table=n0/_load_id={last}"
+    spark.createDataFrame([(777, "stale")], SCHEMA).write.mode("append").parquet(stale)
+    stream_append(feed(spark, landing), warehouse, SCHEMAS, "s", checkpoint, **options).awaitTermination()
     assert ids(warehouse, "n0", "n1") == ALL
 
 
+def test_a_new_checkpoint_reads_the_source_anew(spark, warehouse, landing, tmp_path):
+    table = warehouse.table("public", "t")
+    for i in range(2):
+        stream_table(row_files(spark, landing, SCHEMA), table, "s", str(tmp_path / f"c{i}"), drain=True, cols=COLS).awaitTermination()
+    assert table.count() == 24
+
+
+def test_a_second_transfer_of_one_name_loads_anew(spark, warehouse):
+    schemas = {("", "t"): COLS}
+    for n in (3, 5):
+        rows = spark.createDataFrame([(n, "x")] * n, SCHEMA)
+        transfer(table_to_changes(rows, "", "t"), warehouse, schemas, "name")
+        assert [r.id for r in warehouse.table("", "t").read().collect()] == [n] * n
+    rows = spark.createDataFrame([(7, "x")], SCHEMA)
+    for _ in range(2):
+        transfer(table_to_changes(rows, "", "t"), warehouse, schemas, "name", run="retried")
+    assert len(warehouse.table("", "t").entries()) == 3
+
+
+@pytest.mark.parametrize("kind", ["drop", "truncate"])
+def test_a_retried_feed_cleans_up_once(spark, warehouse, kind):
+    rows = table_to_changes(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), "", "t")
+    warehouse.table("", "t").load(spark.createDataFrame([(9, "old")], SCHEMA), COLS)
+    feed = rows.unionByName(control_events(spark.range(1), F.lit(kind), F.lit(""), F.lit("t")))
+    for _ in range(2):
+        warehouse.load_feed(feed, {("", "t"): COLS}, "bulk")
+        assert sorted(r.id for r in warehouse.table("", "t").read().collect()) == [1, 2]
+    assert not os.path.exists(f"{warehouse.root}/staging/load=bulk")
+
+
+def test_rows_of_an_unknown_kind_are_refused(spark, warehouse):
+    rows = table_to_changes(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), "", "t")
+    odd = rows.withColumn("kind", F.expr("case when lsn is null and rand() >= 0 then 'upsert' else kind end"))
+    for unknown in (odd, rows.withColumn("kind", F.lit(None).cast("string"))):
+        with pytest.raises(ValueError, match="unknown kind"):
+            warehouse.load_feed(unknown, {("", "t"): COLS})
+
+
+def test_messages_of_files_with_one_name(spark, tmp_path):
+    for folder in ("a", "b"):
+        spark.createDataFrame([("k", folder)], "key string, value string").coalesce(1).write.parquet(str(tmp_path / folder))
+    rows = message_files(spark, str(tmp_path / "*"), "t", stream=False)
+    assert rows.select("_partition", "_offset").distinct().count() == 2
+
+
 def test_control_events_are_ignored_and_updates_refused(spark, warehouse, landing, checkpoint, tmp_path):
     marked = feed(spark, landing).withColumn("kind", F.when(F.col("table") == "n0", F.lit("truncate")).otherwise(F.col("kind")))
     stream_append(marked, warehouse, SCHEMAS, "s", checkpoint, drain=True, default_namespace="streaming").awaitTermination()
