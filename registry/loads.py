@@ -268,6 +268,8 @@ def load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT 'copy' AS compared, true AS same_schema, true AS same_rows, 0::BIGINT AS missing, 0::BIGINT AS extra
     UNION ALL SELECT 'changed', true, false, count(*), count(*) FROM orders WHERE o_orderstatus = 'P'
     UNION ALL SELECT 'other type', false, false, count(*), count(*) FROM orders
+    UNION ALL SELECT 'shifted nulls', true, false, count(*), count(*) FROM orders
+    UNION ALL SELECT 'empty and null', true, false, count(*), count(*) FROM orders
     """
 )
 def canon_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,32 +280,68 @@ def canon_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_totalprice", F.when(F.col("o_orderstatus") == "P", -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
     )
     other = orders.withColumn("o_totalprice", F.col("o_totalprice").cast("float"))
-    return stack(
-        [
-            verify.canon_compare(frame, table.read()).withColumn("compared", F.lit(label))
-            for label, frame in (("copy", orders), ("changed", changed), ("other type", other))
-        ]
-    )
+    key, none = F.col("o_custkey"), F.lit(None).cast("bigint")
+    left, right = (orders.select(a.alias("a"), b.alias("b")) for a, b in ((key, none), (none, key)))
+    some, absent = (orders.select("o_orderkey", v.alias("v")) for v in (F.array().cast("array<int>"), F.lit(None).cast("array<int>")))
+    pairs = {
+        "copy": (orders, table.read()),
+        "changed": (changed, table.read()),
+        "other type": (other, table.read()),
+        "shifted nulls": (left, right),
+        "empty and null": (some, absent),
+    }
+    return stack([verify.canon_compare(*pair).withColumn("compared", F.lit(label)) for label, pair in pairs.items()])
 
 
 @query(
-    "SELECT true AS refused, count(*) FILTER (event_type = 'error') AS refused_rows, 0::BIGINT AS loaded_rows FROM events"
+    """
+    SELECT kind, true AS refused, count(*) FILTER (event_type = 'error') AS refused_rows, 0::BIGINT AS loaded_rows
+    FROM events, (VALUES ('update'), ('upsert')) k(kind) GROUP BY kind
+    """
 )
 def append_only_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A feed with updates in it is refused as a whole."""
-    feed = event_feed(given(spark, sf_dir, "events"))
-    feed = feed.withColumn("kind", F.when(F.col("table") == "error", F.lit("update")).otherwise(F.col("kind")))
-    warehouse = new_warehouse(spark, "guard")
-    try:
-        warehouse.append_batch(feed, EVENT_SCHEMAS, "batch-0")
-        refused = False
-    except ValueError:
-        refused = True
-    loaded = sum(warehouse.table(*k).count(exact=False) for k in EVENT_SCHEMAS if warehouse.table_exists(*k))
-    return feed.agg(
-        F.lit(refused).alias("refused"),
-        F.count_if(F.col("kind") == "update").alias("refused_rows"),
-        F.lit(loaded).cast("bigint").alias("loaded_rows"),
-    )
+    """A feed with updates, or with rows of an unknown kind, is refused as a whole."""
+    results = []
+    for kind in ("update", "upsert"):
+        feed = event_feed(given(spark, sf_dir, "events"))
+        feed = feed.withColumn("kind", F.when(F.col("table") == "error", F.lit(kind)).otherwise(F.col("kind")))
+        warehouse = new_warehouse(spark, f"guard-{kind}")
+        try:
+            warehouse.append_batch(feed, EVENT_SCHEMAS, "batch-0")
+            refused = False
+        except ValueError:
+            refused = True
+        loaded = sum(warehouse.table(*k).count(exact=False) for k in EVENT_SCHEMAS if warehouse.table_exists(*k))
+        results.append(
+            feed.agg(
+                F.lit(kind).alias("kind"),
+                F.lit(refused).alias("refused"),
+                F.count_if(F.col("kind") == kind).alias("refused_rows"),
+                F.lit(loaded).cast("bigint").alias("loaded_rows"),
+            )
+        )
+    return stack(results)
+
 
+@query("SELECT * FROM supplier")
+def retried_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bulk load that cleans up its table first is run twice under one id: the second run changes nothing."""
+    warehouse = new_warehouse(spark, "retried")
+    supplier = given(spark, sf_dir, "supplier")
+    warehouse.table(NAMESPACE, "supplier").load(supplier.withColumn("s_name", F.lit("old")))
+    control = control_events(spark.range(1), F.lit("truncate"), F.lit(NAMESPACE), F.lit("supplier"))
+    feed = control.unionByName(table_to_changes(supplier, NAMESPACE, "supplier"))
+    for _ in range(2):
+        warehouse.load_feed(feed, {(NAMESPACE, "supplier"): declared(spark, sf_dir, "supplier")}, "nightly")
+    return warehouse.table(NAMESPACE, "supplier").read()
 
+
+@query("SELECT * FROM customer")
+def repeated_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second transfer under a name takes the source anew."""
+    warehouse = new_warehouse(spark, "repeated")
+    customer = given(spark, sf_dir, "customer")
+    schemas = {(NAMESPACE, "customer"): declared(spark, sf_dir, "customer")}
+    for rows in (customer.withColumn("c_acctbal", F.lit(0.0)), customer):
+        transfer(table_to_changes(rows, NAMESPACE, "customer"), warehouse, schemas, "nightly")
+    return warehouse.table(NAMESPACE, "customer").read()

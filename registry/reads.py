@@ -73,6 +73,45 @@ def table_to_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT '1' AS snapshot_id, count(*) AS rows, count(*) AS positions, true AS timed FROM orders
+    UNION ALL SELECT '2', 2 * count(*), 2 * count(*), true FROM orders
+    """
+)
+def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions as change feeds: their number, their commit time, and a position that is unique in the table."""
+    table = new_warehouse(spark, "changes").table(NAMESPACE, "orders")
+    for _ in range(2):
+        table.load(given(spark, sf_dir, "orders"))
+    return stack(
+        [
+            table.changes(as_of=version)
+            .groupBy("snapshot_id", "load_part", "lsn", (F.col("commit_time") > 0).alias("timed"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("snapshot_id", "timed")
+            .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("positions"))
+            for version in (1, 2)
+        ]
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey, mark FROM (
+      SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN '' WHEN 'F' THEN NULL ELSE o_orderstatus END AS mark FROM orders)
+    WHERE mark BETWEEN '' AND 'O'
+    """
+)
+def pruned_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds on a text partition that holds the empty text and nulls."""
+    status = F.col("o_orderstatus")
+    mark = F.when(status == "P", F.lit("")).when(status != "F", status)
+    table = new_warehouse(spark, "marks").table(NAMESPACE, "orders")
+    table.load(given(spark, sf_dir, "orders").select("o_orderkey", mark.alias("mark")), partition_by=["mark"])
+    return table.read(between={"mark": ("", "O")})
+
+
 @query("SELECT * FROM lineitem")
 def restore_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = given(spark, sf_dir, "lineitem")
