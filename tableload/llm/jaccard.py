@@ -18,6 +18,7 @@ order common to all sets gives the same components.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,6 @@ SUMMARY_LOCAL = 1 << 18  # shingles one task keeps while it counts
 STAR_ROUNDS = 1  # rounds with other pivots, after the first
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93), np.uint64(1))
 
 
 class _WordHashes(dict):
@@ -46,6 +46,12 @@ class _WordHashes(dict):
         return value
 
 
+@cache
+def _multipliers(size: int) -> list[np.uint64]:
+    """One odd number for each place in a shingle."""
+    return [np.uint64(xxhash.xxh3_64_intdigest(b"", seed=i) | 1) for i in range(size)]
+
+
 def _spread(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _MIX
     return x ^ (x >> np.uint64(29))
@@ -61,9 +67,10 @@ def shingle_set(text: bytes | None, hashes: dict, size: int = SHINGLE_WORDS) ->
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     n = len(h) - size + 1
     out = np.zeros(n, np.uint64)
-    for i in range(size):
-        out += _spread(h[i : i + n] * _POWERS[i % 4] + np.uint64(i))
-    return np.unique(_spread(out))
+    for i, multiplier in enumerate(_multipliers(size)):
+        out += h[i : i + n] * multiplier
+    out = np.sort(_spread(out))
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def _texts(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
