@@ -6,9 +6,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
-from tableload import ColSchema, conform, conform_report, required_check
+from tableload import ColSchema, conform, conform_report, required_check, table_to_changes
 from tableload.functions.convert import number_text, to_variant
 from tableload.operators.conform import require_values
+from tableload.operators.feed import restore_values
 
 UTC = dt.timezone.utc
 
@@ -37,7 +38,7 @@ CASES = [
     ("string", "uint8", ["255", "256", "-1"], [255, None, None]),
     ("string", "uint16", ["65535", "65536"], [65535, None]),
     ("string", "uint32", ["4294967295", "4294967296", "-1"], [4294967295, None, None]),
-    ("string", "uint64", ["9223372036854775807", "18446744073709551615", "-1"], [2**63 - 1, None, None]),
+    ("string", "uint64", ["9223372036854775807", "-1"], [2**63 - 1, None]),
     # numbers from numbers: towards zero
     ("double", "int64", [3.9, -3.9, 1e30, math.nan, math.inf], [3, -3, None, None, None]),
     ("decimal(20,2)", "int64", [Decimal("3.90"), Decimal("-0.50")], [3, 0]),
@@ -201,3 +202,18 @@ def test_whole_numbers_from_any_text(spark, values):
 
     values = [v for v in values if "\n" not in v and all(ord(c) < 0xD800 for c in v)]
     assert converted(spark, values, "string", "int64") == [expected(v) for v in values]
+
+
+@pytest.mark.parametrize("source, value", [("string", "9223372036854775808"), ("string", "18446744073709551615"), ("decimal(20,0)", Decimal(2**63))])
+@pytest.mark.parametrize("on_error", [None, "null", "default"])
+def test_uint64_beyond_the_signed_range_stops_the_job(spark, source, value, on_error):
+    rows = spark.createDataFrame([(value,)], f"v {source}")
+    with pytest.raises(Exception, match="signed 64-bit range"):
+        conform(rows, [ColSchema("v", "uint64")], on_error).collect()
+
+
+def test_float32_has_one_text_in_a_feed_and_direct(spark):
+    rows = spark.sql("select cast(0.1 as float) as v")
+    cols = [ColSchema("v", "string")]
+    direct = conform(rows, cols).first()[0]
+    assert direct == restore_values(table_to_changes(rows, "", "t"), cols).first()[0] == "0.1"
