@@ -28,7 +28,7 @@ MAX_REPEAT_PERCENT = 30
 MIN_GROUP = 100  # documents
 FENCE = 4
 # measure (thousandths): least distance of the quartiles that counts, whether low values fail too
-MEASURES = {"symbols_pm": (10, False), "dup_lines_pm": (120, False), "repeat_pm": (60, False), "word_length_pm": (250, True)}
+MEASURES = {"symbols_pm": (10, False), "dup_lines_pm": (180, False), "repeat_pm": (70, False), "word_length_pm": (400, True)}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 

@@ -115,7 +115,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM ranked GROUP BY ALL
     ), f AS (
         SELECT level, lang, source, measure, size, q50,
-               4 * greatest(q75 - q25, CASE measure WHEN 'symbols_pm' THEN 10 WHEN 'dup_lines_pm' THEN 120 WHEN 'repeat_pm' THEN 60 ELSE 250 END) AS spread
+               4 * greatest(q75 - q25, CASE measure WHEN 'symbols_pm' THEN 10 WHEN 'dup_lines_pm' THEN 180 WHEN 'repeat_pm' THEN 70 ELSE 400 END) AS spread
         FROM q
     ), chosen AS (
         SELECT d.doc_id, d.measure, d.v, arg_min({'q50': f.q50, 'spread': f.spread}, f.level) AS t
