@@ -12,8 +12,12 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
+from itertools import chain
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 KNOWN_SEGMENTS = 600_000
@@ -38,6 +42,24 @@ def segments(text: str) -> list[str]:
     return _WORDS.findall(text)
 
 
+def looked_up(cut: list[list[str]], known: dict[str, bytes], make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+    """The bytes of each list of segments, joined; ``make`` gives those that are not known yet.
+
+    Arrow numbers the segments, so that Python sees each distinct one once, and puts their bytes side by side.
+    """
+    segments = pa.array(list(chain.from_iterable(cut)), pa.string()).dictionary_encode()
+    distinct = segments.dictionary.to_pylist()
+    new = [s for s in distinct if s not in known]
+    known.update(zip(new, make(new)))
+    if not distinct:
+        return [b""] * len(cut)
+    joined = pa.array([known[s] for s in distinct], pa.binary()).take(segments.indices)
+    _, offsets, data = joined.buffers()
+    ends = np.frombuffer(offsets, np.int32)[joined.offset + np.cumsum([0, *map(len, cut)])]
+    view = memoryview(data)
+    return [bytes(view[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
 class SegmentEncoder:
     """Little-endian unsigned 32-bit ids of texts under a byte-level vocabulary of the tokenizers library."""
 
@@ -56,11 +78,7 @@ class SegmentEncoder:
         cut = [[] if i in whole or not t else segments(t) for i, t in enumerate(texts)]
         if len(self.known) > KNOWN_SEGMENTS:
             self.known.clear()
-        known = self.known
-        new = list(set().union(*cut).difference(known))
-        known.update(zip(new, self._bytes(new)))
-        get = known.__getitem__
-        out = [b"".join(map(get, parts)) for parts in cut]
+        out = looked_up(cut, self.known, self._bytes)
         for i in whole:
             out[i] = self._bytes([texts[i]])[0]
         return out

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
 from tableload.llm.common import text_slices
-from tableload.llm.segments import KNOWN_SEGMENTS, vocabulary_path
+from tableload.llm.segments import KNOWN_SEGMENTS, looked_up, vocabulary_path
 
 MODEL = "piece_bpe_32k.model"
 THREADS = 2
@@ -192,10 +192,7 @@ class PieceCodec:
         cut = [self.cut.findall(self.normalise(t)) for t in texts]
         if len(self.known) > KNOWN_SEGMENTS:
             self.known.clear()
-        new = list(set().union(*cut).difference(self.known))
-        self.known.update(zip(new, self._bytes_of(new)))
-        get = self.known.__getitem__
-        return [b"".join(map(get, parts)) for parts in cut]
+        return looked_up(cut, self.known, self._bytes_of)
 
     def decode(self, batch: list[bytes]) -> list[str]:
         ids = [array("I", b).tolist() for b in batch]
