@@ -527,13 +527,13 @@ def dedupe_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per line item, with an array of price levels in it."""
-    level = "named_struct('currency', {c}, 'value', {v}, 'countryIds', array(l_linestatus))"
+    level = "named_struct('unit', {c}, 'value', {v}, 'places', array(l_linestatus))"
     return given(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         "l_shipdate",
-        "to_json(named_struct('_id', l_orderkey, 'floors', array("
+        "to_json(named_struct('_id', l_orderkey, 'tiers', array("
         + level.format(c="l_returnflag", v="l_quantity")
         + ", "
         + level.format(c="'EUR'", v="l_discount")
@@ -543,14 +543,14 @@ def _price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _DOC_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
 _DOC_SQL = "SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, {} FROM lineitem"
-_LEVEL_SQL = "'{{\"currency\":\"' || {c} || '\",\"value\":' || {v}::VARCHAR || ',\"countryIds\":[\"' || l_linestatus || '\"]}}'"
+_LEVEL_SQL = "'{{\"unit\":\"' || {c} || '\",\"value\":' || {v}::VARCHAR || ',\"places\":[\"' || l_linestatus || '\"]}}'"
 _LEVEL_1 = _LEVEL_SQL.format(c="l_returnflag", v="l_quantity")
 _LEVEL_2 = _LEVEL_SQL.format(c="'EUR'", v="l_discount")
 
 
 @query(_DOC_SQL.format(f"2 AS elements, {_LEVEL_1} AS first_element, {_LEVEL_2} AS second_element"))
 def json_array_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _price_documents(spark, sf_dir).withColumn("raw", documents.json_array_raw(F.col("document"), "floors"))
+    docs = _price_documents(spark, sf_dir).withColumn("raw", documents.json_array_raw(F.col("document"), "tiers"))
     return docs.select(
         *_DOC_KEYS,
         F.size("raw").alias("elements"),
@@ -561,7 +561,7 @@ def json_array_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_DOC_SQL.format("2 AS elements, l_quantity AS first_value, l_discount AS second_value"))
 def json_array_float(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = documents.json_array_float(F.col("document"), "floors", "value")
+    values = documents.json_array_float(F.col("document"), "tiers", "value")
     docs = _price_documents(spark, sf_dir).withColumn("values", values)
     return docs.select(
         *_DOC_KEYS,
@@ -571,21 +571,21 @@ def json_array_float(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(_DOC_SQL.format("2 AS elements, l_returnflag || ',EUR' AS currency_from_floors"))
+@query(_DOC_SQL.format("2 AS elements, l_returnflag || ',EUR' AS units_of_tiers"))
 def json_array_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = documents.json_array_string(F.col("document"), "floors", "currency")
+    values = documents.json_array_string(F.col("document"), "tiers", "unit")
     docs = _price_documents(spark, sf_dir).withColumn("values", values)
     return docs.select(
-        *_DOC_KEYS, F.size("values").alias("elements"), F.array_join("values", ",").alias("currency_from_floors")
+        *_DOC_KEYS, F.size("values").alias("elements"), F.array_join("values", ",").alias("units_of_tiers")
     )
 
 
-@query(_DOC_SQL.format(f"'[' || {_LEVEL_1} || ',' || {_LEVEL_2} || ']' AS floors_as_string, l_orderkey::VARCHAR AS id_as_string"))
+@query(_DOC_SQL.format(f"'[' || {_LEVEL_1} || ',' || {_LEVEL_2} || ']' AS tiers_text, l_orderkey::VARCHAR AS id_as_string"))
 def json_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _price_documents(spark, sf_dir)
     return docs.select(
         *_DOC_KEYS,
-        documents.json_raw(F.col("document"), "floors").alias("floors_as_string"),
+        documents.json_raw(F.col("document"), "tiers").alias("tiers_text"),
         documents.json_raw(F.col("document"), "_id").alias("id_as_string"),
     )
 

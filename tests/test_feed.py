@@ -195,7 +195,7 @@ def test_jdbc_options():
 
 # -- documents --------------------------------------------------------------------------------------
 
-DOCUMENT = """{"_id":"D1AAD9AB","floors":[{"currency":"EUR","value":0.2,"countryIds":["IT"]},{"currency":"EUR","value":0.3,"countryIds":["FR","GB"]}]}"""
+DOCUMENT = """{"_id":"doc-7","tiers":[{"unit":"kg","value":0.25,"places":["A1"]},{"unit":"kg","value":0.5,"places":["B2","C3"]}]}"""
 
 
 def test_flatten_a_document(spark, warehouse, tmp_path):
@@ -209,23 +209,23 @@ def test_flatten_a_document(spark, warehouse, tmp_path):
     doc = F.col("kept")
     flat = tables[("db", "test_data2")].select(
         "_id",
-        json_array_raw(doc, "floors").alias("floors_as_string_array"),
-        json_array_float(doc, "floors", "value").alias("value_from_floors"),
-        json_array_string(doc, "floors", "currency").alias("currency_from_floors"),
-        json_raw(assume_not_null(doc), "floors").alias("floors_as_string"),
+        json_array_raw(doc, "tiers").alias("tier_texts"),
+        json_array_float(doc, "tiers", "value").alias("values_of_tiers"),
+        json_array_string(doc, "tiers", "unit").alias("units_of_tiers"),
+        json_raw(assume_not_null(doc), "tiers").alias("tiers_text"),
     )
     table = warehouse.table("db", "test_data2")
     table.load(flat, nested="native")
     first, second = (
-        '{"currency":"EUR","value":0.2,"countryIds":["IT"]}',
-        '{"currency":"EUR","value":0.3,"countryIds":["FR","GB"]}',
+        '{"unit":"kg","value":0.25,"places":["A1"]}',
+        '{"unit":"kg","value":0.5,"places":["B2","C3"]}',
     )
     assert table.read().first().asDict() == {
-        "_id": "D1AAD9AB",
-        "floors_as_string_array": [first, second],
-        "value_from_floors": [0.2, 0.3],
-        "currency_from_floors": ["EUR", "EUR"],
-        "floors_as_string": f"[{first},{second}]",
+        "_id": "doc-7",
+        "tier_texts": [first, second],
+        "values_of_tiers": [0.25, 0.5],
+        "units_of_tiers": ["kg", "kg"],
+        "tiers_text": f"[{first},{second}]",
     }
 
 
@@ -269,9 +269,9 @@ MESSAGE_COLS = [
 ]
 
 
-def test_topic_messages(spark, warehouse, tmp_path):
+def test_messages_of_a_topic(spark, warehouse, tmp_path):
     path = str(tmp_path / "topic1")
-    values = [(f"any_key_{i}", f'{{"id": "{i}", "level": "my_level", "caller": "my_caller", "msg": "my_msg"}}') for i in range(5)]
+    values = [(f"key-{i}", f'{{"id": "{i}", "level": "info", "caller": "main", "msg": "started"}}') for i in range(5)]
     spark.createDataFrame(values, "key string, value string").repartition(2).write.parquet(path)
     messages = message_files(spark, path, "topic1", stream=False)
     parsed = parse_messages(messages, MESSAGE_COLS)
@@ -281,7 +281,7 @@ def test_topic_messages(spark, warehouse, tmp_path):
     assert table.count() == 5
     assert "_partition_tr" in table.schema().names
     row = table.read().orderBy("id").first()
-    assert (row["id"], row["level"], row["caller"], row["msg"]) == (0, "my_level", "my_caller", "my_msg")
+    assert (row["id"], row["level"], row["caller"], row["msg"]) == (0, "info", "main", "started")
     assert row["_partition_tr"].endswith(".parquet")
 
 
