@@ -5,11 +5,11 @@ n - ceil(t n) + 1). Rows with equal sets become one class; classes of equal size
 [Bouros, Ge and Mamoulis, 2012]. Groups meet on shared prefix shingles and are filtered by size and position; only
 then are they expanded to their classes, filtered by a signature and verified on whole texts.
 
-Joining goes in rounds, so that a family of m near copies does not cost m*m comparisons. The first compares each
-class with its group's first and each group with the pivots of the shingles it shares; some more take other pivots
-for what is still apart. The last takes every other pair of groups that shares a prefix shingle and is not already
-one component, and verifies all their pairs of classes from different components. Every candidate pair is thus
-either verified or already connected, which is all that components need.
+Joining goes in two rounds, so that a family of m near copies does not cost m*m comparisons. The first compares each
+class with its group's first and each group with the pivots of the shingles it shares. The second takes every other
+pair of groups that shares a prefix shingle and is not already one component, and verifies all their pairs of classes
+from different components. Every candidate pair is thus either verified or already connected, which is all that
+components need.
 
 The order of shingles uses a bounded summary of frequent ones. It only steers how many candidates there are: any
 order common to all sets gives the same components.
@@ -31,7 +31,6 @@ SHINGLE_WORDS = 5
 SIMILARITY = 80  # hundredths
 SUMMARY_KEYS = 1 << 17  # frequent shingles known to every task: 2 MB
 SUMMARY_LOCAL = 1 << 18  # shingles one task keeps while it counts
-STAR_ROUNDS = 1  # rounds with other pivots, after the first
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -121,22 +120,19 @@ def frequent_shingles(docs: DataFrame, text_col: str, size: int, keys: int) -> t
     return tokens[order], top["n"].to_numpy(np.int64)[order]
 
 
-def prefix_of(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity: int) -> tuple[np.ndarray, int]:
-    """The first n - ceil(t n) + 1 shingles of a set: those not known as frequent by hash, then by frequency.
-
-    Also how many are not known as frequent, if the prefix goes beyond them (and thus holds all of them), else -1.
-    """
+def prefix_of(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity: int) -> np.ndarray:
+    """The first n - ceil(t n) + 1 shingles of a set: those not known as frequent by hash, then by frequency."""
     n = len(tokens)
     p = n - (similarity * n + 99) // 100 + 1
     if not len(frequent):
-        return tokens[:p], -1
+        return tokens[:p]
     at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
     known = frequent[at] == tokens
     rare = tokens[~known]
     if len(rare) >= p:
-        return rare[:p], -1
+        return rare[:p]
     often, at = tokens[known], at[known]
-    return np.concatenate([rare, often[np.lexsort((often, counts[at]))]])[:p], len(rare)
+    return np.concatenate([rare, often[np.lexsort((often, counts[at]))]])[:p]
 
 
 def _signature(tokens: np.ndarray) -> bytes:
@@ -160,7 +156,7 @@ def _least_difference(a: bytes, b: bytes) -> int:
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, size: int, similarity: int, keys: int) -> DataFrame:
-    """Per row of ``docs``: row, doc_id, n, set_key, prefix_key, signature, prefix and its rare part. Stored."""
+    """Per row of ``docs``: row, doc_id, n, set_key, prefix_key, signature, prefix. Stored."""
     frequent, counts = frequent_shingles(docs, text_col, size, keys)
     shared = docs.sparkSession.sparkContext.broadcast((frequent, counts))
 
@@ -168,8 +164,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, similarity
         hashes, (known, often) = _WordHashes(), shared.value
         for batch in text_slices(batches):
             sets = [shingle_set(t, hashes, size) for t in _texts(batch, "text")]
-            found = [prefix_of(s, known, often, similarity) for s in sets]
-            prefixes = [f[0] for f in found]
+            prefixes = [prefix_of(s, known, often, similarity) for s in sets]
             ends = np.cumsum([0, *map(len, prefixes)])
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -181,13 +176,12 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, similarity
                     pa.array([xxhash.xxh3_128_digest(p.tobytes(), seed=len(s)) for s, p in zip(sets, prefixes)], pa.binary()),
                     pa.array([_signature(s) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64))),
-                    pa.array([f[1] for f in found], pa.int64()),
                 ],
-                ["row", "doc_id", "n", "set_key", "prefix_key", "signature", "prefix", "rare"],
+                ["row", "doc_id", "n", "set_key", "prefix_key", "signature", "prefix"],
             )
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "row long, doc_id long, n long, set_key binary, prefix_key binary, signature binary, prefix array<long>, rare long"
+    schema = "row long, doc_id long, n long, set_key binary, prefix_key binary, signature binary, prefix array<long>"
     return stored(rows.mapInArrow(describe, schema), "sets")
 
 
@@ -195,12 +189,6 @@ def _alike_in_size(a: str, b: str, similarity: int):
     return F.expr(f"100 * least({a}, {b}) >= {similarity} * greatest({a}, {b})")
 
 
-def _may_link(n: str, m: str, live: str, other: str, similarity: int):
-    """Sizes that allow the similarity, and enough shingles that may be shared."""
-    enough = F.expr(f"{live} is null or {other} is null or least({live}, {other}) * {100 + similarity} >= ({n} + {m}) * {similarity}")
-    return _alike_in_size(n, m, similarity) & enough
-
-
 def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, similarity: int) -> DataFrame:
     """Of the pairs (a, b) of classes those whose texts are similar; stored. Signatures first, then whole texts."""
     light = classes.select("class", "n", "signature")
@@ -220,7 +208,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
 
     # texts of the classes that are still in some pair, found by id; the set's key tells rows with one id apart
     needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    needed = stored(needed.join(classes.select("class", "doc_id", "set_key"), "class"), "needed")
+    needed = needed.join(classes.select("class", "doc_id", "set_key"), "class")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = source.join(needed, F.col("id").eqNullSafe(F.col("doc_id"))).select("class", "set_key", "text")
 
@@ -256,19 +244,21 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     return stored(wide.mapInArrow(verify, "a long, b long"), "links")
 
 
-def _order(turn: int):
-    """A random order of groups, one of four for each shingle, anew in each turn."""
-    return F.xxhash64("group", F.pmod("token", F.lit(4)), F.lit(turn))
+def _order():
+    """A random order of groups, one of four for each shingle."""
+    return F.xxhash64("group", F.pmod("token", F.lit(4)))
 
 
 def _open_pairs(postings: DataFrame, spans: DataFrame, placed: DataFrame, similarity: int) -> DataFrame:
     """All pairs (a, b) of classes from different components whose groups share a prefix shingle or are one group."""
     x, y = postings.alias("x"), postings.alias("y")
-    reach = F.expr("least(x.pos, y.pos) + least(x.n - x.pos, y.n - y.pos)")  # most shingles the two sets can share
+    # the first shingle that two similar sets share stands where enough of both is left: at it, if not at the others,
+    # the pair passes
+    reach = F.expr("least(x.n - x.pos, y.n - y.pos)")
     pairs = x.join(
         y,
         F.expr("x.token = y.token and x.`group` < y.`group` and not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo)")
-        & _may_link("x.n", "y.n", "x.live", "y.live", similarity)
+        & _alike_in_size("x.n", "y.n", similarity)
         & (reach * (100 + similarity) >= F.expr("x.n + y.n") * similarity),
     )
     pairs = pairs.select(F.col("x.group").alias("g"), F.col("y.group").alias("h")).distinct()
@@ -307,29 +297,25 @@ def near_duplicates(
         "classes",
     )
     groups = stored(
-        full.groupBy("prefix_key").agg(F.min("row").alias("group"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("rare").alias("rare")),
+        full.groupBy("prefix_key").agg(F.min("row").alias("group"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
         "groups",
     )
     members = stored(classes.select("class", "prefix_key").join(groups.select("group", "prefix_key"), "prefix_key").drop("prefix_key"), "members")
 
     # prefix shingles that two groups or more share, with two pivots: the group in whose prefix the shingle stands
     # foremost, and the first in one of a few random orders
-    postings = groups.select("group", "n", "rare", F.posexplode("prefix").alias("pos", "token"))
+    postings = groups.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
     place = F.shiftleft(F.least("pos", F.lit(1023)).cast("long"), 53).bitwiseOR(F.col("group"))
     pivots = postings.groupBy("token").agg(
-        F.count("*").alias("c"), F.min(place).alias("place"), F.min_by("group", _order(0)).alias("other")
+        F.count("*").alias("c"), F.min(place).alias("place"), F.min_by("group", _order()).alias("other")
     )
     pivots = pivots.filter("c > 1").select("token", F.col("place").bitwiseAND(F.lit((1 << 53) - 1)).alias("pivot"), "other")
     postings = stored(postings.join(pivots, "token"), "postings")
-    # A set whose prefix holds all its rare shingles shares none of those that no other prefix has with another such
-    # set: ``live`` is how many of its shingles remain.
-    alone = postings.filter("pos < rare").groupBy("group").agg(F.count("*").alias("c"))
-    live = groups.select("group", "n", "rare").join(alone, "group", "left")
-    live = live.filter("rare >= 0").select("group", F.expr("n - rare + coalesce(c, 0)").alias("live"))
-    postings = stored(postings.drop("rare").join(live, "group", "left"), "live-postings")
 
     def verified(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
+        if pairs.isEmpty():
+            return pairs, pairs
         return pairs, _linked(pairs, classes, docs, id_col, text_col, size, similarity)
 
     first = members.select(F.col("group").alias("a"), F.col("class").alias("b"))
@@ -337,28 +323,20 @@ def near_duplicates(
         first = first.unionByName(postings.select(F.col(pivot).alias("a"), F.col("group").alias("b")))
     tried, links = verified(first.filter("a <> b"))
     joined = stored(components(links), "joined")
-    for turn in range(1, STAR_ROUNDS + 2):
-        # what is still open: shingles shared by groups that are not all in one component
-        placed = members.join(joined.withColumnRenamed("node", "class"), "class", "left")
-        placed = stored(placed.select("class", "group", F.coalesce("component", "class").alias("component")), "placed")
-        spans = placed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        postings = postings.select("token", "group", "n", "pos", "live").join(spans, "group")
-        mixed = postings.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("token")
-        postings = stored(postings.join(mixed, "token", "left_semi"), "open-postings")
-        if turn <= STAR_ROUNDS:
-            pivots = postings.groupBy("token").agg(F.min_by(F.struct("group", "lo", "hi", "n", "live"), _order(turn)).alias("p"))
-            rest = postings.join(pivots, "token").filter("p.`group` <> `group` and not (lo = hi and p.lo = p.hi and lo = p.lo)")
-            rest = rest.filter(_may_link("n", "p.n", "live", "p.live", similarity))
-            rest = rest.select(F.col("p.group").alias("a"), F.col("group").alias("b"))
-        else:
-            rest = _open_pairs(postings, spans, placed, similarity)
-        rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        done, more = verified(rest.join(tried, ["a", "b"], "left_anti"))
-        tried = tried.unionByName(done)
-        if not more.isEmpty():
-            known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            joined = stored(components(known.unionByName(more)), "joined")
-        postings = postings.drop("lo", "hi")
+
+    # what is still open: shingles shared by groups that are not all in one component
+    placed = members.join(joined.withColumnRenamed("node", "class"), "class", "left")
+    placed = stored(placed.select("class", "group", F.coalesce("component", "class").alias("component")), "placed")
+    spans = placed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    postings = postings.select("token", "group", "n", "pos").join(spans, "group")
+    mixed = postings.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("token")
+    postings = stored(postings.join(mixed, "token", "left_semi"), "open-postings")
+    rest = _open_pairs(postings, spans, placed, similarity)
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    _, more = verified(rest.join(tried, ["a", "b"], "left_anti"))
+    if not more.isEmpty():
+        known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        joined = stored(components(known.unionByName(more)), "joined")
     joined = joined.withColumnRenamed("node", "class")
     spread = classes.select("class", "set_key", "low").join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     lowest = spread.groupBy("component").agg(F.min("low").alias("component_id"))
