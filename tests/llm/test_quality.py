@@ -66,5 +66,15 @@ def test_odd_texts_go_and_clean_ones_stay(spark):
     assert sorted(r.doc_id for r in out.collect()) == list(range(200))
 
 
+def test_sources_have_spreads_of_their_own(spark):
+    def text(i, same):  # 20 lines, the first ``same`` + 1 of them alike
+        return "\n".join("menu" if j <= same else f"plain{i % 7} line{j} of{i}" for j in range(20))
+
+    rows = [(i, text(i, 0), "en", "s0") for i in range(150)] + [(200 + i, text(i, 9), "en", "s1") for i in range(150)]
+    rows += [(400, text(400, 9), "en", "s0"), (401, text(401, 1), "en", "s0"), (402, text(402, 9), "en", "s1")]
+    kept = {r.doc_id for r in quality.keep_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert {r[0] for r in rows} - kept == {400}
+
+
 def test_no_rows(spark):
     assert quality.judged(spark.createDataFrame([], SCHEMA)).count() == 0
