@@ -182,34 +182,60 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(parse, RECORDS)
 
 
-def captures(records: DataFrame) -> DataFrame:
-    """One nested row per response or revisit: its columns, request, metadata, n_requests and n_metadata.
+def _nested() -> Column:
+    return F.struct("record_id", "target_uri", "date", "content_type", "http", F.col("payload").cast("string").alias("text")).alias("record")
 
-    ``records`` is read several times: store it first. A request or metadata record belongs to the response that it
-    names as concurrent, or that names it. Of several of a kind the one with the smallest id is nested, and all are
-    counted; repeated records count once. Records that no response claims give no row.
+
+def attached(records: DataFrame) -> DataFrame:
+    """(main_id, warc_type, record) for every request or metadata record and each response that it names, or that names it.
+
+    Repeated records count once. A ``main_id`` need not be in the archives. Flat, so that a response may have any number.
     """
     main = F.col("warc_type").isin("response", "revisit")
-    others = records.filter(F.col("warc_type").isin("request", "metadata"))
-    nested = F.struct("record_id", "target_uri", "date", "content_type", "http", F.col("payload").cast("string").alias("text"))
-    others = others.select("warc_type", "record_id", "concurrent_to", nested.alias("record"))
+    others = records.filter(F.col("warc_type").isin("request", "metadata")).select("warc_type", "record_id", "concurrent_to", _nested())
     named = others.select(F.explode("concurrent_to").alias("main_id"), "warc_type", "record")
     naming = records.filter(main).select(F.col("record_id").alias("main_id"), F.explode("concurrent_to").alias("record_id"))
-    named = named.unionByName(naming.join(others, "record_id").select("main_id", "warc_type", "record")).distinct()
-    out = records.filter(main).dropDuplicates(["record_id"])
-    for kind, one, many in (("request", "request", "n_requests"), ("metadata", "metadata", "n_metadata")):
-        part = named.filter(F.col("warc_type") == kind).groupBy("main_id").agg(F.min("record").alias(one), F.count("*").alias(many))
-        out = out.join(part.withColumnRenamed("main_id", "record_id"), "record_id", "left").fillna(0, [many])
+    return named.unionByName(naming.join(others, "record_id").select("main_id", "warc_type", "record")).distinct()
+
+
+def captures(records: DataFrame) -> DataFrame:
+    """One nested row per response or revisit: its columns and all its request and metadata records.
+
+    ``records`` is read several times: store it first. A request or metadata record belongs to the response that it
+    names as concurrent, or that names it. The one with the smallest id is ``request`` or ``metadata``, the others are
+    in ``more_requests`` and ``more_metadata``, by id (all null if there is none); n_requests and n_metadata count them
+    all. Repeated records count once. Records that no response claims give no row: see ``unclaimed``.
+    """
+    named = attached(records)
+    out = records.filter(F.col("warc_type").isin("response", "revisit")).dropDuplicates(["record_id"])
+    for one, more, many in (("request", "more_requests", "n_requests"), ("metadata", "more_metadata", "n_metadata")):
+        part = named.filter(F.col("warc_type") == one).groupBy("main_id").agg(F.array_sort(F.collect_list("record")).alias("all"))
+        part = part.select(
+            F.col("main_id").alias("record_id"),
+            F.col("all")[0].alias(one),
+            F.expr("slice(all, 2, size(all))").alias(more),
+            F.size("all").cast("long").alias(many),
+        )
+        out = out.join(part, "record_id", "left").fillna(0, [many])
     return out
 
 
+def unclaimed(records: DataFrame) -> DataFrame:
+    """The request and metadata records, with all their columns, whose response is not among ``records``."""
+    mains = records.filter(F.col("warc_type").isin("response", "revisit")).select(F.col("record_id").alias("main_id"))
+    claimed = attached(records).join(mains, "main_id", "left_semi").select("warc_type", "record").distinct()
+    others = records.filter(F.col("warc_type").isin("request", "metadata")).withColumn("record", _nested())
+    return others.join(claimed, ["warc_type", "record"], "left_anti").select(*records.columns)
+
+
 def resolved(caught: DataFrame) -> DataFrame:
     """Stored ``captures`` with page_id (from the metadata) and, for revisits, the response's size, digest and page_id.
 
-    A revisit whose response is in no archive keeps null for them, and the digest it declares.
+    Of several metadata records, the first by id that states a page_id counts. A revisit whose response is in no archive keeps null for them, and the digest it declares.
     """
-    page = F.regexp_extract(F.col("metadata.text"), "(?m)^page_id: *(-?[0-9]+)", 1)
-    caught = caught.withColumn("page_id", F.nullif(page, F.lit("")).cast("long"))
+    told = F.concat(F.array("metadata"), F.col("more_metadata"))
+    pages = F.transform(told, lambda r: F.regexp_extract(r["text"], "(?m)^page_id: *(-?[0-9]+)", 1))
+    caught = caught.withColumn("page_id", F.get(F.filter(pages, lambda page: page != ""), F.lit(0)).cast("long"))
     first = caught.filter("warc_type = 'response'").select(
         F.col("record_id").alias("refers_to"),
         F.col("page_id").alias("first_page"),
@@ -229,6 +255,8 @@ def resolved(caught: DataFrame) -> DataFrame:
         "http",
         "request",
         "metadata",
+        "more_requests",
+        "more_metadata",
         "n_requests",
         "n_metadata",
     )

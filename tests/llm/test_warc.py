@@ -80,6 +80,30 @@ def test_foreign_archives(spark, tmp_path):
     assert found["<r1>"].page_id == 4 and found["<v1>"].payload_digest == "ABC" and found["<v1>"].payload_bytes is None
 
 
+def test_all_records_of_a_capture_are_kept(spark, tmp_path):
+    parts = [
+        record("response", "r1", b"HTTP/1.1 200 OK\r\n\r\nbody", "Content-Type: application/http", "WARC-Concurrent-To: <q2>"),
+        record("request", "q2", b"GET /2 HTTP/1.1\r\n\r\n", "Content-Type: application/http"),
+        record("request", "q1", b"GET /1 HTTP/1.1\r\n\r\n", "Content-Type: application/http", "WARC-Concurrent-To: <r1>"),
+        record("metadata", "m3", b"page_id: 8\r\n", "WARC-Concurrent-To: <r1>"),
+        record("metadata", "m2", b"via: x\r\npage_id: 7\r\n", "WARC-Concurrent-To: <r1>"),
+        record("metadata", "m1", b"outlink: http://b.example/\r\n", "WARC-Concurrent-To: <r1>"),
+        record("response", "r2", b"HTTP/1.1 200 OK\r\n\r\n", "Content-Type: application/http"),
+        record("request", "stray", b"GET / HTTP/1.1\r\n\r\n", "WARC-Concurrent-To: <nowhere>"),
+        record("metadata", "alone", b"page_id: 1\r\n"),
+    ]
+    (tmp_path / "one.warc").write_bytes(b"".join(parts))
+    records = stored(warc.read_archives(spark, str(tmp_path)), "records")
+    found = {r.record_id: r for r in warc.resolved(stored(warc.captures(records), "caught")).collect()}
+    one, two = found["<r1>"], found["<r2>"]
+    assert [x.http for x in (one.request, *one.more_requests)] == ["GET /1 HTTP/1.1\r\n\r\n", "GET /2 HTTP/1.1\r\n\r\n"]
+    assert [x.text.split(":")[0] for x in (one.metadata, *one.more_metadata)] == ["outlink", "via", "page_id"]
+    assert (one.page_id, one.n_requests, one.n_metadata) == (7, 2, 3)
+    assert (two.page_id, two.request, two.more_requests, two.n_requests, two.n_metadata) == (None, None, None, 0, 0)
+    lost = warc.unclaimed(records)
+    assert lost.columns == records.columns and sorted(r.record_id for r in lost.collect()) == ["<alone>", "<stray>"]
+
+
 def test_broken_archives_are_refused():
     with pytest.raises(ValueError):
         list(warc.parse_archive(record("response", "r", b"body")[:-8]))
