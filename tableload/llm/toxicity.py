@@ -2,10 +2,11 @@
 
 Both classes have n-gram counts of their own at the highest order and share the lower ones: the continuation counts
 of the pooled training words, to which unseen expressions back off in either class alike [Kneser and Ney, 1995].
-A word's log-likelihood ratio is what the toxic model gives it above the ordinary one. Texts are compared on their
-distinct words in order of first use; the ratio is normalised by length over passages of ``PASSAGE`` words, and the
-text has the ratio of its most toxic passage, so that long texts are not diluted. A logistic curve, fitted on
-labelled texts that were not counted, turns it into a score.
+A word's log-likelihood ratio is what the toxic model gives it above the ordinary one. A text has three ratios, each
+normalised by length: of its running words as a whole, repeats included; of the most toxic window of ``SENTENCE`` running
+words, less what the best of so many windows has by chance; and of the most toxic passage of ``PASSAGE`` distinct words in
+order of first use, so that one expression in a long text is not diluted. A logistic curve of the three, fitted on
+labelled texts that were not counted, turns them into a score.
 
 Training takes a bounded sample (``SAMPLE`` labelled rows of each class, by hash of the id); the n-grams of the whole
 texts of these rows are counted by Spark, without a cutoff. Every document is scored whole.
@@ -28,6 +29,7 @@ from tableload.llm.common import free_name, stored, text_slices
 ORDER = 5
 DISCOUNT = 0.75
 PASSAGE = 2
+SENTENCE = 16
 SAMPLE = (4_000, 12_000)  # most toxic and ordinary rows to learn from; a quarter of them calibrates
 THRESHOLD = 0.7
 CACHED_WORDS = 300_000
@@ -36,12 +38,18 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass
 class Model:
-    """Log ratios of n-grams that either class has, of contexts for all others, and the logistic curve."""
+    """Log ratios of n-grams that either class has, of contexts for all others, and the logistic curve.
+
+    The curve is of the weighted sum of a text's ratios: its passage's, the whole text's and its windows', the last
+    less ``chance`` times sqrt(2 log(number of windows)).
+    """
 
     grams: dict[str, float]
     contexts: dict[str, float]
     slope: float = 1.0
     middle: float = 0.0
+    weights: tuple[float, float, float] = (1.0, 0.0, 0.0)
+    chance: float = 0.0
 
     def word(self, word: str) -> float:
         text, total = f"^{word}$", 0.0
@@ -78,6 +86,23 @@ def text_ratio(text: str | None, ratios: WordRatios, passage: int = PASSAGE) ->
     return float((sums[passage:] - sums[:-passage]).max() if len(words) >= passage else sums[-1]) / passage
 
 
+def text_ratios(text: str | None, ratios: WordRatios) -> tuple[float, float, float, int]:
+    """The ratios of the most toxic passage, the whole running text and its most toxic window, and how many windows it has."""
+    words = _WORD.findall(text.lower()) if text else []
+    if not words:
+        return 0.0, 0.0, 0.0, 1
+    sums = np.cumsum([0.0, *map(ratios.__getitem__, words)])
+    whole, windows = float(sums[-1]) / len(words), max(1, len(words) - SENTENCE + 1)
+    best = float((sums[SENTENCE:] - sums[:-SENTENCE]).max()) / SENTENCE if windows > 1 else whole
+    return text_ratio(text, ratios), whole, best, windows
+
+
+def evidence(model: Model, text: str | None, ratios: WordRatios) -> float:
+    """The weighted sum of the text's ratios that the curve takes; 0 without words."""
+    passage, whole, best, windows = text_ratios(text, ratios)
+    return float(np.dot(model.weights, (passage, whole, best - model.chance * math.sqrt(2 * math.log(windows)))))
+
+
 def kneser_ney(counts: list[tuple[str, int, int]], discount: float = DISCOUNT) -> Model:
     """The model of n-gram counts (gram, in toxic texts, in ordinary ones); a gram is its context and one character.
 
@@ -133,33 +158,58 @@ def kneser_ney(counts: list[tuple[str, int, int]], discount: float = DISCOUNT) -
     return Model(ratios, contexts)
 
 
-def _logistic(ratio: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and middle of a logistic curve; classes weigh alike, the slope is kept small by a penalty."""
-    if not len(ratio) or toxic.all() or not toxic.any():
-        return 1.0, float(ratio.max()) + 5.0 if len(ratio) else 5.0
+def _logistic(x: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes of the columns of ``x`` and the constant of a logistic curve.
+
+    Classes weigh alike, slopes are kept small by a penalty and are not negative: no evidence of toxicity counts against it.
+    """
+    if not len(x) or toxic.all() or not toxic.any():
+        top = float(x[:, 0].max()) if len(x) else 0.0
+        return np.array([1.0, *[0.0] * (x.shape[1] - 1)]), -top - 5.0
     weight = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum()) * 200
-    x = np.stack([ratio, np.ones_like(ratio)], axis=1)
-    beta = np.zeros(2)
-    for _ in range(50):  # Newton's method
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -50, 50)))
-        slope = x.T @ (weight * (toxic - p)) - np.array([0.05 * beta[0], 0.0])
-        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag([0.05, 1e-9])
-        step = np.linalg.solve(bend, slope)
-        beta += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+    used = list(range(x.shape[1]))
+    while True:
+        rows = np.column_stack([x[:, used], np.ones(len(x))])
+        small = np.array([*[0.05] * len(used), 1e-9])
+        beta = np.zeros(len(used) + 1)
+        for _ in range(50):  # Newton's method
+            p = 1 / (1 + np.exp(-np.clip(rows @ beta, -50, 50)))
+            down = rows.T @ (weight * (toxic - p)) - small * [*beta[:-1], 0.0]
+            bend = (rows * (weight * p * (1 - p))[:, None]).T @ rows + np.diag(small)
+            step = np.linalg.solve(bend, down)
+            beta += np.clip(step, -5, 5)
+            if np.abs(step).max() < 1e-8:
+                break
+        if len(used) == 1 or beta[:-1].min() >= 0:
             break
-    beta[0] = max(beta[0], 1e-3)
-    return float(beta[0]), float(-beta[1] / beta[0])
+        used.pop(int(beta[:-1].argmin()))
+    slopes = np.zeros(x.shape[1])
+    slopes[used] = np.maximum(beta[:-1], 1e-3)
+    return slopes, float(beta[-1])
+
+
+def fit(model: Model, found: np.ndarray, toxic: np.ndarray) -> None:
+    """Fit the curve of ``model`` on ``text_ratios`` of texts that were not counted."""
+    by_chance = np.sqrt(2 * np.log(found[:, 3]))
+    plain = ~toxic & (by_chance > 0)
+    if plain.any():  # how far the best window of ordinary texts lies above the text, by the number of windows
+        above = (found[plain, 2] - found[plain, 1]) @ by_chance[plain]
+        model.chance = max(0.0, float(above / (by_chance[plain] @ by_chance[plain])))
+    x = np.column_stack([found[:, 0], found[:, 1], found[:, 2] - model.chance * by_chance])
+    slopes, constant = _logistic(x, toxic)
+    model.slope = float(slopes.sum())
+    model.weights = tuple(float(v) for v in slopes / model.slope)
+    model.middle = -constant / model.slope
 
 
 def _ratios(texts: DataFrame, model: Model, text_col: str, name: str) -> DataFrame:
-    """``texts`` with its text's ratio in a new column ``name``."""
+    """``texts`` with its text's weighted ratio in a new column ``name``."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = WordRatios(shared.value)
         for batch in text_slices(batches):
-            column = [text_ratio(t, ratios) for t in batch.column(text_col).to_pylist()]
+            column = [evidence(shared.value, t, ratios) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(column, pa.float64())], [*batch.schema.names, name])
 
     return texts.mapInArrow(run, T.StructType([*texts.schema.fields, T.StructField(name, T.DoubleType())]))
@@ -202,8 +252,19 @@ def train(
     grams = at.groupBy(F.substring("w", start, F.col("end") - start + 1).alias("gram")).agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
     model = kneser_ney(list(grams.toPandas().sort_values("gram").itertuples(index=False, name=None)))
 
-    tested = _ratios(chosen.filter("not counted").select("toxic", "text"), model, "text", "ratio").drop("text").toPandas()
-    model.slope, model.middle = _logistic(tested["ratio"].to_numpy(float), tested["toxic"].to_numpy() == 1)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ratios = WordRatios(shared.value)
+        for batch in text_slices(batches):
+            found = [text_ratios(t, ratios) for t in batch.column("text").to_pylist()]
+            columns = [batch.column("toxic"), *[pa.array([float(r[k]) for r in found]) for k in range(4)]]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "passage", "whole", "best", "windows"])
+
+    tested = chosen.filter("not counted").select("toxic", "text")
+    tested = tested.mapInArrow(run, "toxic int, passage double, whole double, best double, windows double").toPandas()
+    tested = tested.sort_values(list(tested.columns))
+    fit(model, tested.drop(columns="toxic").to_numpy(float), tested["toxic"].to_numpy() == 1)
     return model
 
 

@@ -81,3 +81,23 @@ def test_long_texts_are_not_diluted():
     plain = " ".join("abcdefgh"[i % 8] * (1 + i // 8) for i in range(600))
     assert toxicity.text_ratio(plain + " z", ratios) == toxicity.text_ratio("a z", ratios) == 4.0
     assert toxicity.text_ratio("z", ratios) == 4.0 and toxicity.text_ratio(None, ratios) == 0.0
+
+
+def test_scattered_and_repeated_words_add_up(spark):
+    pick = random.Random(5)
+    parts, rude = ["an", "er", "in", "th", "ou", "ly", "st", "ea"], ["zquip", "vrox", "kwump", "jbaff", "xoggy", "qirzu"]
+    docs, labels = [], []
+    for i in range(800):
+        words = ["".join(pick.choice(parts) for _ in range(pick.randint(1, 4))) for _ in range(60)]
+        toxic = i % 4 == 0
+        for k, word in enumerate(pick.sample(rude, 5) + [rude[0]] if toxic else [pick.choice(rude)] * (i % 2)):
+            words[4 + 9 * k] = word  # no two are neighbours
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.train(frame, spark.createDataFrame(labels, "doc_id long, toxic int"), learn=F.col("doc_id") % 3 != 1)
+    held = [(r.doc_id % 4 == 0, r.score >= toxicity.THRESHOLD) for r in toxicity.scored(frame, model).collect() if r.doc_id % 3 == 1]
+    assert sum(t == p for t, p in held) >= 0.95 * len(held)
+    ratios = toxicity.WordRatios(toxicity.Model({"^z": 8.0}, {}))
+    once, twice = (toxicity.text_ratios(" ".join(["a", "z", "b"] * 10 + ["c", "z"] * k), ratios) for k in (0, 5))
+    assert twice[1] > once[1] and twice[2] > once[2]
