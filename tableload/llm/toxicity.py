@@ -237,7 +237,7 @@ def train(
     bound = F.lit(False)
     for value, most in zip((1, 0), sample):
         own = sizes[sizes["toxic"] == value]
-        within = own["part"][own["count"].cumsum() <= most]
+        within = own["part"][own["count"].cumsum() <= max(most, *own["count"].iloc[:1])] if len(own) else own["part"]
         bound = bound | (F.col("toxic") == value) & (F.col("part") <= (int(within.max()) if len(within) else -1))
     picked = marks.filter(bound).select("id", "toxic", (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(4)) > 0).alias("counted"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

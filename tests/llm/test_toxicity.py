@@ -101,3 +101,10 @@ def test_scattered_and_repeated_words_add_up(spark):
     ratios = toxicity.WordRatios(toxicity.Model({"^z": 8.0}, {}))
     once, twice = (toxicity.text_ratios(" ".join(["a", "z", "b"] * 10 + ["c", "z"] * k), ratios) for k in (0, 5))
     assert twice[1] > once[1] and twice[2] > once[2]
+
+
+def test_a_part_above_the_sample_is_learnt_from(spark):
+    ids = [r.id for r in spark.range(300_000).filter(F.pmod(F.xxhash64("id"), F.lit(1 << 14)) == 0).collect()]
+    docs = spark.createDataFrame([(i, "zquip an er" if k % 2 else "th ou ly") for k, i in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    assert toxicity.train(docs, labels, sample=(1, 1)).grams
