@@ -10,6 +10,7 @@ ranked within their class, in blocks, and the rank says which copy of which patt
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +40,26 @@ def length_classes(length: int) -> np.ndarray:
     return np.array(out)
 
 
+def _dot(rows: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """A matrix times a vector without BLAS: its threads are lost where numpy was loaded before the JVM was forked."""
+    return np.einsum("ij,j->i", rows, column)
+
+
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse of a regular matrix by elimination, row by row, with the largest pivot; without LAPACK, as ``_dot``."""
+    n = len(matrix)
+    rows = np.hstack([matrix.astype(float), np.eye(n)])
+    for at in range(n):
+        pivot = at + int(np.abs(rows[at:, at]).argmax())
+        if pivot != at:
+            rows[[at, pivot]] = rows[[pivot, at]]
+        rows[at] /= rows[at, at]
+        factors = rows[:, at].copy()
+        factors[at] = 0.0
+        rows -= factors[:, None] * rows[at]
+    return rows[:, n:]
+
+
 def _knapsack(widths: np.ndarray, values: np.ndarray, length: int) -> tuple[float, np.ndarray]:
     """The most valuable pattern of classes within a length (any number of each)."""
     useful = np.flatnonzero(values > 1e-12)
@@ -117,13 +138,13 @@ def cutting_stock(widths: np.ndarray, demand: np.ndarray, length: int) -> list[t
     inverse = np.diag(1.0 / np.array([p[i] for i, p in enumerate(patterns)]))
     pool = np.array([p for p, _ in _greedy(widths, demand, length)])
     centre = widths / length  # the prices that gave the best lower bound so far; these are feasible
-    bound = float(centre @ need)
+    bound = float((centre * need).sum())
     for turn in range(ROUNDS):
         if turn % 25 == 24:
-            inverse = np.linalg.inv(np.array(patterns, float).T)  # against rounding errors
-        plan, prices = inverse @ need, inverse.sum(axis=0)
+            inverse = inverted(np.array(patterns, float).T)  # against rounding errors
+        plan, prices = _dot(inverse, need), inverse.sum(axis=0)
         total = plan.sum()
-        worths = pool @ prices
+        worths = _dot(pool, prices)
         column = pool[int(worths.argmax())]
         if worths.max() <= 1 + 1e-6:
             if total - bound < max(0.5, TOLERANCE * total):
@@ -131,22 +152,22 @@ def cutting_stock(widths: np.ndarray, demand: np.ndarray, length: int) -> list[t
             smooth = SMOOTHING * centre + (1 - SMOOTHING) * prices  # calmer prices find better patterns [Wentges, 1997]
             for asked in (smooth, prices):
                 worth, column = _knapsack(widths, asked, length)
-                least = float(np.maximum(asked, 0) @ need) / max(worth, 1e-12)
+                least = float((np.maximum(asked, 0) * need).sum()) / max(worth, 1e-12)
                 if least > bound:
                     centre, bound = np.maximum(asked, 0) / max(worth, 1e-12), least
-                if float(column @ prices) > 1 + 1e-9:
+                if float((column * prices).sum()) > 1 + 1e-9:
                     break
             else:
                 break
-        change = inverse @ column
+        change = _dot(inverse, column)
         up = change > 1e-7
         ratio = np.where(up, np.maximum(plan, 0) / np.where(up, change, 1), np.inf)
         leaves = int(ratio.argmin())
         row = inverse[leaves] / change[leaves]
-        inverse -= np.outer(change, row)
+        inverse -= change[:, None] * row
         inverse[leaves] = row
         patterns[leaves] = column
-    plan = inverse @ need
+    plan = _dot(inverse, need)
     left = demand.astype(np.int64).copy()
     chosen = []
     for at in np.argsort(-plan, kind="stable"):
@@ -192,18 +213,21 @@ def cut_points(total: int, length: int) -> list[int]:
     return points
 
 
-def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, length: int = LENGTH) -> DataFrame:
+def tokenized(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, length: int = LENGTH, digest: bool = False
+) -> DataFrame:
     """The pieces of every document: row, doc_id, start, length, doc_tokens and ids (binary, unsigned 32 bits each).
 
-    A document's ids are those of its whole text and ``END_ID``; null texts count as empty.
+    A document's ids are those of its whole text and ``END_ID``; null texts count as empty. With ``digest`` the ids'
+    CRC-32 (ids_crc32) takes their place.
     """
+    held = ("ids_crc32", pa.int64()) if digest else ("ids", pa.binary())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(vocabulary).encode
-        for batch in text_slices(batches, 4 << 20):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+        for batch in text_slices(batches, 12 << 20):
             which, starts, lengths, totals, pieces = [], [], [], [], []
-            for i, ids in enumerate(encode_texts(texts)):
+            for i, ids in enumerate(encode_texts(batch.column("text"))):
                 ids += END_ID.to_bytes(4, "little")
                 total = len(ids) // 4
                 for at, end in zip(cuts := cut_points(total, length), cuts[1:]):
@@ -212,7 +236,7 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
                     starts.append(at)
                     lengths.append(len(piece) // 4)
                     totals.append(total)
-                    pieces.append(piece)
+                    pieces.append(zlib.crc32(piece) if digest else piece)
             rows = pa.array(which, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -221,22 +245,22 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
                     pa.array(starts, pa.int64()),
                     pa.array(lengths, pa.int64()),
                     pa.array(totals, pa.int64()),
-                    pa.array(pieces, pa.binary()),
+                    pa.array(pieces, held[1]),
                 ],
-                ["row", "doc_id", "start", "length", "doc_tokens", "ids"],
+                ["row", "doc_id", "start", "length", "doc_tokens", held[0]],
             )
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     )
-    return rows.mapInArrow(encode, "row long, doc_id long, start long, length long, doc_tokens long, ids binary")
+    return rows.mapInArrow(encode, f"row long, doc_id long, start long, length long, doc_tokens long, {'ids_crc32 long' if digest else 'ids binary'}")
 
 
 def packed(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     """``pieces`` (row, start, length and other columns; row and start name a piece) with sequence_id and offset.
 
     Read several times: store the pieces first. Every piece gets one place; sequences hold at most ``length`` ids,
-    from offset 0 without gaps. No pieces give no rows.
+    from offset 0 without gaps. The numbers of sequences are unique, those of full ones have gaps. No pieces give no rows.
     """
     widths = length_classes(length)
     # the class of a length is the first that is not smaller: a lookup in a table of all lengths
@@ -245,18 +269,23 @@ def packed(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     counts = classed.groupBy("class").agg(F.count("*").alias("n")).toPandas()  # at most one row per class
     demand = np.zeros(len(widths), np.int64)
     demand[counts["class"].to_numpy(int)] = counts["n"].to_numpy(np.int64)
-    full, whole = len(widths) - 1, np.zeros(len(widths), np.int64)
-    whole[full] = 1
+    full = len(widths) - 1
     part = np.flatnonzero(demand[:full])
-    plan = [(whole, int(demand[full]))] if demand[full] else []
+    plan = []
     for pattern, times in cutting_stock(widths[part], demand[part], length):
         wide = np.zeros(len(widths), np.int64)
         wide[part] = pattern
         plan.append((wide, times))
     shared = pieces.sparkSession.sparkContext.broadcast(places(len(widths), plan))
 
+    # a full sequence needs no rank: it takes a number of its own, beyond those of the plan
+    used = sum(times for _, times in plan)
+    alone = classed.filter(F.col("class") == full).drop("class").withColumn("sequence_id", F.monotonically_increasing_id() + F.lit(used))
+    alone = alone.withColumn("offset", F.lit(0).cast("long"))
+
     # ranks within a class: within a block, and after all pieces of earlier blocks
-    blocks = int(demand.sum()) // RANK_BLOCK + 1
+    blocks = int(demand[:full].sum()) // RANK_BLOCK + 1
+    classed = classed.filter(F.col("class") < full)
     blocked = classed.withColumn("block", F.pmod(F.xxhash64("row", "start"), F.lit(blocks)))
     before = blocked.groupBy("class", "block").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("class").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -285,7 +314,8 @@ def packed(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     placed = ranked.select(*pieces.columns, "class", "rank").mapInArrow(place, f"{fields}, sequence_id long, slot long")
     upto = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(upto), F.lit(0)).cast("long")).drop("slot")
+    placed = placed.withColumn("offset", F.coalesce(F.sum("length").over(upto), F.lit(0)).cast("long")).drop("slot")
+    return placed.unionByName(alone)
 
 
 def packed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, length: int = LENGTH) -> DataFrame:
@@ -294,8 +324,7 @@ def packed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Every id of every document lies in exactly one piece. An empty or null text is one piece of its end id. Repeated
     rows are packed as often as they occur; extra columns are ignored.
     """
-    pieces = tokenized(docs, id_col, text_col, vocabulary, length)
-    pieces = stored(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    pieces = stored(tokenized(docs, id_col, text_col, vocabulary, length, digest=True), "pieces")
     return packed(pieces, length).drop("row")
 
 

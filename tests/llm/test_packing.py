@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import public_tokenizers
@@ -38,6 +39,40 @@ def test_plans_meet_the_demand_with_little_waste(seed):
     assert sum(n for _, n in plan) <= -(-widths[classes].sum() // 2048) * 1.01 + 2
 
 
+def test_plans_end_after_the_session_has_started(spark):
+    """A driver that loaded numpy before its JVM started has lost the threads of BLAS: no step may wait for them."""
+    rng = np.random.default_rng(3)
+    widths = packing.length_classes(2048)
+    used = np.arange(len(widths))[5 : len(widths) : 2]
+    demand = rng.integers(1, 400, len(used))
+    inverses = []
+    found, packing.inverted = packing.inverted, lambda m: inverses.append(len(m)) or found(m)
+    try:
+        with ThreadPoolExecutor(1) as pool:
+            plan = pool.submit(packing.cutting_stock, widths[used], demand, 2048).result(timeout=120)
+    finally:
+        packing.inverted = found
+    assert (sum(p * n for p, n in plan) == demand).all()
+    assert inverses and min(inverses) > 100  # over 25 rounds and 100 classes
+
+
+def test_inverse_of_patterns():
+    rng = np.random.default_rng(0)
+    matrix = rng.integers(0, 9, (120, 120)).astype(float)
+    assert np.abs(np.einsum("ij,jk->ik", packing.inverted(matrix), matrix) - np.eye(120)).max() < 1e-6
+
+
+def test_full_sequences_are_numbered_beside_the_plan(spark):
+    rows = [(i, 0, n) for i, n in enumerate([2048] * 50 + [2040, 1024, 1024, 3, 700])]
+    pieces = stored(spark.createDataFrame(rows, "row long, start long, length long"), "t")
+    got = packing.packed(pieces).collect()
+    sequences = {}
+    for r in got:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(got) == 55 and all(sum(n for _, n in s) <= 2048 and min(s)[0] == 0 for s in sequences.values())
+    assert sum(s == [(0, 2048)] for s in sequences.values()) == 50
+
+
 def test_knapsack_against_all_patterns():
     widths, values = np.array([3, 5, 7]), np.array([0.3, 0.55, 0.8])
     best = max(0.3 * a + 0.55 * b + 0.8 * c for a in range(9) for b in range(6) for c in range(4) if 3 * a + 5 * b + 7 * c <= 25)
