@@ -44,6 +44,13 @@ def text_slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20) ->
             yield batch.slice(start, step)
 
 
+def array_slices(column: pa.Array, most_bytes: int = 8 << 20) -> Iterator[pa.Array]:
+    """An Arrow column cut as by ``text_slices``; none of an empty one."""
+    step = max(1, int(len(column) * most_bytes / max(column.nbytes, 1)))
+    for start in range(0, len(column), step):
+        yield column.slice(start, step)
+
+
 def _stars(links: DataFrame) -> DataFrame:
     """One large-star and one small-star step over links (a, b) with a > b."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

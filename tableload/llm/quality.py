@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tableload.llm.common import stored, text_slices
+from tableload.llm.common import array_slices, stored
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -63,28 +63,30 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(edges) > 0).sum())
 
 
-def _measure(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
-    for batch in text_slices(batches):
-        column = batch.column(text_col).cast(pa.string())
-        points = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False)
-        rows = np.zeros((batch.num_rows, len(COUNTS)), np.int64)
-        for i, text in enumerate(column.cast(pa.binary()).to_pylist()):
-            if not text:
-                continue
-            words = text.split()  # of bytes: ASCII white space only
-            lines = [line for line in text.split(b"\n") if line.strip()]
-            rows[i] = (
-                len(words),
-                points[i] - len(text) + len(text.translate(None, SPACES)),
-                len(text) - len(text.translate(None, SYMBOLS)),
-                len(lines),
-                len(lines) - len(set(lines)),
-                repeated_words(words),
-            )
-        kept = [c for c in batch.schema.names if c != text_col]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in kept] + [pa.array(rows[:, k]) for k in range(len(COUNTS))], [*kept, *COUNTS]
+def _measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """``COUNTS`` of whole texts: only texts come to Python, and only numbers go back."""
+    for texts in batches:
+        slices = [_counts(part) for part in array_slices(texts.cast(pa.string()))]
+        yield pa.concat_arrays(slices) if slices else pa.array([], pa.struct([(c, pa.int64()) for c in COUNTS]))
+
+
+def _counts(column: pa.Array) -> pa.Array:
+    points = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False)
+    rows = np.zeros((len(column), len(COUNTS)), np.int64)
+    for i, text in enumerate(column.cast(pa.binary()).to_pylist()):
+        if not text:
+            continue
+        words = text.split()  # of bytes: ASCII white space only
+        lines = [line for line in text.split(b"\n") if line.strip()]
+        rows[i] = (
+            len(words),
+            points[i] - len(text) + len(text.translate(None, SPACES)),
+            len(text) - len(text.translate(None, SYMBOLS)),
+            len(lines),
+            len(lines) - len(set(lines)),
+            repeated_words(words),
         )
+    return pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in range(len(COUNTS))], list(COUNTS))
 
 
 def text_measures(
@@ -94,17 +96,14 @@ def text_measures(
 
     With ``carry`` also ``doc``, the whole row of ``docs`` as a struct.
     """
-    rows = docs.select(
+    measure = F.arrow_udf(_measure, ", ".join(f"{c} long" for c in COUNTS))
+    counted = docs.select(
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []),
         F.col(id_col).alias("doc_id"),
         F.col(lang_col).cast("string").alias("lang"),
         F.col(source_col).cast("string").alias("source"),
-        F.col(text_col).alias("text"),
-    )
-    schema = rows.drop("text").schema
-    for name in COUNTS:
-        schema = schema.add(name, "long")
-    counted = rows.mapInArrow(lambda batches: _measure(batches, "text"), schema)
+        measure(F.col(text_col)).alias("counts"),
+    ).select("*", "counts.*").drop("counts")
 
     def per_mille(part: str, whole: str) -> Column:
         return F.expr(f"1000 * {part} div greatest({whole}, 1)")

@@ -22,9 +22,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tableload.llm.common import free_name, stored, text_slices
+from tableload.llm.common import array_slices, free_name, stored, text_slices
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -203,16 +203,16 @@ def fit(model: Model, found: np.ndarray, toxic: np.ndarray) -> None:
 
 
 def _ratios(texts: DataFrame, model: Model, text_col: str, name: str) -> DataFrame:
-    """``texts`` with its text's weighted ratio in a new column ``name``."""
+    """``texts`` with its text's weighted ratio in a new column ``name``: only the texts go to Python."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ratios = WordRatios(shared.value)
-        for batch in text_slices(batches):
-            column = [evidence(shared.value, t, ratios) for t in batch.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(column, pa.float64())], [*batch.schema.names, name])
+        for batch in batches:
+            found = [evidence(shared.value, t, ratios) for part in array_slices(batch) for t in part.to_pylist()]
+            yield pa.array(found, pa.float64())
 
-    return texts.mapInArrow(run, T.StructType([*texts.schema.fields, T.StructField(name, T.DoubleType())]))
+    return texts.withColumn(name, F.arrow_udf(run, "double")(F.col(text_col)))
 
 
 def train(
