@@ -10,6 +10,7 @@ from tableload.llm import langid
 from tableload.llm.chat import rendered
 from tableload.llm.exact import exact_duplicates
 from tableload.llm.jaccard import near_duplicates
+from tableload.llm.lexical import ranked
 from tableload.llm.packing import packed_documents
 from tableload.llm.quality import judged
 from tableload.llm.spm import encoded, token_counts
@@ -216,3 +217,27 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered(given(spark, sf_dir, "conversations"))
+
+
+@query(
+    r"""
+    WITH t AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+    ), q AS (
+        SELECT item_id, term, count(*) AS c FROM (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ) GROUP BY ALL
+    ), n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY 1),
+    g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+    f AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, g GROUP BY term, docs),
+    s AS (
+        SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total)))) AS BIGINT) AS score
+        FROM f JOIN n USING (doc_id) JOIN w USING (term) JOIN q USING (term), g GROUP BY ALL
+    )
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+    FROM s WHERE score > 0 QUALIFY rank <= 10
+    """
+)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))

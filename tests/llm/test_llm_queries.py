@@ -10,7 +10,7 @@ from tableload.llm.jaccard import near_duplicates
 from tableload.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "labels", "conversations")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
 
 
 @pytest.fixture(scope="module")
