@@ -12,7 +12,9 @@ from tableload.llm.exact import exact_duplicates
 from tableload.llm.jaccard import near_duplicates
 from tableload.llm.lexical import ranked
 from tableload.llm.packing import packed_documents
+from tableload.llm.pii import personal_data
 from tableload.llm.quality import judged
+from tableload.llm.repair import damaged, repaired
 from tableload.llm.spm import encoded, token_counts
 from tableload.llm.toxicity import THRESHOLD, scored, train
 from tableload.llm.warc import archived_pages
@@ -241,3 +243,89 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(given(spark, sf_dir, "documents"))
+
+
+def _repair_sql() -> str:
+    """The dynamic program turn by turn: four states, each with its least cost and first letters."""
+
+    def plus(state: str, cost: str, letters: str) -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || {letters}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    to_user = least("v.u", *(plus(f"v.{p}", "2", "'I'") for p in "zsa"))
+    to_assistant = least("v.a", plus("v.u", "2", "'I'"), plus("v.z", "4", "'II'"), plus("v.s", "4", "'II'"))
+    # where a user turn may follow: nothing, a system turn or an assistant turn
+    before_user = least("v.z", "v.s", to_assistant)
+
+    def turned(before: str, initial: str) -> str:
+        cost = f"CASE WHEN r.gone THEN 1000000000 ELSE r.short + CASE WHEN r.i = '{initial}' THEN 0 ELSE 2 END END"
+        return plus(before, cost, f"CASE WHEN r.i = '{initial}' THEN 'K' ELSE 'R' END")
+
+    only_system = plus("v.z", "CASE WHEN r.gone OR r.i <> 's' THEN 1000000000 ELSE r.short END", "'K'")
+    step = ", ".join(
+        f"'{state}': {least(*ways)}"
+        for state, ways in {
+            "z": [plus("v.z", "3", "'D'")],
+            "s": [plus("v.s", "3", "'D'"), only_system],
+            "u": [plus(to_user, "3", "'D'"), turned(before_user, "u")],
+            "a": [plus(to_assistant, "3", "'D'"), turned(to_user, "a")],
+        }.items()
+    )
+    far = "{'c': CAST(1000000000000 AS BIGINT), 'a': ''}"
+    crc = "CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(k, i // 8 + 1, 1))::BIGINT) ELSE c END"
+    return rf"""
+    WITH raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+    hit AS (
+        SELECT *, xor(4294967295, list_reduce(range(0, 8 * length(k)), lambda c, i: xor(({crc}) >> 1, CASE WHEN (({crc}) & 1) = 1 THEN 3988292384 ELSE 0 END), 4294967295::BIGINT)) % 20 AS h
+        FROM raw
+    ), after AS (
+        SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(CASE h WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+        FROM hit
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text), copy) AS p,
+               regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS mark, left(role, 1) AS i
+        FROM after
+    ), found AS (
+        SELECT *, mark = '' AS blank, mark <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS duplicate,
+               i || lead(i) OVER (PARTITION BY conv_id ORDER BY p) AS pair
+        FROM placed
+    ), turns AS (SELECT *, NOT blank AND NOT duplicate AND mark NOT IN ('.', '!', '?') AS truncated FROM found),
+    counted AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(duplicate) AS duplicate,
+               count_if(truncated) AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal,
+               list({{'i': i, 'gone': blank OR duplicate, 'short': truncated::BIGINT}} ORDER BY p) AS rows
+        FROM turns GROUP BY conv_id
+    ), solved AS (
+        SELECT * EXCLUDE (rows), list_reduce(rows, lambda v, r: {{{step}}}, {{'z': {{'c': 0::BIGINT, 'a': ''}}, 's': {far}, 'u': {far}, 'a': {far}}}) AS v FROM counted
+    ), best AS (SELECT * EXCLUDE (v), {least("v.z", "v.a", plus("v.u", "2", "'I'"), plus("v.s", "4", "'II'"))} AS b FROM solved),
+    letters AS (SELECT conv_id, unnest(range(1, length(b.a) + 1)) AS n, b.a[n] AS letter FROM best),
+    walked AS (
+        SELECT *, count_if(letter <> 'I') OVER w AS p, count_if(letter <> 'D') OVER w AS o FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY n)
+    ), kept AS (
+        SELECT w.conv_id, n, o, letter, t.role, CASE letter WHEN 'I' THEN '' ELSE t.text END AS text,
+               bool_or(letter = 'K' AND o = 1 AND t.i = 's') OVER (PARTITION BY w.conv_id) AS system
+        FROM walked w JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.p = greatest(w.p, 1) WHERE letter <> 'D'
+    ), written AS (
+        SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (o - system::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY n)) AS s
+        FROM kept GROUP BY 1
+    ), ids AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT ids.conv_id, {', '.join(f'CAST(coalesce({n}, 0) AS BIGINT) AS {n}' for n in ('gaps', 'blank', 'duplicate', 'truncated', 'illegal'))},
+           CAST(coalesce(b.c, 0) AS BIGINT) AS cost, coalesce(b.a, '') AS audit, coalesce(s, sha256('')) AS repaired_sha256
+    FROM ids LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN written ON written.conv_id IS NOT DISTINCT FROM ids.conv_id
+    """
+
+
+@query(_repair_sql())
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(damaged(given(spark, sf_dir, "conversations")))

@@ -34,13 +34,13 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
 def test_queries_give_one_row_per_document(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet").count()
-    for name in ("op1_sentencepiece", "op5_language_id", "op9_toxicity", "op10_token_counts"):
+    for name in ("op12_personal_data", "op1_sentencepiece", "op5_language_id", "op9_toxicity", "op10_token_counts"):
         assert QUERIES[name](spark, SF).count() == documents
 
 
