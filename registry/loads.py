@@ -20,14 +20,15 @@ from registry.base import (
     registered,
     stack,
 )
-from tableload.functions.types import from_struct_type
+from tableload.functions.types import ColSchema, from_struct_type
 from tableload.operators import verify
 from tableload.operators.feed import control_events, table_to_changes
+from tableload.operators.transform import Transform
 from tableload.plans.warehouse import collect_parts as parts_of
 from tableload.plans.warehouse import manifest
 from tableload.session import scratch_dir
 from tableload.sources.external import row_files
-from tableload.streaming.append import transfer
+from tableload.streaming.append import stream_append, transfer
 
 
 @query(
@@ -136,21 +137,136 @@ def drop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT s_suppkey, s_name FROM supplier")
 def truncate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Truncation hides the rows and takes the event's schema; an absent table is not made."""
+    """Truncation hides the rows, those before it in the feed too, and takes the event's schema; an absent table is not made."""
     warehouse = new_warehouse(spark, "truncate")
     supplier = given(spark, sf_dir, "supplier")
     warehouse.table(NAMESPACE, "supplier").load(given(spark, sf_dir, "customer"))
     narrow = from_struct_type(supplier.select("s_suppkey", "s_name").schema)
     events = spark.createDataFrame([("supplier",), ("never",)], "name string")
-    control = control_events(events, F.lit("truncate"), F.lit(NAMESPACE), F.col("name"))
-    rows = table_to_changes(supplier, NAMESPACE, "supplier")
+    control = control_events(events, F.lit("truncate"), F.lit(NAMESPACE), F.col("name"), F.lit(1_000_000_000_000))
+    old = table_to_changes(supplier.withColumn("s_name", F.lit("old")), NAMESPACE, "supplier", lsn=F.col("s_suppkey"))
+    rows = table_to_changes(supplier, NAMESPACE, "supplier", lsn=F.col("s_suppkey") + F.lit(1_000_000_000_001))
     schemas = {(NAMESPACE, "supplier"): narrow, (NAMESPACE, "never"): narrow}
-    warehouse.load_feed(control.unionByName(rows), schemas, "after")
+    warehouse.load_feed(stack([rows, control, old]), schemas, "after")
     if warehouse.table_exists(NAMESPACE, "never"):
         raise RuntimeError("an absent table was created")
     return warehouse.table(NAMESPACE, "supplier").read()
 
 
+@query(
+    """
+    SELECT 'orders' AS "table", o_orderkey AS key FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 3 * 2 FROM orders)
+    UNION ALL SELECT 'customer', c_custkey FROM customer WHERE c_custkey > (SELECT max(c_custkey) // 2 FROM customer)
+    UNION ALL SELECT 'part', p_partkey FROM part
+    """
+)
+def ordered_clean_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several clean-up events amid the rows of one feed: of each table only the rows after its last one stay.
+
+    ``orders`` is truncated at a third and two thirds of its keys, ``customer`` truncated at a quarter and dropped at half, ``part``
+    cleaned up by an event without a position.
+    """
+    warehouse = new_warehouse(spark, "ordered")
+    keys = {"orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey"}
+    frames = {name: given(spark, sf_dir, name) for name in keys}
+    for name, df in frames.items():
+        warehouse.table(NAMESPACE, name).load(df)
+
+    def event(name: str, kind: str, position: str | None) -> DataFrame:
+        top = frames[name].agg(F.max(keys[name]).alias("top"))
+        lsn = F.lit(None) if position is None else F.expr(position)
+        return control_events(top, F.lit(kind), F.lit(NAMESPACE), F.lit(name), lsn)
+
+    feed = [table_to_changes(df, NAMESPACE, name, lsn=F.col(keys[name])) for name, df in frames.items()]
+    feed += [event("orders", "truncate", "top div 3"), event("orders", "truncate", "top div 3 * 2")]
+    feed += [event("customer", "truncate", "top div 4"), event("customer", "drop", "top div 2"), event("part", "truncate", None)]
+    warehouse.load_feed(stack(feed), {(NAMESPACE, n): declared(spark, sf_dir, n) for n in keys}, "ordered")
+    return stack([warehouse.table(NAMESPACE, n).read().select(F.lit(n).alias("table"), F.col(k).cast("bigint").alias("key")) for n, k in keys.items()])
+
+
+@query(
+    """
+    SELECT *, (l_orderkey % 4)::VARCHAR AS load_part, 5 AS calls, 1 AS loads FROM lineitem
+    """
+)
+def completion_barrier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four workers stage their parts, in any order; the last done event publishes them, a repeated call changes nothing."""
+    warehouse = new_warehouse(spark, "barrier")
+    lineitem, key = given(spark, sf_dir, "lineitem"), (NAMESPACE, "lineitem")
+    schemas = {key: declared(spark, sf_dir, "lineitem")}
+    part = F.col("l_orderkey") % 4
+    one = spark.range(1)
+    names = [F.lit(n) for n in key]
+    all_done = control_events(one, F.lit("done_sharded"), *names, parts=F.array(*[F.lit(str(i)) for i in range(4)]))
+
+    def share(i: int) -> DataFrame:
+        rows = table_to_changes(lineitem.filter(part == i), *key, load_part=part)
+        return rows.unionByName(control_events(one, F.lit("done_table"), *names, load_part=F.lit(str(i))))
+
+    calls = [share(2), all_done, share(0), share(3), share(1)]
+    for i, feed in enumerate([*calls, share(3)]):
+        published = warehouse.stage_feed(feed, schemas, "sharded")
+        if bool(published) != (i >= 4) or i < 4 and warehouse.table_exists(*key) and warehouse.table(*key).count():
+            raise RuntimeError(f"call {i} published {len(published)} tables")
+    table = warehouse.table(*key)
+    loads = table.versions().filter("op = 'append'").count()
+    parts = table.manifest().select("load_part").distinct().count()
+    if parts != 4:
+        raise RuntimeError(f"{parts} parts")
+    return table.read().select("*", part.cast("string").alias("load_part"), F.lit(len(calls)).alias("calls"), F.lit(loads).alias("loads"))
+
+
+FLATTEN = """
+    SELECT event_id, get_json_object(document, '$.kind') AS kind, cast(get_json_object(document, '$.user.id') AS bigint) AS user_id,
+           cast(get_json_object(document, '$.user.value') AS double) AS value, upper(substr(get_json_object(document, '$.kind'), 1, 3)) AS code
+    FROM {source} WHERE document IS NOT NULL
+"""
+FLATTENED = "SELECT event_id, event_type AS kind, user_id, value, upper(left(event_type, 3)) AS code FROM events"
+
+
+def event_documents(events: DataFrame) -> DataFrame:
+    """Events as documents of a collection: an id and one JSON text."""
+    user = F.struct(F.col("user_id").alias("id"), "value")
+    return events.select("event_id", F.to_json(F.struct(F.col("event_type").alias("kind"), user.alias("user"))).alias("document"))
+
+
+DOCUMENTS = [ColSchema("event_id", "int64", primary_key=True, required=True), ColSchema("document", "string")]
+
+
+@query(FLATTENED)
+def transform_in_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents are flattened by a SELECT on their way into the table, whose schema is the SELECT's; other tables pass unchanged."""
+    warehouse = new_warehouse(spark, "flatten")
+    feed = stack(
+        [
+            table_to_changes(event_documents(given(spark, sf_dir, "events")), "shop", "documents"),
+            table_to_changes(given(spark, sf_dir, "region"), "shop", "region"),
+        ]
+    )
+    schemas = {("shop", "documents"): DOCUMENTS, ("shop", "region"): declared(spark, sf_dir, "region")}
+    flat = Transform(FLATTEN, ("shop.documents",), ("event_id",), into=("shop", "flat"))
+    warehouse.load_feed(feed, schemas, "flatten", transforms=[flat])
+    if warehouse.table("shop", "region").columns() != schemas["shop", "region"] or warehouse.table_exists("shop", "documents"):
+        raise RuntimeError("a table that the transform is not for was changed")
+    if warehouse.table("shop", "flat").identifier_columns() != ["event_id"]:
+        raise RuntimeError("the keys of the result are not declared")
+    return warehouse.table("shop", "flat").read()
+
+
+@query(FLATTENED)
+def transform_in_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents flattened batch by batch, by an appending stream."""
+    path, quarter = landed_events(spark, sf_dir)
+    warehouse = new_warehouse(spark, "flatten-stream")
+    arriving = row_files(spark, path, given(spark, sf_dir, "events").schema, quarter)
+    feed = table_to_changes(event_documents(arriving), "shop", "documents")
+    flat = Transform(FLATTEN, ("shop.documents",), ("event_id",))
+    stream_append(
+        feed, warehouse, {("shop", "documents"): DOCUMENTS}, "flatten", scratch_dir(spark, "checkpoint"), drain=True, transforms=[flat]
+    ).awaitTermination()
+    return warehouse.table("shop", "documents").read()
+
+
 @query("SELECT * FROM orders WHERE o_orderstatus <> 'F'")
 def replace_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = given(spark, sf_dir, "orders")

@@ -59,10 +59,17 @@ def table_to_changes(
     )
 
 
-def control_events(df: DataFrame, kind: Column, namespace: Column, table: Column) -> DataFrame:
-    """Rows of ``df`` as control events: a kind and a table, no values."""
+def control_events(
+    df: DataFrame, kind: Column, namespace: Column, table: Column, lsn: Column | None = None, load_part: Column | None = None, parts: Column | None = None
+) -> DataFrame:
+    """Rows of ``df`` as control events: a kind and a table, no values.
+
+    ``lsn`` places an event among the rows of its feed; ``load_part`` names the part that has ended (``done_table``), ``parts`` (array of
+    text) the parts that make up a load (``done_sharded``).
+    """
     empty = {f.name: F.lit(None).cast(f.dataType) for f in FEED_SCHEMA.fields}
-    empty.update(kind=kind, namespace=namespace, table=table)
+    given = {"lsn": lsn, "load_part": load_part, "column_names": parts}
+    empty.update(kind=kind, namespace=namespace, table=table, **{k: v.cast(FEED_SCHEMA[k].dataType) for k, v in given.items() if v is not None})
     return df.select(*[empty[f.name].alias(f.name) for f in FEED_SCHEMA.fields])
 
 
@@ -111,6 +118,24 @@ def restore_values(feed: DataFrame, cols: Sequence[ColSchema]) -> DataFrame:
     return conform(feed_columns(feed, cols), cols)
 
 
+def clean_up_points(feed: DataFrame) -> DataFrame:
+    """(namespace, table, kind, lsn): the last clean-up event of each kind and table; null where none states its position."""
+    events = feed.filter(F.col("kind").isin(*CLEANUP_KINDS))
+    return events.groupBy("namespace", "table", "kind").agg(F.max("lsn").alias("lsn"))
+
+
+def after_clean_up(feed: DataFrame, points: DataFrame) -> DataFrame:
+    """Rows that come after the last clean-up event of their table.
+
+    A row is void if its position is at or before that event's. Rows and events without a position do not compare: an
+    event without one acts before all rows, a row without one comes after all events.
+    """
+    last = points.groupBy(F.col("namespace").alias("_ns"), F.col("table").alias("_table")).agg(F.max("lsn").alias("_after"))
+    joined = feed.join(last, (F.col("namespace") == F.col("_ns")) & (F.col("table") == F.col("_table")), "left")
+    later = F.coalesce(F.col("lsn") > F.col("_after"), F.lit(True))
+    return joined.filter(later).drop("_ns", "_table", "_after")
+
+
 def only_table(feed: DataFrame, namespace: str, table: str) -> DataFrame:
     return feed.filter((F.col("namespace") == namespace) & (F.col("table") == table))
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import random
-import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
@@ -22,6 +20,7 @@ from tableload.plans.ledger import (
     LOADS,
     ROLLED_UP,
     Entry,
+    claim,
     current_entries,
     live_entries,
     ledger_frame,
@@ -35,9 +34,6 @@ from tableload.plans.ledger import (
     visible_entries,
 )
 
-# Attempts to take a version number of one's own while other writers publish too.
-PUBLISH_ATTEMPTS = 20
-
 LOAD_COLUMN = "_load_id"
 PART_COLUMN = "_load_part"
 REGISTERED = "registered_paths"
@@ -101,7 +97,7 @@ class Table:
         entry = Entry(
             self.namespace,
             self.name,
-            max((e.seq for e in entries), default=0) + 1,
+            claim(self.spark, self.root, self.namespace, self.name, max((e.seq for e in entries), default=0) + 1),
             load_id,
             op,
             rows,
@@ -113,24 +109,17 @@ class Table:
             json.dumps(list(partition_by)),
         )
         entry = replace(entry, total_rows=loaded_rows(entries + [entry]))
-        folder_id = unused_id(entries, load_id)
-        publish(self.spark, self.root, entry, folder_id)
-        for _ in range(PUBLISH_ATTEMPTS):
-            # of two writers that took one number, the later one sees both rows and moves on
-            others = [e for e in self.entries() if (e.load_id, e.seq) != (load_id, entry.seq)]
-            if all(e.seq != entry.seq for e in others):
-                return entry
-            time.sleep(random.random() / 4)
-            others = [e for e in self.entries() if (e.load_id, e.seq) != (load_id, entry.seq)]
-            entry = replace(entry, seq=max(e.seq for e in [*others, entry]) + 1)
-            entry = replace(entry, total_rows=loaded_rows([*others, entry]))
-            publish(self.spark, self.root, entry, folder_id)
-        raise RuntimeError(f"no version number of {self.namespace}.{self.name} could be taken for load {load_id}")
+        publish(self.spark, self.root, entry, unused_id(entries, load_id))
+        return entry
 
     def _published(self, entries: list[Entry], load_id: str) -> Entry | None:
         """The entry of a load id since the table's rows last began anew."""
         return next((e for e in current_entries(entries) if e.load_id == load_id), None)
 
+    def has_load(self, load_id: str) -> bool:
+        """Whether the load is published, since the table's rows last began anew."""
+        return self._published(self.entries(), load_id) is not None
+
     def ensure(
         self, cols: Sequence[ColSchema], partition_by: Sequence[str] = (), props: Mapping[str, str] | None = None
     ) -> bool:
@@ -185,7 +174,7 @@ class Table:
         fork = Table(self.spark, self.root, self.namespace, f"{self.name}@{name}")
         if fork.exists():
             raise ValueError(f"branch {name} is there already")
-        publish_together(self.spark, self.root, [replace(e, table=fork.name) for e in self._live(version)], f"branch-{name}")
+        publish_together(self.spark, self.root, [replace(e, table=fork.name) for e in self._live(version)])
         return fork
 
     # -- schema -------------------------------------------------------------------------------------

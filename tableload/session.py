@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -56,5 +57,42 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def _located(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _located(spark, path)
+    return system.exists(folder)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    system, folder = _located(spark, path)
+    return [found.getPath().getName() for found in system.listStatus(folder)] if system.exists(folder) else []
+
+
+def modified_at(spark: SparkSession, path: str) -> float:
+    """Seconds since 1970 at which a file was last written."""
+    system, folder = _located(spark, path)
+    return system.getFileStatus(folder).getModificationTime() / 1000
+
+
+def take_name(spark: SparkSession, path: str) -> bool:
+    """Make an empty file unless it is there; of several writers one succeeds. True if this one did."""
+    system, name = _located(spark, path)
+    system.mkdirs(name.getParent())
+    if system.getScheme() == "file":  # Hadoop's local file system looks first and creates then
+        return spark._jvm.java.io.File(name.toUri().getPath()).createNewFile()
+    try:
+        system.create(name, False).close()
+    except Py4JJavaError:
+        if not system.exists(name):
+            raise
+        return False
+    return True
+
+
 def is_utc(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")

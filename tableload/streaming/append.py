@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tableload.operators.transform import Transform
 from tableload.plans.table import Table
 from tableload.plans.warehouse import Schemas, Warehouse
 
@@ -53,9 +54,12 @@ def stream_append(
     default_namespace: str | None = None,
     props: Mapping[str, str] | None = None,
     on_error: str | None = None,
+    transforms: Sequence[Transform] = (),
 ) -> StreamingQuery:
     """Append a streaming change feed to the tables it names.
 
+    ``transforms`` are run over each batch's rows of the tables they are for.
+
     Every batch is published per table under an id made of stream name, query id and batch number. A batch that is
     replayed from its checkpoint publishes only what is still missing, so each row arrives exactly once while the
     checkpoint lives; a new checkpoint reads the source anew. A failing batch stops the query; a restart from the
@@ -66,7 +70,7 @@ def stream_append(
 
     def append(batch: DataFrame, batch_id: int) -> None:
         load_id = batch_load_id(stream, query_id(batch.sparkSession, checkpoint), batch_id)
-        warehouse.append_batch(batch, schemas, load_id, props, default_namespace, on_error)
+        warehouse.append_batch(batch, schemas, load_id, props, default_namespace, on_error, transforms=transforms)
 
     return _start(feed.writeStream.foreachBatch(append), stream, checkpoint, interval, drain)
 

@@ -91,7 +91,7 @@ def test_rows_staged_by_a_dead_batch_are_replaced(spark, warehouse, landing, che
     for name in glob.glob(f"{checkpoint}/commits/*2") + glob.glob(f"{checkpoint}/commits/.2*"):
         os.unlink(name)
     for table in ("n0", "n1"):
-        remove_folder(spark, f"{warehouse.root}/ledger/ns=streaming/table={table}/load={last}")
+        remove_folder(spark, f"{warehouse.root}/ledger/ns=streaming/table={table}/span=0/load={last}")
     stale = f"{warehouse.root}/data/ns=streaming/table=n0/_load_id={last}"
     spark.createDataFrame([(777, "stale")], SCHEMA).write.mode("append").parquet(stale)
     stream_append(feed(spark, landing), warehouse, SCHEMAS, "s", checkpoint, **options).awaitTermination()
