@@ -353,12 +353,20 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS, similarity: int = SIMILARITY
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with all their columns.
+    """One row of ``docs`` of each component, with all its columns: that with the smallest id (null last).
 
-    Rows with one id are one document: they stay or go together. Rows without an id stay.
+    Rows are documents of their own: of repeated rows and of rows without an id, too, one stays. Texts without words are
+    linked with nothing and stay. An empty table gives no rows.
     """
-    rows = near_duplicates(docs, id_col, text_col, size, similarity)
-    gone = free_name(docs.columns, "dropped_id")
-    dropped = rows.groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"))
-    dropped = stored(dropped.filter("stays = 0").select(F.col("doc_id").alias(gone)), "dropped")
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col(gone), "left_anti")
+    key = free_name(docs.columns, "row_key")
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = near_duplicates(rows, key, text_col, size, similarity).select(F.col("doc_id").alias("key"), "component_id")
+    found = stored(found, "near-rows")
+    several = found.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    grouped = found.join(several, "component_id")
+    ids = rows.select(F.col(key).alias("key"), F.col(f"`{id_col}`").alias("id"))
+    order = F.struct(F.col("id").isNull(), "id", "key")
+    first = grouped.join(ids, "key").groupBy("component_id").agg(F.min_by("key", order).alias("first"))
+    gone = free_name(rows.columns, "gone_key")
+    dropped = stored(grouped.join(first, "component_id").filter("key <> first").select(F.col("key").alias(gone)), "dropped")
+    return rows.join(dropped, F.col(key) == F.col(gone), "left_anti").drop(key)

@@ -6,7 +6,7 @@ languages that contain it. A text's languages are counted by the bits of its n-g
 the share of n-grams that a filter of that fill takes for its own, and the largest corrected count decides.
 
 Training takes a bounded sample (``SAMPLE`` labelled rows of a language, by hash of the id), whole texts; n-grams that
-fewer than ``MIN_TEXTS`` texts of a language have are left out. Every document is read whole.
+fewer than ``MIN_TEXTS`` texts of a language have are left out, unless the language has few texts. Every document is read whole.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ GRAM = 4
 SLOT_BITS = 20  # a filter has 2**20 slots
 HASHES = 3
 SAMPLE = 2_000
+FEW_TEXTS = 100  # a language with fewer learnt texts keeps all its n-grams
 MIN_TEXTS = 2
 UNDETERMINED = "und"
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
@@ -124,7 +125,8 @@ def train(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id",
     table = np.zeros((1 << SLOT_BITS, words), np.uint64)
     if known:
         grams = rows.filter(bound).select("lang", "text").mapInArrow(collect, "lang int, gram long, n long")
-        grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_TEXTS)
+        few = [number[lang] for lang, n in sizes.groupby("lang")["count"].sum().items() if n < FEW_TEXTS]
+        grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).filter((F.col("n") >= MIN_TEXTS) | F.col("lang").isin(few))
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -5,7 +5,7 @@ buckets (exact below 64, then six leading bits, an error of at most 1/32): a qua
 counts, so that it does not depend on the order or number of tasks [as in Masson, Rim and Lee, 2019]. A sketch is
 kept per language and source and merged to languages and to the whole corpus; a group of too few documents takes
 the thresholds of the next larger one. A threshold is the median plus or minus ``FENCE`` times the distance of the
-quartiles. Thresholds are a small written table that the measured documents are joined with: Spark broadcasts it
+group's own quartiles, or an upper quantile of the group if that is larger. Thresholds are a small written table that the measured documents are joined with: Spark broadcasts it
 if its size in bytes permits, else it joins by shuffle, splitting a hot source.
 """
 
@@ -27,15 +27,13 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_GROUP = 100  # documents
 FENCE = 4
-# measure (thousandths): least distance of the quartiles that counts, whether low values fail too
-MEASURES = {"symbols_pm": (10, False), "dup_lines_pm": (180, False), "repeat_pm": (70, False), "word_length_pm": (400, True)}
-# of the group's own documents: the share (percent) that stays whatever the quartiles say, and what one unit of a text
-# adds to the measure: one symbol, one line, one repeated passage, one word
-OWN = {
-    "symbols_pm": (75, "1000 / greatest(word_chars, 1)"),
-    "dup_lines_pm": (98, "1000 / greatest(n_lines, 1)"),
-    "repeat_pm": (98, f"{2000 * WINDOW} / greatest(n_words, 1)"),
-    "word_length_pm": (75, "word_length_pm / greatest(n_words, 1)"),
+# measure (thousandths): whether low values fail too, the share (percent) of a group's own documents that stays whatever the
+# quartiles say, and what one unit of a text adds to the measure: one symbol, one line, one repeated passage, one word
+MEASURES = {
+    "symbols_pm": (False, 75, "1000 / greatest(word_chars, 1)"),
+    "dup_lines_pm": (False, 98, "1000 / greatest(n_lines, 1)"),
+    "repeat_pm": (False, 98, f"{2000 * WINDOW} / greatest(n_words, 1)"),
+    "word_length_pm": (True, 75, "word_length_pm / greatest(n_words, 1)"),
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
@@ -129,10 +127,11 @@ def sketches(measured: DataFrame) -> DataFrame:
     return long.withColumn("shift", shift).groupBy("lang", "source", "measure", bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def _fences(sketch: DataFrame, keys: list[str], own: bool = False) -> DataFrame:
+def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     """Thresholds (size, fences as a map measure -> lo, hi) of the sketches merged to ``keys``.
 
-    With ``own`` the distance of the quartiles, to the end of the upper one's bucket, counts however small, and ``hi`` is at least the quantile of ``OWN``.
+    The distance of the quartiles, to the end of the upper one's bucket, counts however small, and ``hi`` is at least the quantile
+    of ``MEASURES``.
     """
     merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     part = ", ".join([*keys, "measure"])
@@ -141,24 +140,21 @@ def _fences(sketch: DataFrame, keys: list[str], own: bool = False) -> DataFrame:
         f"sum(n) over (partition by {part} order by bucket) as upto",
         f"sum(n) over (partition by {part}) as size",
     )
-    at = {q: F.min(F.when(F.col("upto") * 100 >= F.col("size") * q, F.col("bucket"))) for q in sorted({25, 50, 75, *(q for q, _ in OWN.values() if own)})}
+    at = {q: F.min(F.when(F.col("upto") * 100 >= F.col("size") * q, F.col("bucket"))) for q in sorted({25, 50, 75, *(q for _, q, _ in MEASURES.values())})}
     out = ranked.groupBy(*keys, "measure").agg(F.max("size").alias("size"), *[c.alias(f"q{q}") for q, c in at.items()])
-    floor = F.element_at(F.create_map(*[F.lit(x) for m, (res, _) in MEASURES.items() for x in (m, res)]), F.col("measure"))
     top = "q75 + shiftleft(1L, greatest(length(bin(q75)) - 6, 0)) - 1"  # the largest value in the bucket
-    out = out.withColumn("spread", FENCE * (F.expr(f"{top} - q25") if own else F.greatest(F.expr("q75 - q25"), floor)))
-    hi = F.expr("q50 + spread")
-    if own:
-        tail = F.create_map(*[x for m, (q, _) in OWN.items() for x in (F.lit(m), F.col(f"q{q}"))])
-        hi = F.greatest(hi, F.element_at(tail, F.col("measure")))
+    out = out.withColumn("spread", FENCE * F.expr(f"{top} - q25"))
+    tail = F.create_map(*[x for m, (_, q, _) in MEASURES.items() for x in (F.lit(m), F.col(f"q{q}"))])
+    hi = F.greatest(F.expr("q50 + spread"), F.element_at(tail, F.col("measure")))
     pair = F.struct(F.expr("q50 - spread").alias("lo"), hi.alias("hi"))
     return out.groupBy(*keys).agg(F.max("size").alias("size"), F.map_from_entries(F.collect_list(F.struct("measure", pair.alias("f")))).alias("fences"))
 
 
-def thresholds(measured: DataFrame, min_group: int = MIN_GROUP, own: bool = False) -> DataFrame:
+def thresholds(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """(lang, source, level, fences) for every language and source. Stored."""
     sketch = stored(sketches(measured), "sketches")
     groups = measured.select("lang", "source").distinct().alias("g")
-    fine, lang, whole = (_fences(sketch, keys, own) for keys in (["lang", "source"], ["lang"], []))
+    fine, lang, whole = (_fences(sketch, keys) for keys in (["lang", "source"], ["lang"], []))
     out = (
         groups.join(fine.alias("f"), F.expr("g.lang <=> f.lang and g.source <=> f.source"), "left")
         .join(lang.alias("l"), F.expr("g.lang <=> l.lang"), "left")
@@ -177,27 +173,24 @@ def judged(
     source_col: str = "source",
     min_group: int = MIN_GROUP,
     carry: bool = False,
-    own: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang, source, the counts, base_failed, level and kept (and ``doc``).
 
     Words are runs of anything but ASCII white space. A null, empty or blank text has no words and fails. Null
     languages and sources are groups of their own. Rows count as often as they occur. Extra columns are ignored,
-    and an empty table gives no rows. With ``own`` the spread is the group's own, without the least distances of
-    ``MEASURES``: a value is rounded to its bucket as the sketch's are, and may exceed a threshold by one unit of its text.
+    and an empty table gives no rows. A value is rounded to its bucket as the sketch's are, and may exceed a threshold by one
+    unit of its text.
     """
     measured = text_measures(docs, id_col, lang_col, source_col, text_col, carry)
-    limits = thresholds(measured, min_group, own)
+    limits = thresholds(measured, min_group)
     fine = F.lit(True)
-    for measure, (_, low_fails) in MEASURES.items():
+    for measure, (low_fails, _, unit) in MEASURES.items():
         fence = F.element_at("t.fences", F.lit(measure))
-        value, unit = F.col(measure), F.lit(0)
-        if own:
-            shift = f"greatest(length(bin({measure})) - 6, 0)"
-            value, unit = F.expr(f"shiftleft(shiftright({measure}, {shift}), {shift})"), F.expr(OWN[measure][1])
-        fine = fine & (value - unit <= fence["hi"])
+        shift = f"greatest(length(bin({measure})) - 6, 0)"
+        value = F.expr(f"shiftleft(shiftright({measure}, {shift}), {shift})")
+        fine = fine & (value - F.expr(unit) <= fence["hi"])
         if low_fails:
-            fine = fine & (value + unit >= fence["lo"])
+            fine = fine & (value + F.expr(unit) >= fence["lo"])
     joined = measured.alias("m").join(limits.alias("t"), F.expr("m.lang <=> t.lang and m.source <=> t.source"), "left")
     return joined.select(
         "m.doc_id",
@@ -213,4 +206,4 @@ def judged(
 
 def keep_quality(docs: DataFrame, **columns: str) -> DataFrame:
     """The rows of ``docs`` that pass the thresholds of their group's own spread, with all their columns."""
-    return judged(docs, carry=True, own=True, **columns).filter("kept").select("doc.*")
+    return judged(docs, carry=True, **columns).filter("kept").select("doc.*")

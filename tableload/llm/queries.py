@@ -97,13 +97,14 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                 'repeat_pm': 1000 * n_repeat_words // greatest(n_words, 1), 'word_length_pm': 1000 * word_chars // greatest(n_words, 1)} AS pm
         FROM m
     ), measured AS (
-        SELECT doc_id, lang, source, 'symbols_pm' AS measure, pm.symbols_pm AS v, base_failed FROM b
-        UNION ALL SELECT doc_id, lang, source, 'dup_lines_pm', pm.dup_lines_pm, base_failed FROM b
-        UNION ALL SELECT doc_id, lang, source, 'repeat_pm', pm.repeat_pm, base_failed FROM b
-        UNION ALL SELECT doc_id, lang, source, 'word_length_pm', pm.word_length_pm, base_failed FROM b
+        SELECT *, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bucket FROM (
+            SELECT doc_id, lang, source, 'symbols_pm' AS measure, pm.symbols_pm AS v, 1000 / greatest(word_chars, 1) AS unit, base_failed FROM b
+            UNION ALL SELECT doc_id, lang, source, 'dup_lines_pm', pm.dup_lines_pm, 1000 / greatest(n_lines, 1), base_failed FROM b
+            UNION ALL SELECT doc_id, lang, source, 'repeat_pm', pm.repeat_pm, 16000 / greatest(n_words, 1), base_failed FROM b
+            UNION ALL SELECT doc_id, lang, source, 'word_length_pm', pm.word_length_pm, pm.word_length_pm / greatest(n_words, 1), base_failed FROM b
+        )
     ), buckets AS (
-        SELECT lang, source, measure, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bucket, count(*) AS n
-        FROM measured WHERE NOT base_failed GROUP BY ALL
+        SELECT lang, source, measure, bucket, count(*) AS n FROM measured WHERE NOT base_failed GROUP BY ALL
     ), merged AS (
         SELECT 1 AS level, lang, source, measure, bucket, n FROM buckets
         UNION ALL SELECT 2, lang, NULL, measure, bucket, sum(n) FROM buckets GROUP BY ALL
@@ -114,19 +115,18 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM merged
     ), q AS (
         SELECT level, lang, source, measure, any_value(size) AS size, min(bucket) FILTER (upto * 100 >= size * 25) AS q25,
-               min(bucket) FILTER (upto * 100 >= size * 50) AS q50, min(bucket) FILTER (upto * 100 >= size * 75) AS q75
+               min(bucket) FILTER (upto * 100 >= size * 50) AS q50, min(bucket) FILTER (upto * 100 >= size * 75) AS q75,
+               min(bucket) FILTER (upto * 100 >= size * CASE WHEN measure IN ('dup_lines_pm', 'repeat_pm') THEN 98 ELSE 75 END) AS tail
         FROM ranked GROUP BY ALL
     ), f AS (
-        SELECT level, lang, source, measure, size, q50,
-               4 * greatest(q75 - q25, CASE measure WHEN 'symbols_pm' THEN 10 WHEN 'dup_lines_pm' THEN 180 WHEN 'repeat_pm' THEN 70 ELSE 400 END) AS spread
-        FROM q
+        SELECT level, lang, source, measure, size, q50, tail, 4 * (q75 + (1::BIGINT << greatest(length(bin(q75)) - 6, 0)) - 1 - q25) AS spread FROM q
     ), chosen AS (
-        SELECT d.doc_id, d.measure, d.v, arg_min({'q50': f.q50, 'spread': f.spread}, f.level) AS t
+        SELECT d.doc_id, d.measure, d.bucket, d.unit, arg_min({'lo': f.q50 - f.spread, 'hi': greatest(f.q50 + f.spread, f.tail)}, f.level) AS t
         FROM measured d JOIN f ON f.measure = d.measure AND (f.level = 3 OR f.size >= 100
             AND f.lang IS NOT DISTINCT FROM d.lang AND (f.level = 2 OR f.source IS NOT DISTINCT FROM d.source))
         GROUP BY ALL
     ), verdicts AS (
-        SELECT doc_id, bool_and(v <= t.q50 + t.spread AND (measure <> 'word_length_pm' OR v >= t.q50 - t.spread)) AS fine FROM chosen GROUP BY 1
+        SELECT doc_id, bool_and(bucket - unit <= t.hi AND (measure <> 'word_length_pm' OR bucket + unit >= t.lo)) AS fine FROM chosen GROUP BY 1
     )
     SELECT b.doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT base_failed AND coalesce(fine, TRUE) AS kept

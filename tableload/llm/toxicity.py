@@ -173,9 +173,9 @@ def _logistic(x: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
         small = np.array([*[0.05] * len(used), 1e-9])
         beta = np.zeros(len(used) + 1)
         for _ in range(50):  # Newton's method
-            p = 1 / (1 + np.exp(-np.clip(rows @ beta, -50, 50)))
-            down = rows.T @ (weight * (toxic - p)) - small * [*beta[:-1], 0.0]
-            bend = (rows * (weight * p * (1 - p))[:, None]).T @ rows + np.diag(small)
+            p = 1 / (1 + np.exp(-np.clip(np.einsum("ij,j->i", rows, beta), -50, 50)))  # no BLAS: see packing
+            down = np.einsum("ij,i->j", rows, weight * (toxic - p)) - small * [*beta[:-1], 0.0]
+            bend = np.einsum("ij,i,ik->jk", rows, weight * p * (1 - p), rows) + np.diag(small)
             step = np.linalg.solve(bend, down)
             beta += np.clip(step, -5, 5)
             if np.abs(step).max() < 1e-8:
@@ -193,8 +193,8 @@ def fit(model: Model, found: np.ndarray, toxic: np.ndarray) -> None:
     by_chance = np.sqrt(2 * np.log(found[:, 3]))
     plain = ~toxic & (by_chance > 0)
     if plain.any():  # how far the best window of ordinary texts lies above the text, by the number of windows
-        above = (found[plain, 2] - found[plain, 1]) @ by_chance[plain]
-        model.chance = max(0.0, float(above / (by_chance[plain] @ by_chance[plain])))
+        above = ((found[plain, 2] - found[plain, 1]) * by_chance[plain]).sum()
+        model.chance = max(0.0, float(above / (by_chance[plain] ** 2).sum()))
     x = np.column_stack([found[:, 0], found[:, 1], found[:, 2] - model.chance * by_chance])
     slopes, constant = _logistic(x, toxic)
     model.slope = float(slopes.sum())

@@ -69,3 +69,15 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "some text", None, None, None)], SCHEMA)
     assert langid.identified(docs, langid.train(docs)).collect()[0].lang_pred == "und"
     assert langid.identified(spark.createDataFrame([], SCHEMA), langid.train(docs)).count() == 0
+
+
+def test_a_language_with_one_text_is_learnt(spark):
+    pick = random.Random(6)
+    words = {lang: ["".join(pick.choice(letters) for _ in range(6)) for _ in range(300)] for lang, letters in (("aa", "abcdefgh"), ("bb", "stuvwxyz"))}
+    rows = [(i, " ".join(pick.choice(words["aa"]) for _ in range(80)), "aa") for i in range(40)]
+    rows += [(100, " ".join(pick.choice(words["bb"]) for _ in range(3000)), "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    filters = langid.train(docs)
+    more = spark.createDataFrame([(100, rows[-1][1]), (101, " ".join(words["bb"][:50])), (102, " ".join(words["aa"][:50]))], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identified(more, filters).collect()}
+    assert {k: v[0] for k, v in got.items()} == {100: "bb", 101: "bb", 102: "aa"} and got[100][1] > 0.9
