@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timezone
 from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
@@ -36,7 +37,13 @@ from tableload.plans.ledger import (
 
 LOAD_COLUMN = "_load_id"
 PART_COLUMN = "_load_part"
+# Properties of registered files: their folders, the moment before which all of them were written, and their names' digest.
 REGISTERED = "registered_paths"
+REGISTERED_BEFORE = "registered_before"
+REGISTERED_FILES = "registered_files"
+
+# Files with deleted rows that the driver tells the scan by name; of more, the rows are told apart by a join.
+TOUCHED_FILES = 10_000
 FILE_COLUMN = "_file"
 POSITION_COLUMN = "_pos"
 
@@ -325,7 +332,8 @@ class Table:
                         f"{field.dataType.simpleString()} in the table"
                     )
         reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-        files = _union([reader.load(path).select(F.col("_metadata.file_path").alias(FILE_COLUMN)) for path in paths])
+        found_files = _union([reader.load(path).select(F.col("_metadata.file_path").alias(FILE_COLUMN), "modificationTime") for path in paths])
+        files = found_files.select(FILE_COLUMN)
         twice = files.groupBy(FILE_COLUMN).count().filter("count > 1").select(FILE_COLUMN)
         known = [e.path for e in current_entries(entries) if e.op == "register"]
         if known:
@@ -335,21 +343,36 @@ class Table:
         path = f"{table_folder(self.root, 'files', self.namespace, self.name)}/{segment(LOAD_COLUMN, unused_id(entries, load_id))}"
         files.write.mode("overwrite").parquet(path)
         rows = sum(frame.count() for frame in frames)
-        props = {**(props or {}), REGISTERED: json.dumps(list(paths))}
+        last = found_files.agg(F.unix_seconds(F.max("modificationTime"))).first()[0]
+        before = datetime.fromtimestamp(last + 1, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+        listed = _listed_files([self._scan_before(path, schema, before) for path in paths])
+        props = {**(props or {}), REGISTERED: json.dumps(list(paths)), REGISTERED_BEFORE: before, REGISTERED_FILES: listed}
         return self._publish(entries, "register", load_id, rows, path, props, schema)
 
     def _file_lists(self, paths: Sequence[str]) -> DataFrame:
         return self.spark.read.schema(f"{FILE_COLUMN} string").parquet(*paths)
 
-    def _registered(self, entry: Entry, schema: T.StructType) -> DataFrame:
-        """Rows of registered files: their folders are scanned, files that came later are left out by a join."""
+    def _scan_before(self, path: str, schema: T.StructType, before: str) -> DataFrame:
+        return self.spark.read.schema(schema).option("modifiedBefore", before).option("timeZone", "UTC").parquet(path)
+
+    def _registered(self, entry: Entry, schema: T.StructType, positions: bool) -> DataFrame:
+        """Rows of registered files.
+
+        The scan itself leaves out files written after the registration. If what it lists is what was registered, as
+        nearly always, that is all; if files were moved in or taken away, a join with the recorded list decides.
+        """
+        paths = json.loads(entry.props[REGISTERED])
+        frames = [self._scan_before(path, schema, entry.props[REGISTERED_BEFORE]) for path in paths]
+        same = _listed_files(frames) == entry.props[REGISTERED_FILES]
+        frames = frames if same else [self.spark.read.schema(schema).parquet(path) for path in paths]
+        if positions or not same:
+            frames = [rows.withColumn(FILE_COLUMN, F.col("_metadata.file_path")) for rows in frames]
+        if positions:
+            frames = [rows.withColumn(POSITION_COLUMN, F.col("_metadata.row_index")) for rows in frames]
+        if same:
+            return _union(frames)
         files = self._file_lists([entry.path])
-        frames = []
-        for path in json.loads(entry.props[REGISTERED]):
-            rows = self.spark.read.schema(schema).parquet(path)
-            rows = rows.withColumn(FILE_COLUMN, F.col("_metadata.file_path")).withColumn(POSITION_COLUMN, F.col("_metadata.row_index"))
-            frames.append(rows.join(files, FILE_COLUMN, "left_semi"))
-        return _union(frames)
+        return _union([rows.join(files, FILE_COLUMN, "left_semi") for rows in frames])
 
     def delete_where(self, condition: Column | str, load_id: str | None = None) -> Entry:
         """Record the position of every matching row; data files stay as they are."""
@@ -456,13 +479,13 @@ class Table:
         since: int | None = None,
         positions: bool = False,
         partitions: bool = False,
-        touched_only: bool = False,
+        touched_only: bool | None = None,
     ) -> DataFrame:
         """Visible rows, now or as of a version, or only those of loads after version ``since`` (0: all).
 
-        Deleted positions are taken out by an anti-join whose sides Spark sizes itself. With ``touched_only`` the files
-        that deletes touch are told apart first, by their names: for large delete sets that leave most files alone,
-        only rows of touched files are shuffled, at the price of a second scan. A ``since`` before the last replace or
+        Deleted positions are taken out by an anti-join. A delete set that Spark may broadcast is broadcast; of a larger
+        one, the files that it touches are told apart first: only their rows are shuffled, and each file is
+        scanned once. ``touched_only`` forces one way (False: one join; True: files told apart by joins). A ``since`` before the last replace or
         truncate is refused, as the rows read up to then are void.
 
         ``between`` bounds a column and skips the folders outside, where the table is partitioned by it.
@@ -535,7 +558,7 @@ class Table:
         frames = [self._read_loads(group, schema).select(*wanted) for group in _by_folder(owned)]
         for entry in loads:
             if entry.op == "register":
-                found = self._registered(entry, schema)
+                found = self._registered(entry, schema, positions)
                 for t in transforms:
                     found = found.withColumn(t.column, t.value(quoted(t.source), schema[t.source].dataType))
                 own = [quoted(n) for n in schema.names] + [quoted(t.column) for t in transforms]
@@ -554,15 +577,22 @@ class Table:
         schema: T.StructType,
         specs: Sequence[str],
         positions: bool,
-        touched_only: bool = False,
+        touched_only: bool | None = None,
     ) -> DataFrame:
         rows = self._scan(loads, schema, specs, bool(deletes) or positions)
         return self._without_deleted(rows, deletes, touched_only) if deletes else rows
 
-    def _without_deleted(self, rows: DataFrame, deletes: Sequence[Entry], touched_only: bool) -> DataFrame:
+    def _without_deleted(self, rows: DataFrame, deletes: Sequence[Entry], touched_only: bool | None) -> DataFrame:
         gone = self.spark.read.schema(DELETE_SCHEMA).parquet(*[e.path for e in deletes])
         keys = [FILE_COLUMN, POSITION_COLUMN]
-        if not touched_only:
+        if touched_only is None:
+            if _plan_bytes(gone) <= _broadcast_limit(self.spark):
+                return rows.join(gone, keys, "left_anti")
+            names = [r[0] for r in gone.select(FILE_COLUMN).distinct().take(TOUCHED_FILES + 1)]
+            if len(names) <= TOUCHED_FILES:  # the scans skip files by name
+                touched = F.col(FILE_COLUMN).isin(names)
+                return rows.filter(~touched).unionByName(rows.filter(touched).join(gone, keys, "left_anti"))
+        elif not touched_only:
             return rows.join(gone, keys, "left_anti")
         touched = gone.select(FILE_COLUMN).distinct()
         clean = rows.join(touched, FILE_COLUMN, "left_anti")
@@ -585,6 +615,25 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def _listed_files(frames: Sequence[DataFrame]) -> str:
+    """Number and digest of the names of the files that the frames scan; one text for all names comes from the JVM."""
+    digest, count = hashlib.sha256(), 0
+    for frame in frames:
+        files = frame.sparkSession._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(frame._jdf.inputFiles())
+        names = sorted(files.mkString("\n").split("\n"))
+        digest.update("\n".join(names).encode())
+        count += files.length()
+    return f"{count} {digest.hexdigest()}"
+
+
+def _plan_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _broadcast_limit(spark: SparkSession) -> int:
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def _by_folder(loads: Sequence[Entry]) -> list[list[Entry]]:
     """Loads grouped by table folder: a branch begins with loads that lie in its origin's folder."""
     groups: dict[str, list[Entry]] = {}

@@ -1,5 +1,9 @@
 """Plans: what reaches the scan, and what is shuffled."""
 
+import os
+import shutil
+import time
+
 from pyspark.sql import functions as F
 
 from tableload import table_to_changes
@@ -111,3 +115,58 @@ def test_messages_are_parsed_once(spark, plan):
     df = spark.range(10).selectExpr("to_json(named_struct('id', id, 'name', 'n')) as value")
     text = plan(parse_messages(df, [ColSchema("id", "int64"), ColSchema("name", "string")]))
     assert text.count("parseJson") == 1
+
+
+def test_registered_reads_are_scans_alone(spark, warehouse, plan, tmp_path):
+    """No join with the list of files, however many there are; files that come later stay unseen."""
+    folder = str(tmp_path / "files")
+    wide(spark, 900).repartition(300).write.parquet(folder)
+    table = warehouse.table("ns", "wide")
+    table.register([folder])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(table.read(["key"], "amount > 100"))
+        assert "Exchange" not in text and "Join" not in text and "ReadSchema: struct<key:bigint,amount:double>" in text
+        time.sleep(1.1)
+        wide(spark, 5).write.mode("append").parquet(folder)
+        assert "Join" not in plan(table.read()) and table.count() == 900
+        late = next(f for f in os.listdir(folder) if f.startswith("part-"))
+        shutil.copy2(f"{folder}/{late}", f"{folder}/part-moved.parquet")  # keeps its time: the list has to decide
+        assert "Join" in plan(table.read()) and table.count() == 900
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_delete_sets_shuffle_touched_files_only(spark, warehouse, plan):
+    table = warehouse.table("ns", "wide")
+    for i in range(8):
+        table.load(wide(spark).filter(F.col("key") % 8 == i).coalesce(1))
+    table.delete_where("key % 8 = 5 and key < 500")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = table.read(["key"])
+        text = plan(df)
+        assert "Union" in text and text.count("Join") == 1
+        assert sorted(r[0] for r in df.collect()) == [k for k in range(1000) if k % 8 != 5 or k >= 500]
+        scans = scanned_files(df)
+        assert sorted(scans)[0] == 1 and sorted(scans)[-1] == 7, "each file is scanned by one side only"
+        assert table.compact().rows == 1000 - 62 and table.count() == 1000 - 62
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def scanned_files(df):
+    """Files read by each scan of table rows, once ``df`` has run."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        if node.nodeName().startswith("Scan parquet") and "_file#" not in node.simpleString(100).split("ReadSchema")[1]:
+            if node.metrics().contains("numFiles") and "key" in node.simpleString(100):
+                out.append(node.metrics().apply("numFiles").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return out
