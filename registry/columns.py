@@ -521,8 +521,8 @@ def bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedupe_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     once = _messages(spark, sf_dir)
     clicks = once.filter(F.get_json_object("value", "$.level") == "click")
-    parsed = parse(once.unionByName(once).unionByName(clicks), _MESSAGE_COLUMNS)
-    return dedupe(parsed, ["_topic", "_partition", "_offset"]).select("id", "level", "_partition", "_offset")
+    messages = dedupe(once.unionByName(once).unionByName(clicks), ["_topic", "_partition", "_offset"])  # copies are not parsed
+    return parse(messages, _MESSAGE_COLUMNS).select("id", "level", "_partition", "_offset")
 
 
 def _price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

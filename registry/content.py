@@ -8,7 +8,7 @@ from registry.base import (
     NAMESPACE,
     given,
     new_warehouse,
-    orders_by_status,
+    registered,
     query,
     stack,
 )
@@ -114,7 +114,7 @@ def nan_vs_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT * FROM orders")
 def rewrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = orders_by_status(spark, sf_dir).table(NAMESPACE, "orders")
+    source = registered(spark, sf_dir, "orders")
     return _loaded(spark, source.read(), "rewritten", mode="replace").read()
 
 

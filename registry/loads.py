@@ -31,27 +31,16 @@ from tableload.sources.external import row_files
 from tableload.streaming.append import stream_append, transfer
 
 
-@query(
-    """
-    SELECT 'orders' AS "table", o_orderkey AS key, o_orderdate AS moment, o_totalprice AS amount FROM orders
-    UNION ALL SELECT 'nation', n_nationkey, NULL, NULL FROM nation
-    """
-)
+@query("""SELECT 'orders' AS "table", * FROM orders UNION ALL BY NAME SELECT 'nation' AS "table", * FROM nation""")
 def snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mixed feed of two tables, routed, converted, staged and published; then read back."""
+    """A mixed feed of two tables, routed, converted, staged and published; then read back, all columns of both."""
     warehouse = new_warehouse(spark, "snapshot")
     names = ("nation", "orders")
     feed = stack([table_to_changes(given(spark, sf_dir, n), NAMESPACE, n) for n in names])
     schemas = {(NAMESPACE, n): declared(spark, sf_dir, n) for n in names}
     warehouse.load_feed(feed, schemas, "first")
-    orders = warehouse.table(NAMESPACE, "orders").read().selectExpr(
-        "'orders' as table", "o_orderkey as key", "o_orderdate as moment", "o_totalprice as amount"
-    )
-    nation = warehouse.table(NAMESPACE, "nation").read().selectExpr(
-        "'nation' as table", "cast(n_nationkey as bigint) as key",
-        "cast(null as timestamp_ntz) as moment", "cast(null as double) as amount",
-    )
-    return stack([orders, nation])
+    nation, orders = (warehouse.table(NAMESPACE, n).read().withColumn("table", F.lit(n)) for n in names)
+    return orders.unionByName(nation, allowMissingColumns=True)
 
 
 @query("SELECT 'created' AS first, 'kept' AS second, count(*) AS rows FROM part")
@@ -104,18 +93,13 @@ def add_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise RuntimeError("files were added twice")
 
 
-@query(
-    """
-    SELECT 'snapshot' AS purpose, 'F' AS status, count(*) AS rows FROM orders WHERE o_orderstatus = 'F'
-    UNION ALL SELECT 'snapshot', 'O', count(*) FROM orders WHERE o_orderstatus = 'O'
-    UNION ALL SELECT 'snapshot', 'P', count(*) FROM orders WHERE o_orderstatus = 'P'
-    """
-)
+@query("SELECT 'snapshot' AS purpose, o_orderstatus AS status, count(*) AS rows FROM orders GROUP BY o_orderstatus")
 def load_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load per status, which its properties name."""
     orders = given(spark, sf_dir, "orders")
     table = new_warehouse(spark, "properties").table(NAMESPACE, "orders")
-    for status in ("F", "O", "P"):
-        table.load(orders.filter(F.col("o_orderstatus") == status), props={"purpose": "snapshot", "status": status})
+    for (status,) in orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect():
+        table.load(orders.filter(F.col("o_orderstatus").eqNullSafe(status)), props={"purpose": "snapshot", "status": status})
     return table.versions().filter("op = 'append'").select(
         F.try_element_at("props", F.lit("purpose")).alias("purpose"),
         F.try_element_at("props", F.lit("status")).alias("status"),

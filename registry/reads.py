@@ -25,6 +25,7 @@ from tableload.operators.conform import describe_schema
 from tableload.operators.feed import restore_values as restore
 from tableload.operators.feed import table_to_changes as changes_of
 from tableload.operators.messages import parse_messages
+from tableload.plans.table import VersionNotFound
 from tableload.session import scratch_dir
 from tableload.sources.external import document_collection, message_files
 from tableload.streaming.append import stream_table
@@ -300,7 +301,15 @@ def read_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def ledger_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders_by_status(spark, sf_dir).table(NAMESPACE, "orders").versions().select("seq", "op", "rows")
+    """All versions are listed; one that is not among them is refused."""
+    table = orders_by_status(spark, sf_dir).table(NAMESPACE, "orders")
+    for missing in (0, 4, "no such tag"):
+        try:
+            table.read(as_of=missing)
+        except VersionNotFound:
+            continue
+        raise RuntimeError(f"version {missing!r} was read")
+    return table.versions().select("seq", "op", "rows")
 
 
 @query(
@@ -382,19 +391,22 @@ def document_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_messages(stored, fields, value="document").withColumnRenamed("_topic", "_id")
 
 
-@query("SELECT event_id::INTEGER AS event_id, user_id, event_type, value FROM events")
+@query("SELECT event_id::INTEGER AS event_id, ts, user_id, event_type, value, props FROM events")
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "messages")
     events = given(spark, sf_dir, "events")
     # ids are text in the messages
-    body = F.struct(F.col("event_id").cast("string").alias("event_id"), "user_id", "event_type", "value")
+    texts = [F.col(c).cast("string").alias(c) for c in ("event_id", "ts")]
+    body = F.struct(*texts, "user_id", "event_type", "value", "props")
     messages = events.select(F.col("user_id").cast("string").alias("key"), F.to_json(body).alias("value"))
     quarter = land(messages, path)
     cols = [
         ColSchema("event_id", "int32", primary_key=True),
+        ColSchema("ts", "timestamp"),
         ColSchema("user_id", "int64"),
         ColSchema("event_type", "string"),
         ColSchema("value", "float64"),
+        ColSchema("props", "string"),
     ]
     warehouse = new_warehouse(spark, "topic")
     table = warehouse.table("streaming", "events")
@@ -402,6 +414,6 @@ def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream_table(
         parse_messages(messages, cols), table, "topic", scratch_dir(spark, "checkpoint"), drain=True
     ).awaitTermination()
-    return table.read(["event_id", "user_id", "event_type", "value"])
+    return table.read([c.name for c in cols]).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 

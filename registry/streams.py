@@ -11,6 +11,7 @@ from registry.base import (
     NAMESPACE,
     event_feed,
     given,
+    land,
     landed_events,
     new_warehouse,
     query,
@@ -18,10 +19,11 @@ from registry.base import (
 )
 from tableload.functions.types import ColSchema
 from tableload.operators.feed import control_events
+from tableload.plans.table import Table
 from tableload.plans.warehouse import Warehouse, manifest
 from tableload.session import remove_folder, scratch_dir
 from tableload.sources.external import row_files
-from tableload.streaming.append import commit_interval, drain_and_stop, stream_append, stream_table
+from tableload.streaming.append import commit_interval, drain_and_stop, stream_append, stream_messages, stream_table
 
 
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,3 +183,62 @@ def stream_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
             for key in EVENT_SCHEMAS
         ]
     )
+
+
+@query(
+    """
+    SELECT event_type AS "table", count(*) AS rows, sum(8 + 8 + 8 + strlen(event_type) + 8 + strlen(props))::BIGINT AS bytes, true AS timed
+    FROM events GROUP BY event_type
+    """
+)
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and bytes of every batch, as noted while it was written, add up to the tables."""
+    warehouse = _fan_out(spark, sf_dir, "metrics")
+    return stack(
+        [
+            warehouse.table(*key).metrics().agg(
+                F.lit(key[1]).alias("table"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"),
+                F.bool_and(F.col("millis") > 0).alias("timed"),
+            )
+            for key in EVENT_SCHEMAS
+        ]
+    )
+
+
+@query(
+    """
+    SELECT event_id AS _offset, CASE event_type WHEN 'error' THEN 'no JSON object' WHEN 'view' THEN 'value: no float64' WHEN 'signup' THEN 'id: missing' END AS reason,
+           CASE WHEN event_type NOT IN ('error', 'view', 'signup') THEN value END AS value
+    FROM events
+    """
+)
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good messages and bad ones part ways in each batch; the stream dies between the two loads of a batch, and goes on."""
+    path = scratch_dir(spark, "mixed-messages")
+    message = """
+        case event_type when 'error' then concat('{"id": "', event_id, '", "level"')
+        when 'view' then concat('{"id": "', event_id, '", "value": "v', value, '"}')
+        when 'signup' then concat('{"id": null, "value": ', value, '}')
+        else concat('{"id": "', event_id, '", "value": ', value, '}') end as value
+    """
+    quarter = land(given(spark, sf_dir, "events").selectExpr("event_id as _offset", message), path)
+    cols = [ColSchema("id", "int64", required=True), ColSchema("value", "float64")]
+    warehouse, checkpoint = new_warehouse(spark, "quarantine"), scratch_dir(spark, "checkpoint")
+    good, bad = warehouse.table("topic", "events"), warehouse.table("topic", "events_rejected")
+    schema = spark.read.parquet(path).schema
+
+    def run(rejects: Table) -> None:
+        messages = row_files(spark, path, schema, files_per_batch=quarter)
+        stream_messages(messages, good, rejects, cols, "mixed", checkpoint, drain=True).awaitTermination()
+
+    class Dying(Table):
+        def load(self, *args: object, **options: object):
+            raise RuntimeError("the stream dies before the rejected messages are loaded")
+
+    try:
+        run(Dying(spark, warehouse.root, "topic", "events_rejected"))
+        raise ValueError("the first run should have stopped")
+    except StreamingQueryException:
+        run(bad)
+    loaded = good.read().select(F.col("id").alias("_offset"), F.lit(None).cast("string").alias("reason"), "value")
+    return loaded.unionByName(bad.read().select("_offset", "reason", F.lit(None).cast("double").alias("value")))

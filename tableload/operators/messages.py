@@ -13,6 +13,7 @@ from tableload.operators.conform import quoted
 # Columns that tell one message from another.
 DEDUPE_KEYS = ("_topic", "_partition", "_offset", "_timestamp")
 REST_COLUMN = "_rest"
+REJECTED = "_rejected"
 
 
 def parse_messages(
@@ -59,6 +60,29 @@ def bad_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     return messages.filter(~_begins_object(text) | F.try_parse_json(text).isNull())
 
 
+def quarantined(messages: DataFrame, cols: Sequence[ColSchema], value: str = "value") -> DataFrame:
+    """Every message once: the declared columns, its position, and ``_reason`` (null: none) why it cannot be loaded.
+
+    Reasons are that the text is no JSON object, that declared columns hold values without a form in their type, or that
+    required ones are missing; columns are named in declared order. The text of such a message is in ``_rejected``.
+    """
+    text = quoted(value).cast("string")
+    keys = [quoted(k) for k in DEDUPE_KEYS if k in messages.columns]
+    held = messages.select(F.when(_begins_object(text), F.try_parse_json(text)).alias("_object"), text.alias("_text"), *keys)
+    fields = [F.try_variant_get("_object", f"$['{c.name}']", "variant").alias(f"_field_{i}") for i, c in enumerate(cols)]
+    held = held.select(*fields, F.col("_object").isNotNull().alias("_is_object"), "_text", *keys)
+    values = [F.expr(with_policy(f"_field_{i}", T.VariantType(), c, "null")).alias(c.name) for i, c in enumerate(cols)]
+    out = held.select(*values, *[f"_field_{i}" for i in range(len(cols))], "_is_object", "_text", *keys)
+    faults = []
+    for i, col in enumerate(cols):
+        given = F.col(f"_field_{i}").isNotNull() & ~F.coalesce(F.is_variant_null(f"_field_{i}"), F.lit(False))
+        lost = quoted(col.name).isNull()
+        faults.append(F.when(given & lost, f"{col.name}: no {col.data_type}").when(lost & F.lit(col.required), f"{col.name}: missing"))
+    reason = F.when(~F.col("_is_object"), "no JSON object").otherwise(F.nullif(F.concat_ws(", ", *faults), F.lit("")))
+    out = out.withColumn("_reason", reason).withColumn(REJECTED, F.when(F.col("_reason").isNotNull(), F.col("_text")))
+    return out.drop(*[f"_field_{i}" for i in range(len(cols))], "_is_object", "_text")
+
+
 def dedupe_messages(df: DataFrame, keys: Sequence[str], watermark: tuple[str, str] | None = None) -> DataFrame:
     """One row per message position. Copies are dropped before the shuffle, so a hot key stays small.
 

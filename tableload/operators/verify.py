@@ -62,10 +62,11 @@ def load_stats(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def observed(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
-    """The frame with rows and value bytes observed while it is written; a retried task may count twice."""
+def observed(df: DataFrame, name: str = "load", columns: Sequence[str] | None = None) -> tuple[DataFrame, Observation]:
+    """The frame with rows and value bytes (of ``columns``, if given) observed while it is written; a retried task may count twice."""
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(value_bytes(df)).alias("bytes")), seen
+    sized = df if columns is None else df.select(*[quoted(c) for c in columns])
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(value_bytes(sized)).alias("bytes")), seen
 
 
 def _comparable(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
@@ -17,6 +18,7 @@ from tableload.functions.layout import Transform
 from tableload.functions.types import ColSchema, from_struct_type, identifier_columns, stored_name, to_struct_type
 from tableload.operators.conform import conform, quoted, require_values
 from tableload.operators.feed import table_to_changes
+from tableload.operators.verify import observed
 from tableload.plans.ledger import (
     LOADS,
     ROLLED_UP,
@@ -42,6 +44,9 @@ REGISTERED = "registered_paths"
 REGISTERED_BEFORE = "registered_before"
 REGISTERED_FILES = "registered_files"
 
+# Properties of a measured load.
+MEASURED = ("measured_bytes", "measured_millis")
+
 # Files with deleted rows that the driver tells the scan by name; of more, the rows are told apart by a join.
 TOUCHED_FILES = 10_000
 FILE_COLUMN = "_file"
@@ -210,9 +215,13 @@ class Table:
         partition_by: Sequence[str] | None = None,
         max_records_per_file: int | None = None,
         rebalance: bool = False,
+        measure: bool = False,
     ) -> Entry:
         """Stage the rows as a new load, then publish it. A load id that is already published is skipped.
 
+        ``measure`` notes value bytes and time of the load in its properties, for ``metrics``; the bytes are observed while
+        the rows are written (a task that is retried may count twice).
+
         ``rebalance`` shuffles the rows into evenly sized files, for sources of many small or uneven partitions.
 
         ``mode="replace"`` hides everything before it; readers see the old rows until the load is published.
@@ -240,9 +249,20 @@ class Table:
                 [T.StructField(f.name, rows.schema[f.name].dataType, True, f.metadata) for f in to_struct_type(cols).fields]
             )
         path = self._load_path(entries, load_id)
+        began = time.monotonic()
+        rows, seen = observed(rows, f"load-{uuid.uuid4().hex}", schema.names) if measure else (rows, None)
         written = self._write(rows, schema, specs, path, max_records_per_file, rebalance)
+        if seen is not None:
+            took = round(1000 * (time.monotonic() - began))
+            props = {**(props or {}), MEASURED[0]: str(seen.get.get("bytes") or 0), MEASURED[1]: str(took)}
         return self._publish(entries, mode, load_id, written, path, props, schema, specs)
 
+    def metrics(self) -> DataFrame:
+        """Rows, value bytes and milliseconds of each load that was measured, such as every batch of a stream, in order of time."""
+        loads = ledger_frame(self.spark, self.root, self.namespace, self.name).filter(F.col("op").isin("append", "replace"))
+        noted = [F.try_element_at("props", F.lit(name)).cast("bigint") for name in MEASURED]
+        return loads.select("seq", "load_id", "rows", noted[0].alias("bytes"), noted[1].alias("millis"), "published_at").filter("bytes is not null")
+
     def _load_path(self, entries: list[Entry], load_id: str) -> str:
         return f"{table_folder(self.root, 'data', self.namespace, self.name)}/{segment(LOAD_COLUMN, unused_id(entries, load_id))}"
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tableload.functions.types import ColSchema
+from tableload.operators.messages import DEDUPE_KEYS, REJECTED, quarantined
 from tableload.operators.transform import Transform
 from tableload.plans.table import Table
 from tableload.plans.warehouse import Schemas, Warehouse
@@ -84,16 +86,55 @@ def stream_table(
     drain: bool = False,
     **load_options: object,
 ) -> StreamingQuery:
-    """Append a stream of typed rows to one table; ``load_options`` go to ``Table.load``."""
+    """Append a stream of typed rows to one table; ``load_options`` go to ``Table.load``. Every batch is measured."""
     if not rows.isStreaming:
         raise ValueError("stream_table needs a streaming frame; use Table.load for a batch")
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        table.load(batch, load_id=batch_load_id(stream, query_id(batch.sparkSession, checkpoint), batch_id), **load_options)
+        load_id = batch_load_id(stream, query_id(batch.sparkSession, checkpoint), batch_id)
+        table.load(batch, load_id=load_id, **{"measure": True, **load_options})
 
     return _start(rows.writeStream.foreachBatch(append), stream, checkpoint, interval, drain)
 
 
+def load_messages(
+    messages: DataFrame, table: Table, rejects: Table, cols: Sequence[ColSchema], load_id: str, value: str = "value"
+) -> tuple[int, int]:
+    """Messages that hold all declared columns go into ``table``, the others into ``rejects``: whole, with the reason.
+
+    Both are loaded under one id. A retry loads only what is missing, so that each message is once in exactly one of the
+    two, whatever the first attempt had done. Rows loaded and rejected.
+    """
+    sorted_out = quarantined(messages, cols, value).persist()
+    try:
+        good = table.load(sorted_out.filter("_reason is null").drop("_reason", REJECTED), cols, load_id, measure=True)
+        bad = sorted_out.filter("_reason is not null")
+        keys = [c for c in DEDUPE_KEYS if c in bad.columns]
+        bad = bad.select(*keys, F.col(REJECTED).alias("message"), F.col("_reason").alias("reason"))
+        return good.rows, rejects.load(bad, load_id=load_id, measure=True).rows
+    finally:
+        sorted_out.unpersist()
+
+
+def stream_messages(
+    messages: DataFrame,
+    table: Table,
+    rejects: Table,
+    cols: Sequence[ColSchema],
+    stream: str,
+    checkpoint: str,
+    interval: str | float | None = None,
+    drain: bool = False,
+    value: str = "value",
+) -> StreamingQuery:
+    """``load_messages`` batch by batch."""
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        load_messages(batch, table, rejects, cols, batch_load_id(stream, query_id(batch.sparkSession, checkpoint), batch_id), value)
+
+    return _start(messages.writeStream.foreachBatch(append), stream, checkpoint, interval, drain)
+
+
 def drain_and_stop(query: StreamingQuery) -> None:
     """Process what has arrived, publish it, then stop."""
     try:
