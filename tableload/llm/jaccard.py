@@ -358,15 +358,19 @@ def drop_near_duplicates(
     Rows are documents of their own: of repeated rows and of rows without an id, too, one stays. Texts without words are
     linked with nothing and stay. An empty table gives no rows.
     """
+    gone = free_name(docs.columns, "gone_key")
+    ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("id")).groupBy("id").count()
+    if ids.filter("id is null or count > 1").isEmpty():  # an id tells a row from all others
+        near = near_duplicates(docs, id_col, text_col, size, similarity)
+        dropped = stored(near.filter("doc_id <> component_id").select(F.col("doc_id").alias(gone)), "dropped")
+        return docs.join(dropped, F.col(f"`{id_col}`").cast("long") == F.col(gone), "left_anti")
     key = free_name(docs.columns, "row_key")
     rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
     found = near_duplicates(rows, key, text_col, size, similarity).select(F.col("doc_id").alias("key"), "component_id")
     found = stored(found, "near-rows")
     several = found.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    grouped = found.join(several, "component_id")
-    ids = rows.select(F.col(key).alias("key"), F.col(f"`{id_col}`").alias("id"))
-    order = F.struct(F.col("id").isNull(), "id", "key")
-    first = grouped.join(ids, "key").groupBy("component_id").agg(F.min_by("key", order).alias("first"))
-    gone = free_name(rows.columns, "gone_key")
+    named = rows.select(F.col(key).alias("key"), F.col(f"`{id_col}`").alias("id"))
+    grouped = found.join(several, "component_id").join(named, "key")
+    first = grouped.groupBy("component_id").agg(F.min_by("key", F.struct(F.col("id").isNull(), "id", "key")).alias("first"))
     dropped = stored(grouped.join(first, "component_id").filter("key <> first").select(F.col("key").alias(gone)), "dropped")
     return rows.join(dropped, F.col(key) == F.col(gone), "left_anti").drop(key)

@@ -87,26 +87,15 @@ def _counts(column: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in range(len(COUNTS))], list(COUNTS))
 
 
-def text_measures(
-    docs: DataFrame, id_col: str, lang_col: str, source_col: str, text_col: str, carry: bool = False
-) -> DataFrame:
-    """doc_id, lang, source, the counts of the whole text, base_failed and the measures. Stored.
-
-    With ``carry`` also ``doc``, the whole row of ``docs`` as a struct.
-    """
-    measure = F.arrow_udf(_measure, ", ".join(f"{c} long" for c in COUNTS))
-    counted = docs.select(
-        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []),
-        F.col(id_col).alias("doc_id"),
-        F.col(lang_col).cast("string").alias("lang"),
-        F.col(source_col).cast("string").alias("source"),
-        measure(F.col(text_col)).alias("counts"),
-    ).select("*", "counts.*").drop("counts")
+def _with_measures(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with the counts of ``text``, base_failed and the measures."""
+    counts = F.arrow_udf(_measure, ", ".join(f"{c} long" for c in COUNTS))(text)
+    counted = docs.withColumn("counts", counts).select("*", "counts.*").drop("counts")
 
     def per_mille(part: str, whole: str) -> Column:
         return F.expr(f"1000 * {part} div greatest({whole}, 1)")
 
-    counted = counted.withColumns(
+    return counted.withColumns(
         {
             "base_failed": F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"),
             "symbols_pm": per_mille("n_symbols", "word_chars"),
@@ -115,7 +104,14 @@ def text_measures(
             "word_length_pm": per_mille("word_chars", "n_words"),
         }
     )
-    return stored(counted, "measures")
+
+
+def text_measures(docs: DataFrame, id_col: str, lang_col: str, source_col: str, text_col: str) -> DataFrame:
+    """doc_id, lang, source, the counts of the whole text, base_failed and the measures. Stored."""
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text")
+    )
+    return stored(_with_measures(rows, F.col("text")).drop("text"), "measures")
 
 
 def sketches(measured: DataFrame) -> DataFrame:
@@ -165,6 +161,20 @@ def thresholds(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     return stored(out.select("g.lang", "g.source", "level", fences.alias("fences")), "thresholds")
 
 
+def _judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
+    """Rows with measures joined with the thresholds of their language and source: all columns, level and kept."""
+    fine = F.lit(True)
+    for measure, (low_fails, _, unit) in MEASURES.items():
+        fence = F.element_at("t.fences", F.lit(measure))
+        shift = f"greatest(length(bin({measure})) - 6, 0)"
+        value = F.expr(f"shiftleft(shiftright({measure}, {shift}), {shift})")
+        fine = fine & (value - F.expr(unit) <= fence["hi"])
+        if low_fails:
+            fine = fine & (value + F.expr(unit) >= fence["lo"])
+    joined = measured.alias("m").join(limits.alias("t"), F.expr("m.lang <=> t.lang and m.source <=> t.source"), "left")
+    return joined.select("m.*", "level", (~F.col("base_failed") & F.coalesce(fine, F.lit(True))).alias("kept"))
+
+
 def judged(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -172,38 +182,31 @@ def judged(
     lang_col: str = "lang",
     source_col: str = "source",
     min_group: int = MIN_GROUP,
-    carry: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, lang, source, the counts, base_failed, level and kept (and ``doc``).
+    """One row per row of ``docs``: doc_id, lang, source, the counts, base_failed, level and kept.
 
     Words are runs of anything but ASCII white space. A null, empty or blank text has no words and fails. Null
     languages and sources are groups of their own. Rows count as often as they occur. Extra columns are ignored,
     and an empty table gives no rows. A value is rounded to its bucket as the sketch's are, and may exceed a threshold by one
     unit of its text.
     """
-    measured = text_measures(docs, id_col, lang_col, source_col, text_col, carry)
-    limits = thresholds(measured, min_group)
-    fine = F.lit(True)
-    for measure, (low_fails, _, unit) in MEASURES.items():
-        fence = F.element_at("t.fences", F.lit(measure))
-        shift = f"greatest(length(bin({measure})) - 6, 0)"
-        value = F.expr(f"shiftleft(shiftright({measure}, {shift}), {shift})")
-        fine = fine & (value - F.expr(unit) <= fence["hi"])
-        if low_fails:
-            fine = fine & (value + F.expr(unit) >= fence["lo"])
-    joined = measured.alias("m").join(limits.alias("t"), F.expr("m.lang <=> t.lang and m.source <=> t.source"), "left")
-    return joined.select(
-        "m.doc_id",
-        "m.lang",
-        "m.source",
-        *COUNTS,
-        "base_failed",
-        "level",
-        *(["doc"] if carry else []),
-        (~F.col("base_failed") & F.coalesce(fine, F.lit(True))).alias("kept"),
-    )
+    measured = text_measures(docs, id_col, lang_col, source_col, text_col)
+    return _judged(measured, thresholds(measured, min_group)).select("doc_id", "lang", "source", *COUNTS, "base_failed", "level", "kept")
+
 
+def keep_quality(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = MIN_GROUP
+) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` keeps, with all their columns; rows count as often as they occur.
 
-def keep_quality(docs: DataFrame, **columns: str) -> DataFrame:
-    """The rows of ``docs`` that pass the thresholds of their group's own spread, with all their columns."""
-    return judged(docs, carry=True, **columns).filter("kept").select("doc.*")
+    Texts are measured once for the thresholds and once for the verdict, so that no copy of the documents is stored.
+    """
+    measured = text_measures(docs, lang_col, lang_col, source_col, text_col)
+    limits = thresholds(measured, min_group)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(f"`{lang_col}`").cast("string").alias("lang"),
+        F.col(f"`{source_col}`").cast("string").alias("source"),
+    )
+    again = _with_measures(rows, F.col("doc").getField(text_col))
+    return _judged(again, limits).filter("kept").select("doc.*")

@@ -78,3 +78,14 @@ def test_sources_have_spreads_of_their_own(spark):
 
 def test_no_rows(spark):
     assert quality.judged(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_odd_rows_of_the_filter(spark):
+    """Null texts and base failures go, repeated rows stay or go together, clashing columns are kept."""
+    good = " ".join(f"word{i}" for i in range(60))
+    data = [(1, good, "en", "s0", "n", "d"), (1, good, "en", "s0", "n", "d"), (2, None, "en", "s0", "n", "d"), (3, "", None, None, "n", "d"), (None, good + " x", None, None, None, None)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    out = quality.keep_quality(docs)
+    assert out.columns == docs.columns
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted([data[0], data[1], data[4]], key=str)
+    assert quality.keep_quality(spark.createDataFrame([], SCHEMA)).count() == 0
