@@ -1,15 +1,16 @@
 """Toxicity by two class-conditional Kneser-Ney models of characters in words.
 
 Both classes have n-gram counts of their own at the highest order and share the lower ones: the continuation counts
-of the pooled training words, to which unseen expressions back off in either class alike [Kneser and Ney, 1995].
+of all documents' words, to which unseen expressions back off in either class alike [Kneser and Ney, 1995].
 A word's log-likelihood ratio is what the toxic model gives it above the ordinary one. A text has three ratios, each
 normalised by length: of its running words as a whole, repeats included; of the most toxic window of ``SENTENCE`` running
 words, less what the best of so many windows has by chance; and of the most toxic passage of ``PASSAGE`` distinct words in
 order of first use, so that one expression in a long text is not diluted. A logistic curve of the three, fitted on
 labelled texts that were not counted, turns them into a score.
 
-Training takes a bounded sample (``SAMPLE`` labelled rows of each class, by hash of the id); the n-grams of the whole
-texts of these rows are counted by Spark, without a cutoff. Every document is scored whole.
+Training takes a bounded sample (``SAMPLE`` labelled rows of each class, by hash of the id) for the class counts; the n-grams
+of the whole texts of these rows are counted by Spark, without a cutoff. The shared continuation counts need no labels:
+they come from the distinct words of all documents, and grow with them. Every document is scored whole.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -103,26 +104,35 @@ def evidence(model: Model, text: str | None, ratios: WordRatios) -> float:
     return float(np.dot(model.weights, (passage, whole, best - model.chance * math.sqrt(2 * math.log(windows)))))
 
 
-def kneser_ney(counts: list[tuple[str, int, int]], discount: float = DISCOUNT) -> Model:
-    """The model of n-gram counts (gram, in toxic texts, in ordinary ones); a gram is its context and one character.
+# Of each order, from the highest: continuation counts of grams, and their sum and number by context.
+Levels = list[tuple[dict[str, int], dict[str, int], dict[str, int]]]
 
-    Grams are of full order, or begin with the word's start.
-    """
-    levels = []
-    grams = {g for g, _, _ in counts}
-    while True:  # continuation counts of the pooled grams, each order shorter by its first character
+
+def pooled_levels(grams: Iterable[str]) -> Levels:
+    """Continuation counts of distinct grams, each order shorter by its first character."""
+    levels, grams = [], set(grams)
+    while True:
         kinds: dict[str, int] = defaultdict(int)
         for g in grams:
             if len(g) > 1:
                 kinds[g[1:]] += 1
         if not kinds:
-            break
+            return levels
         totals, types = defaultdict(int), defaultdict(int)
         for g, n in kinds.items():
             totals[g[:-1]] += n
             types[g[:-1]] += 1
         levels.append((kinds, totals, types))
         grams = set(kinds)
+
+
+def kneser_ney(counts: list[tuple[str, int, int]], discount: float = DISCOUNT, levels: Levels | None = None) -> Model:
+    """The model of n-gram counts (gram, in toxic texts, in ordinary ones); a gram is its context and one character.
+
+    Grams are of full order, or begin with the word's start. ``levels`` are the shared continuation counts, by default
+    those of the counted grams.
+    """
+    levels = pooled_levels(g for g, _, _ in counts) if levels is None else levels
     letters = max(2, len({g[-1] for g, _, _ in counts}))
 
     def shared(gram: str, level: int = 0) -> float:
@@ -215,6 +225,36 @@ def _ratios(texts: DataFrame, model: Model, text_col: str, name: str) -> DataFra
     return texts.withColumn(name, F.arrow_udf(run, "double")(F.col(text_col)))
 
 
+def _grams(words: DataFrame, *kept: str) -> DataFrame:
+    """(gram, ...) of every place in every ``word``: of full order, or from the word's start."""
+    at = words.select(F.concat(F.lit("^"), "word", F.lit("$")).alias("w"), *kept)
+    at = at.select("w", *kept, F.explode(F.sequence(F.lit(2), F.length("w"))).alias("end"))
+    start = F.greatest(F.lit(1), F.col("end") - ORDER + 1)
+    return at.select(F.substring("w", start, F.col("end") - start + 1).alias("gram"), *kept)
+
+
+def corpus_levels(docs: DataFrame, text_col: str, asked: list[str]) -> Levels:
+    """Continuation counts of the distinct words of all texts, for the endings of the ``asked`` grams.
+
+    Every text counts, whatever its label; what comes to the driver is bounded by the asked grams.
+    """
+    plain = F.regexp_replace(F.lower(F.col(text_col)), r"[^\p{L}]+", " ")
+    words = docs.select(F.explode(F.array_distinct(F.split(plain, " "))).alias("word")).filter("word <> ''").distinct()
+    kinds, levels = _grams(words).distinct(), []
+    while True:
+        asked = sorted({g[1:] for g in asked if len(g) > 1})
+        if not asked:
+            return levels
+        endings = kinds.filter("length(gram) > 1").select(F.expr("substring(gram, 2)").alias("gram"))
+        kinds = stored(endings.groupBy("gram").agg(F.count("*").alias("n")), "continuations")
+        wanted = docs.sparkSession.createDataFrame([(g, g[:-1]) for g in asked], "gram string, context string")
+        found = kinds.join(wanted.select("gram"), "gram").collect()
+        by_context = kinds.groupBy(F.expr("substring(gram, 1, length(gram) - 1)").alias("context")).agg(F.sum("n").alias("n"), F.count("*").alias("types"))
+        around = by_context.join(wanted.select("context").distinct(), "context").collect()
+        levels.append((defaultdict(int, {r.gram: r.n for r in found}), defaultdict(int, {r.context: r.n for r in around}), defaultdict(int, {r.context: r.types for r in around})))
+        kinds = kinds.select("gram")
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -246,11 +286,9 @@ def train(
     plain = F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " ")
     words = chosen.filter("counted").select("toxic", F.explode(F.array_distinct(F.split(plain, " "))).alias("word")).filter("word <> ''")
     words = words.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
-    marked = words.select(F.concat(F.lit("^"), "word", F.lit("$")).alias("w"), "t", "o")
-    at = marked.select("w", "t", "o", F.explode(F.sequence(F.lit(2), F.length("w"))).alias("end"))
-    start = F.greatest(F.lit(1), F.col("end") - ORDER + 1)
-    grams = at.groupBy(F.substring("w", start, F.col("end") - start + 1).alias("gram")).agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
-    model = kneser_ney(list(grams.toPandas().sort_values("gram").itertuples(index=False, name=None)))
+    grams = _grams(words, "t", "o").groupBy("gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    counts = list(grams.toPandas().sort_values("gram").itertuples(index=False, name=None))  # of the bounded sample
+    model = kneser_ney(counts, levels=corpus_levels(docs, text_col, [g for g, _, _ in counts]))
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -108,3 +108,21 @@ def test_a_part_above_the_sample_is_learnt_from(spark):
     docs = spark.createDataFrame([(i, "zquip an er" if k % 2 else "th ou ly") for k, i in enumerate(ids)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
     assert toxicity.train(docs, labels, sample=(1, 1)).grams
+
+
+def test_shared_counts_come_from_all_texts(spark):
+    data, _ = corpus(60)
+    data += [(900, None, 0.0, None), (901, "Ünï-zz9zz THE the", 0.0, None)]
+    words = {w for _, t, *_ in data for w in toxicity._WORD.findall((t or "").lower())}
+    grams = {m[max(0, e - toxicity.ORDER + 1) : e + 1] for m in (f"^{w}$" for w in words) for e in range(1, len(m))}
+    pick = random.Random(1)
+    asked = sorted({*pick.sample(sorted(grams), 150), "^qx", "xyzzy"})
+    expected, got = toxicity.pooled_levels(grams), toxicity.corpus_levels(spark.createDataFrame(data, SCHEMA), "text", asked)
+    assert len(got) == toxicity.ORDER - 1
+    for (kinds, totals, types), (own_kinds, own_totals, own_types) in zip(expected, got):
+        asked = {g[1:] for g in asked if len(g) > 1}
+        for g in asked:
+            assert own_kinds[g] == kinds.get(g, 0) and own_totals[g[:-1]] == totals.get(g[:-1], 0) and own_types[g[:-1]] == types.get(g[:-1], 0)
+    counts = [(g, i % 3, i % 2) for i, g in enumerate(sorted(grams)) if i % 6]
+    sampled = [g for g, _, _ in counts]
+    assert toxicity.kneser_ney(counts, levels=toxicity.corpus_levels(spark.createDataFrame(data, SCHEMA), "text", sampled)) == toxicity.kneser_ney(counts, levels=expected)
