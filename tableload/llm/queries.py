@@ -209,7 +209,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             ORDER BY turn, sha256(length(role) || ':' || role || text)) AS turns
         FROM t GROUP BY 1
     ), k AS (SELECT conv_id, turns, len(turns) AS n, list_transform(turns, lambda x: x.turn || x.content) AS keys FROM c),
-    proper AS (SELECT DISTINCT keys[1:i] AS keys FROM k, range(1, 1000) r(i) WHERE i < n),
+    proper AS (SELECT DISTINCT keys[1:i] AS keys FROM (SELECT keys, unnest(range(1, n)) AS i FROM k)),
     whole AS (SELECT keys, min(conv_id) AS conv_id, count(*) AS n_copies FROM k GROUP BY 1)
     SELECT w.conv_id, CAST(x.turn // 512 AS BIGINT) AS part, CAST(k.n AS BIGINT) AS n_turns, w.n_copies,
            string_agg('<|im_start|>' || x.role || chr(10) || x.text || '<|im_end|>' || chr(10), '' ORDER BY x.turn, x.content) AS chat

@@ -81,3 +81,28 @@ def test_a_language_with_one_text_is_learnt(spark):
     more = spark.createDataFrame([(100, rows[-1][1]), (101, " ".join(words["bb"][:50])), (102, " ".join(words["aa"][:50]))], "doc_id long, text string")
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identified(more, filters).collect()}
     assert {k: v[0] for k, v in got.items()} == {100: "bb", 101: "bb", 102: "aa"} and got[100][1] > 0.9
+
+
+def test_predictions_are_those_of_exact_sets(spark):
+    """The same rule on sets of n-grams, without false positives; only near ties may fall differently."""
+    data = corpus()
+    docs = spark.createDataFrame(data, SCHEMA)
+    filters = langid.train(docs, learn=F.col("doc_id") % 4 != 2)
+    sets = {}
+    for lang in sorted({r[2] for r in data}):
+        seen = {}
+        texts = [r[1] for r in data if r[2] == lang and r[0] % 4 != 2]
+        for text in texts:
+            for gram in set(langid.gram_hashes([text])[0].tolist()):
+                seen[gram] = seen.get(gram, 0) + 1
+        sets[lang] = {g for g, n in seen.items() if n >= langid.MIN_TEXTS or len(texts) < langid.FEW_TEXTS}
+    got = {r.doc_id: r.lang_pred for r in langid.identified(docs, filters).collect()}
+    differ = 0
+    for doc, text, *_ in data:
+        grams = langid.gram_hashes([text])[0].tolist()
+        counts = sorted(((sum(g in own for g in grams), lang) for lang, own in sets.items()), key=lambda c: (-c[0], c[1]))
+        if counts[0][0] > counts[1][0] + max(1, len(grams) // 50):
+            assert got[doc] == counts[0][1], doc
+        else:
+            differ += 1
+    assert differ < len(data) / 20

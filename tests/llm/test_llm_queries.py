@@ -1,5 +1,7 @@
 """Every query over the smallest tables: against its SQL, or against what its operator's tests hold for all rows."""
 
+import functools
+
 import duckdb
 import pytest
 
@@ -44,19 +46,57 @@ def test_queries_give_one_row_per_document(spark):
         assert QUERIES[name](spark, SF).count() == documents
 
 
-def test_stages_of_the_pipeline(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    before = docs
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        after = stage(spark, before, SF)
-        assert after.columns == docs.columns
-        path = corpus_pipeline.stored(after, name)
-        assert path.join(before, docs.columns, "left_anti").count() == 0 and 0 < path.count() <= before.count()
-        if name == "exact_dedup":
-            assert exact_duplicates(path).filter("group_size > 1").isEmpty()
-        if name == "near_dedup":
-            assert near_duplicates(path).filter("component_id <> doc_id").isEmpty()
-        before = path
-    packed = corpus_pipeline.STAGES[-1][1](spark, before, SF).toPandas()
-    assert set(packed.doc_id) == {r.doc_id for r in before.select("doc_id").collect()}
-    assert rows(corpus_pipeline.run(spark, SF).toPandas()[["doc_id", "start", "length", "ids_crc32"]]) == rows(packed[["doc_id", "start", "length", "ids_crc32"]])
+NAMES = [name for name, _ in corpus_pipeline.STAGES]
+
+
+@pytest.fixture(scope="module")
+def after(spark):
+    """What a stage returns for what its predecessors kept, made once, when a test first asks for it."""
+
+    @functools.cache
+    def run(number):
+        if number < 0:
+            return spark.read.parquet(f"{SF}/documents.parquet")
+        name, stage = corpus_pipeline.STAGES[number]
+        return corpus_pipeline.stored(stage(spark, run(number - 1), SF), name)
+
+    return run
+
+
+@pytest.mark.parametrize("number", range(len(NAMES) - 1), ids=NAMES[:-1])
+def test_stage_of_the_pipeline(after, number):
+    before, kept = after(number - 1), after(number)
+    assert kept.columns == before.columns
+    assert kept.join(before, before.columns, "left_anti").count() == 0 and 0 < kept.count() <= before.count()
+    if NAMES[number] == "exact_dedup":
+        assert exact_duplicates(kept).filter("group_size > 1").isEmpty()
+    if NAMES[number] == "near_dedup":
+        assert near_duplicates(kept).filter("component_id <> doc_id").isEmpty()
+
+
+def test_packing_of_the_pipeline(spark, after):
+    kept, packed = after(len(NAMES) - 2), after(len(NAMES) - 1).toPandas()
+    assert set(packed.doc_id) == {r.doc_id for r in kept.select("doc_id").collect()}
+    columns = ["doc_id", "start", "length", "ids_crc32"]
+    assert rows(corpus_pipeline.run(spark, SF).toPandas()[columns]) == rows(packed[columns])
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null texts and ids, repeated rows and clashing columns: clean documents stay, one of each group."""
+    good = {i: " ".join(f"word{i}x{j}" for j in range(60)) + "." for i in range(40)}
+    data = [(i, t, "en", "s0", len(t), "a", "b", 1) for i, t in good.items()]
+    data += [data[0], (None, good[1], "en", "s0", 1, None, None, None), (None, good[39] + " more", None, None, None, None, None, None)]
+    data += [(100, None, "en", "s0", None, None, None, None), (101, "", None, None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, component_id string, row long"
+    folder = str(tmp_path / "odd")
+    spark.createDataFrame(data, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    packed = corpus_pipeline.run(spark, folder).toPandas()
+    assert sorted(packed.doc_id.dropna()) == list(range(40)) and packed.doc_id.isna().sum() == 0
+
+
+def test_pipeline_of_no_rows(spark, tmp_path):
+    folder = str(tmp_path / "none")
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
