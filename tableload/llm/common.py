@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -51,6 +53,13 @@ def array_slices(column: pa.Array, most_bytes: int = 8 << 20) -> Iterator[pa.Arr
         yield column.slice(start, step)
 
 
+def release_memory() -> None:
+    """Give what a worker has freed back to the system: workers live on, and later stages need the room."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no GNU C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def _stars(links: DataFrame) -> DataFrame:
     """One large-star and one small-star step over links (a, b) with a > b."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tableload.llm.common import stored, text_slices
+from tableload.llm.common import release_memory, stored, text_slices
 from tableload.llm.segments import encoder
 
 LENGTH = 2048
@@ -225,7 +225,7 @@ def tokenized(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(vocabulary).encode
-        for batch in text_slices(batches, 12 << 20):
+        for batch in text_slices(batches, 6 << 20):
             which, starts, lengths, totals, pieces = [], [], [], [], []
             for i, ids in enumerate(encode_texts(batch.column("text"))):
                 ids += END_ID.to_bytes(4, "little")
@@ -249,6 +249,8 @@ def tokenized(
                 ],
                 ["row", "doc_id", "start", "length", "doc_tokens", held[0]],
             )
+            del which, starts, lengths, totals, pieces, rows
+            release_memory()
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")

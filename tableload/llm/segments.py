@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 
 KNOWN_SEGMENTS = 600_000
 CAREFUL_SEGMENTS = 100_000
-KNOWN_WORDS = 1_000_000  # about 30 MB
+KNOWN_WORDS = 400_000
 _LATIN = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _WORDS = re.compile(f" ?[{_LATIN}]+(?:'[{_LATIN}]+)*|(?:(?! ?[{_LATIN}])[\\s\\S])+")
 _END_MARKS = (".", ",", ";", ":", "!", "?")  # one of these after a word is a segment of its own
