@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tableload.llm.common import array_slices, free_name, stored, text_slices
+from tableload.llm.common import array_slices, free_name, release_memory, stored, text_slices
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -33,7 +33,7 @@ PASSAGE = 2
 SENTENCE = 16
 SAMPLE = (4_000, 12_000)  # most toxic and ordinary rows to learn from; a quarter of them calibrates
 THRESHOLD = 0.7
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -219,7 +219,8 @@ def _ratios(texts: DataFrame, model: Model, text_col: str, name: str) -> DataFra
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ratios = WordRatios(shared.value)
         for batch in batches:
-            found = [evidence(shared.value, t, ratios) for part in array_slices(batch) for t in part.to_pylist()]
+            found = [evidence(shared.value, t, ratios) for part in array_slices(batch, 2 << 20) for t in part.to_pylist()]
+            release_memory()
             yield pa.array(found, pa.float64())
 
     return texts.withColumn(name, F.arrow_udf(run, "double")(F.col(text_col)))
