@@ -52,6 +52,11 @@ TOUCHED_FILES = 10_000
 FILE_COLUMN = "_file"
 POSITION_COLUMN = "_pos"
 
+# Deleted positions as bitmaps: rows of a file that one covers (as Spark's bitmap functions have it), and the most bytes that
+# are broadcast of them: those of some 450 million rows in touched files.
+BLOCK_ROWS = 1 << 15
+BITMAP_BYTES = 64 << 20
+
 DELETE_SCHEMA = T.StructType([T.StructField(FILE_COLUMN, T.StringType()), T.StructField(POSITION_COLUMN, T.LongType())])
 
 
@@ -503,8 +508,9 @@ class Table:
     ) -> DataFrame:
         """Visible rows, now or as of a version, or only those of loads after version ``since`` (0: all).
 
-        Deleted positions are taken out by an anti-join. A delete set that Spark may broadcast is broadcast; of a larger
-        one, the files that it touches are told apart first: only their rows are shuffled, and each file is
+        Deleted positions are taken out by an anti-join. A delete set whose rows, as they lie in memory, fit what Spark may
+        broadcast is broadcast; a larger one as bitmaps of the touched files' rows, up to ``BITMAP_BYTES``. Beyond that
+        the files that it touches are told apart first: only their rows are shuffled, and each file is
         scanned once. ``touched_only`` forces one way (False: one join; True: files told apart by joins). A ``since`` before the last replace or
         truncate is refused, as the rows read up to then are void.
 
@@ -605,9 +611,18 @@ class Table:
     def _without_deleted(self, rows: DataFrame, deletes: Sequence[Entry], touched_only: bool | None) -> DataFrame:
         gone = self.spark.read.schema(DELETE_SCHEMA).parquet(*[e.path for e in deletes])
         keys = [FILE_COLUMN, POSITION_COLUMN]
+        limit = _broadcast_limit(self.spark)
+        name = max(len(e.path) for e in deletes) + 128  # a joined row holds its file's name twice
+        if sum(e.rows for e in deletes) * (2 * name + 64) > limit:
+            # Spark goes by the size of the files, where names and positions are encoded, and would broadcast far too much
+            gone = gone.hint("merge")
+            if touched_only is None and limit > 0:
+                blocks = gone.select(FILE_COLUMN, _block()).distinct().count()
+                if blocks * (2 * name + 64 + BLOCK_ROWS // 8) <= BITMAP_BYTES:
+                    return _without_marked(rows, gone)
+        elif touched_only is None:
+            return rows.join(gone, keys, "left_anti")
         if touched_only is None:
-            if _plan_bytes(gone) <= _broadcast_limit(self.spark):
-                return rows.join(gone, keys, "left_anti")
             names = [r[0] for r in gone.select(FILE_COLUMN).distinct().take(TOUCHED_FILES + 1)]
             if len(names) <= TOUCHED_FILES:  # the scans skip files by name
                 touched = F.col(FILE_COLUMN).isin(names)
@@ -646,8 +661,25 @@ def _listed_files(frames: Sequence[DataFrame]) -> str:
     return f"{count} {digest.hexdigest()}"
 
 
-def _plan_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _block() -> Column:
+    """Which block of its file a row lies in."""
+    return F.shiftright(POSITION_COLUMN, BLOCK_ROWS.bit_length() - 1).alias("_block")
+
+
+def _without_marked(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows that no bitmap of deleted positions marks. One bit a row of a touched block is broadcast, whatever is deleted."""
+    place = F.col(POSITION_COLUMN).bitwiseAND(F.lit(BLOCK_ROWS - 1))
+    marks = gone.groupBy(FILE_COLUMN, _block()).agg(F.bitmap_construct_agg(place).alias("_bits"))
+    # as numbers of eight bytes, which a row looks up without copying its block's bitmap
+    words = F.transform(
+        F.sequence(F.lit(0), F.lit(BLOCK_ROWS // 64 - 1)),
+        lambda i: F.conv(F.hex(F.substring("_bits", 8 * i + 1, F.lit(8))), 16, -10).cast("bigint"),
+    )
+    marks = marks.select(F.col(FILE_COLUMN).alias("_marked_file"), F.col("_block").alias("_marked_block"), words.alias("_marked"))
+    bit = 8 * (7 - F.shiftright(place, 3).bitwiseAND(F.lit(7))) + place.bitwiseAND(F.lit(7))  # the first byte is a word's highest
+    deleted = F.getbit(F.get("_marked", F.shiftright(place, 6).cast("int")), bit.cast("int")) == 1
+    same = (F.col(FILE_COLUMN) == F.col("_marked_file")) & (_block() == F.col("_marked_block"))
+    return rows.join(F.broadcast(marks), same & deleted, "left_anti")
 
 
 def _broadcast_limit(spark: SparkSession) -> int:

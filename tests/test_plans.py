@@ -155,6 +155,53 @@ def test_large_delete_sets_shuffle_touched_files_only(spark, warehouse, plan):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+EDGES = [0, 1, 7, 8, 63, 64, 32767, 32768, 65535, 65536, 99_999]
+
+
+def deleted_by_the_thousand(spark, warehouse):
+    """A table of one file, from which two sets of rows are deleted: their names take a few bytes on disk, much in memory."""
+    table = warehouse.table("ns", "wide")
+    table.load(spark.range(100_000).withColumnRenamed("id", "key").coalesce(1))
+    table.delete_where("key % 3 = 1 and key % 7 <> 1")
+    table.delete_where(F.col("key").isin(EDGES) | (F.col("key") % 5 == 2))
+    return table, {k for k in range(100_000) if not (k % 3 == 1 and k % 7 != 1 or k in EDGES or k % 5 == 2)}
+
+
+def test_deletes_that_outgrow_a_broadcast_in_memory_become_bitmaps(spark, warehouse):
+    table, kept = deleted_by_the_thousand(spark, warehouse)
+    df = table.read(["key"])
+    rows = df.collect()
+    assert len(rows) == len(kept) and {r[0] for r in rows} == kept
+    assert broadcast_rows(df) == [4], "a row for each block of the file, not for each deleted row"
+    assert {r[0] for r in table.read(["key"], positions=True).collect()} == kept and table.count() == len(kept)
+
+
+def test_deletes_that_outgrow_the_bitmaps_are_not_broadcast(spark, warehouse, plan, monkeypatch):
+    table, kept = deleted_by_the_thousand(spark, warehouse)
+    monkeypatch.setattr("tableload.plans.table.BITMAP_BYTES", 0, raising=False)
+    for touched_only in (None, False):
+        df = table.read(["key"], touched_only=touched_only)
+        rows = df.collect()
+        assert len(rows) == len(kept) and {r[0] for r in rows} == kept
+        assert "SortMergeJoin" in plan(df) and broadcast_rows(df) == []
+
+
+def broadcast_rows(df):
+    """Rows of each broadcast, once ``df`` has run."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        if node.nodeName().startswith("BroadcastExchange"):
+            out.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return out
+
+
 def scanned_files(df):
     """Files read by each scan of table rows, once ``df`` has run."""
     out, todo = [], [df._jdf.queryExecution().executedPlan()]
