@@ -25,12 +25,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tableload.llm.common import components, free_name, stored, text_slices
+from tableload.llm.common import components, free_name, release_memory, stored, text_slices
 
 SHINGLE_WORDS = 5
 SIMILARITY = 80  # hundredths
 SUMMARY_KEYS = 1 << 17  # frequent shingles known to every task: 2 MB
 SUMMARY_LOCAL = 1 << 18  # shingles one task keeps while it counts
+KNOWN_WORDS = 100_000  # words whose hashes one task keeps: 15 MB
+SLICE_BYTES = 2 << 20  # texts that one task turns into Python objects at a time
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -39,7 +41,7 @@ class _WordHashes(dict):
     """64-bit hashes of words, kept while there are not too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -97,15 +99,19 @@ def frequent_shingles(docs: DataFrame, text_col: str, size: int, keys: int) -> t
             some, n = some[n > 1], n[n > 1]
             return _reduced(np.concatenate([found, some]), np.concatenate([counts, n]), SUMMARY_LOCAL)
 
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, SLICE_BYTES):
             for text in _texts(batch, text_col):
                 waiting.append(shingle_set(text, hashes, size))
                 rows += len(waiting[-1])
             if rows > 2_000_000:
                 found, counts = merge()
                 waiting, rows = [], 0
+                release_memory()
         if waiting:
             found, counts = merge()
+        waiting.clear()
+        hashes.clear()
+        release_memory()
         often = counts >= 4
         yield pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(counts[often])], ["token", "n"])
 
@@ -162,7 +168,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, similarity
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, (known, often) = _WordHashes(), shared.value
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, SLICE_BYTES):
             sets = [shingle_set(t, hashes, size) for t in _texts(batch, "text")]
             prefixes = [prefix_of(s, known, often, similarity) for s in sets]
             ends = np.cumsum([0, *map(len, prefixes)])
@@ -179,6 +185,10 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, similarity
                 ],
                 ["row", "doc_id", "n", "set_key", "prefix_key", "signature", "prefix"],
             )
+            del sets, prefixes, flat
+            release_memory()
+        hashes.clear()
+        release_memory()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "row long, doc_id long, n long, set_key binary, prefix_key binary, signature binary, prefix array<long>"
@@ -214,19 +224,22 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, SLICE_BYTES):
             right = [
                 xxhash.xxh3_128_digest(shingle_set(t, hashes, size).tobytes()) == k
                 for t, k in zip(_texts(batch, "text"), batch.column("set_key").to_pylist())
             ]
             yield batch.select(["class", "text"]).filter(pa.array(right, pa.bool_()))
+            release_memory()
+        hashes.clear()
+        release_memory()
 
     # several rows of one id and one set may differ in case or spaces: any of them has the set
     texts = stored(found.mapInArrow(own, "class long, text string").dropDuplicates(["class"]), "texts")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, kept = _WordHashes(), {}
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, SLICE_BYTES):
             fits = []
             for a, left, right in zip(batch.column("a").to_pylist(), _texts(batch, "text_a"), _texts(batch, "text_b")):
                 if a not in kept:
@@ -237,6 +250,10 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 fits.append(100 * both >= similarity * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+            release_memory()
+        hashes.clear()
+        kept.clear()
+        release_memory()
 
     wide = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b"

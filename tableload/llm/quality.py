@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tableload.llm.common import array_slices, stored
+from tableload.llm.common import array_slices, release_memory, stored
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -64,7 +64,8 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
 def _measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """``COUNTS`` of whole texts: only texts come to Python, and only numbers go back."""
     for texts in batches:
-        slices = [_counts(part) for part in array_slices(texts.cast(pa.string()))]
+        slices = [_counts(part) for part in array_slices(texts.cast(pa.string()), 2 << 20)]
+        release_memory()  # also what earlier stages have left in the worker
         yield pa.concat_arrays(slices) if slices else pa.array([], pa.struct([(c, pa.int64()) for c in COUNTS]))
 
 

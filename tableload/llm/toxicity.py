@@ -295,8 +295,9 @@ def train(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = WordRatios(shared.value)
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, 2 << 20):
             found = [text_ratios(t, ratios) for t in batch.column("text").to_pylist()]
+            release_memory()
             columns = [batch.column("toxic"), *[pa.array([float(r[k]) for r in found]) for k in range(4)]]
             yield pa.RecordBatch.from_arrays(columns, ["toxic", "passage", "whole", "best", "windows"])
 

@@ -113,3 +113,12 @@ def test_components_of_a_chain_a_star_and_a_pair(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(500, i) for i in range(501, 560)] + [(7, 3), (3, 7), (9, 9)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[i] == 100 for i in range(100, 141)) and all(got[i] == 500 for i in range(500, 560)) and got[3] == got[7] == 3
+
+
+def test_workers_keep_few_words():
+    """A worker's cache is small beside an executor's memory, and what it has dropped changes no set."""
+    hashes = jaccard._WordHashes()
+    texts = [b" ".join(b"word%d" % i for i in range(k, k + 5_000)) for k in range(0, 300_000, 4_000)]
+    sets = [jaccard.shingle_set(text, hashes) for text in texts]
+    assert sum(len(k) + 120 for k in hashes) < 20 << 20
+    assert all((jaccard.shingle_set(text, jaccard._WordHashes()) == found).all() for text, found in zip(texts, sets))
