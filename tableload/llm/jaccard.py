@@ -9,7 +9,8 @@ Joining goes in two rounds, so that a family of m near copies does not cost m*m
 class with its group's first and each group with the pivots of the shingles it shares. The second takes every other
 pair of groups that shares a prefix shingle and is not already one component, and verifies all their pairs of classes
 from different components. Every candidate pair is thus either verified or already connected, which is all that
-components need.
+components need. A pair of the second round is made at the first shingle it shares, not at each, and only if the
+shingles that one prefix holds and no other group does leave enough to share.
 
 The order of shingles uses a bounded summary of frequent ones. It only steers how many candidates there are: any
 order common to all sets gives the same components.
@@ -23,7 +24,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tableload.llm.common import components, free_name, release_memory, stored, text_slices
 
@@ -33,6 +34,7 @@ SUMMARY_KEYS = 1 << 17  # frequent shingles known to every task: 2 MB
 SUMMARY_LOCAL = 1 << 18  # shingles one task keeps while it counts
 KNOWN_WORDS = 100_000  # words whose hashes one task keeps: 15 MB
 SLICE_BYTES = 2 << 20  # texts that one task turns into Python objects at a time
+BEFORE = 4  # shingles kept with each posting of the second round, to see that a pair has met before
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -141,6 +143,17 @@ def prefix_of(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, simi
     return np.concatenate([rare, often[np.lexsort((often, counts[at]))]])[:p]
 
 
+def _last_place(prefix: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> int:
+    """Where a prefix ends in the order of shingles: a number that never falls along the order; distinct ones may share it."""
+    if not len(prefix):
+        return 0
+    at, token = int(np.searchsorted(frequent, prefix[-1])), int(prefix[-1])
+    if at == len(frequent) or int(frequent[at]) != token:
+        return token >> 2
+    count = int(counts[at])
+    return (1 << 62) + (count << 32) + (token >> 32) if count < 1 << 30 else (1 << 63) - 1
+
+
 def _signature(tokens: np.ndarray) -> bytes:
     """Shingles per cell of the hash space, about two a cell, at most 255; the number of cells is a power of two."""
     bits = min(16, max(4, (len(tokens) // 2).bit_length()))
@@ -162,7 +175,7 @@ def _least_difference(a: bytes, b: bytes) -> int:
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, size: int, similarity: int, keys: int) -> DataFrame:
-    """Per row of ``docs``: row, doc_id, n, set_key, prefix_key, signature, prefix. Stored."""
+    """Per row of ``docs``: row, doc_id, n, set_key, prefix_key, signature, last, prefix. Stored."""
     frequent, counts = frequent_shingles(docs, text_col, size, keys)
     shared = docs.sparkSession.sparkContext.broadcast((frequent, counts))
 
@@ -181,9 +194,10 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, similarity
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.array([xxhash.xxh3_128_digest(p.tobytes(), seed=len(s)) for s, p in zip(sets, prefixes)], pa.binary()),
                     pa.array([_signature(s) for s in sets], pa.binary()),
+                    pa.array([_last_place(p, known, often) for p in prefixes], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64))),
                 ],
-                ["row", "doc_id", "n", "set_key", "prefix_key", "signature", "prefix"],
+                ["row", "doc_id", "n", "set_key", "prefix_key", "signature", "last", "prefix"],
             )
             del sets, prefixes, flat
             release_memory()
@@ -191,7 +205,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, similarity
         release_memory()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "row long, doc_id long, n long, set_key binary, prefix_key binary, signature binary, prefix array<long>"
+    schema = "row long, doc_id long, n long, set_key binary, prefix_key binary, signature binary, last long, prefix array<long>"
     return stored(rows.mapInArrow(describe, schema), "sets")
 
 
@@ -208,11 +222,12 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
         )
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, SLICE_BYTES):  # signatures of long texts have up to 64 KB
             total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
             apart = np.fromiter(map(_least_difference, batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist()), np.int64, len(total))
             most = (total - apart) // 2
             yield batch.select(["a", "b"]).filter(pa.array(100 * most >= similarity * (total - most)))
+        release_memory()
 
     pairs = stored(pairs.filter(_alike_in_size("n_a", "n_b", similarity)).mapInArrow(near, "a long, b long"), "near-pairs")
 
@@ -266,19 +281,47 @@ def _order():
     return F.xxhash64("group", F.pmod("token", F.lit(4)))
 
 
-def _open_pairs(postings: DataFrame, spans: DataFrame, placed: DataFrame, similarity: int) -> DataFrame:
-    """All pairs (a, b) of classes from different components whose groups share a prefix shingle or are one group."""
+def _open_postings(postings: DataFrame, groups: DataFrame, spans: DataFrame, similarity: int) -> DataFrame:
+    """Postings of shingles whose groups are not all in one component, with lo, hi, last, alone and before; stored.
+
+    ``alone`` counts the shingles of a prefix that stand in no other, or in those of its own component only;
+    ``before`` holds the open shingles that stand just before this one.
+    """
+    postings = postings.select("token", "group", "n", "pos")
+    mixed = postings.join(spans, "group").groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h"))
+    rows = postings.join(mixed.filter("l <> h").select("token"), "token", "left_semi")
+    own = Window.partitionBy("group")
+    length = F.expr(f"n - ({similarity} * n + 99) div 100 + 1")
+    rows = rows.select(
+        "*",
+        (length - F.count("*").over(own)).alias("alone"),
+        F.collect_list("token").over(own.orderBy("pos").rowsBetween(-BEFORE, -1)).alias("before"),
+    )
+    return stored(rows.join(spans, "group").join(groups.select("group", "last"), "group"), "open-postings")
+
+
+def _meetings(postings: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (g, h) of groups from different components that share a prefix shingle; a pair may come more than once."""
     x, y = postings.alias("x"), postings.alias("y")
     # the first shingle that two similar sets share stands where enough of both is left: at it, if not at the others,
-    # the pair passes
-    reach = F.expr("least(x.n - x.pos, y.n - y.pos)")
+    # the pair passes; where both prefixes hold one that stands before, the pair has met there. What a prefix alone
+    # holds is not in a set whose prefix ends later: it would stand in that prefix, too
+    reach = F.expr(
+        "least(x.n - x.pos, y.n - y.pos, if(x.last < y.last, x.n - x.alone, x.n), if(y.last < x.last, y.n - y.alone, y.n))"
+    )
     pairs = x.join(
         y,
         F.expr("x.token = y.token and x.`group` < y.`group` and not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo)")
         & _alike_in_size("x.n", "y.n", similarity)
-        & (reach * (100 + similarity) >= F.expr("x.n + y.n") * similarity),
+        & (reach * (100 + similarity) >= F.expr("x.n + y.n") * similarity)
+        & F.expr("not arrays_overlap(x.before, y.before)"),
     )
-    pairs = pairs.select(F.col("x.group").alias("g"), F.col("y.group").alias("h")).distinct()
+    return pairs.select(F.col("x.group").alias("g"), F.col("y.group").alias("h"))
+
+
+def _open_pairs(postings: DataFrame, spans: DataFrame, placed: DataFrame, similarity: int) -> DataFrame:
+    """All pairs (a, b) of classes from different components whose groups can be similar or are one group."""
+    pairs = _meetings(postings, similarity).distinct()
     pairs = pairs.unionByName(spans.filter("lo <> hi").select(F.col("group").alias("g"), F.col("group").alias("h")))
     left = placed.select(F.col("class").alias("a"), F.col("group").alias("g"), F.col("component").alias("c"))
     right = placed.select(F.col("class").alias("b"), F.col("group").alias("h"), F.col("component").alias("d"))
@@ -314,7 +357,9 @@ def near_duplicates(
         "classes",
     )
     groups = stored(
-        full.groupBy("prefix_key").agg(F.min("row").alias("group"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
+        full.groupBy("prefix_key").agg(
+            F.min("row").alias("group"), F.first("n").alias("n"), F.first("last").alias("last"), F.first("prefix").alias("prefix")
+        ),
         "groups",
     )
     members = stored(classes.select("class", "prefix_key").join(groups.select("group", "prefix_key"), "prefix_key").drop("prefix_key"), "members")
@@ -345,9 +390,7 @@ def near_duplicates(
     placed = members.join(joined.withColumnRenamed("node", "class"), "class", "left")
     placed = stored(placed.select("class", "group", F.coalesce("component", "class").alias("component")), "placed")
     spans = placed.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    postings = postings.select("token", "group", "n", "pos").join(spans, "group")
-    mixed = postings.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("token")
-    postings = stored(postings.join(mixed, "token", "left_semi"), "open-postings")
+    postings = _open_postings(postings, groups, spans, similarity)
     rest = _open_pairs(postings, spans, placed, similarity)
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     _, more = verified(rest.join(tried, ["a", "b"], "left_anti"))

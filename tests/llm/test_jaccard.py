@@ -122,3 +122,70 @@ def test_workers_keep_few_words():
     sets = [jaccard.shingle_set(text, hashes) for text in texts]
     assert sum(len(k) + 120 for k in hashes) < 20 << 20
     assert all((jaccard.shingle_set(text, jaccard._WordHashes()) == found).all() for text, found in zip(texts, sets))
+
+
+@pytest.fixture
+def meetings(monkeypatch):
+    """(rows, distinct pairs) of every join of the second round."""
+    seen, plain = [], jaccard._meetings
+
+    def counted(*args):
+        pairs = plain(*args)
+        seen.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_meetings", counted)
+    return seen
+
+
+def family(pick, members, edits, name="b", length=300):
+    """Copies of one text with some words replaced by words of their own."""
+    for i in range(members):
+        copy = [f"{name}{k}" for k in range(length)]
+        for _ in range(pick.choice(edits)):
+            copy[pick.randrange(length)] = f"{name}u{i}x{pick.random()}"
+        yield " ".join(copy)
+
+
+def test_pairs_of_a_family_below_the_threshold_meet_about_once(spark, meetings):
+    data = [(i, text, None, None) for i, text in enumerate(family(random.Random(6), 40, [7]))]
+    got = jaccard.near_duplicates(spark.createDataFrame(data, SCHEMA), summary_keys=0)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(data, 5, 80)
+    [(rows, pairs)] = meetings
+    assert 0 < pairs <= 40 * 39 // 2 and rows < 2 * pairs  # one for each of some twenty shingles before
+
+
+def test_texts_that_share_a_passage_each_do_not_meet(spark, meetings):
+    data = []
+    for i in range(24):
+        parts = [f"own{i}x{k}" for k in range(150)]
+        for j in range(24):
+            if i != j:
+                parts += [f"p{min(i, j)}x{max(i, j)}w{k}" for k in range(5)] + [f"gap{i}x{j}"]
+        data.append((i, " ".join(parts), None, None))
+    got = jaccard.near_duplicates(spark.createDataFrame(data, SCHEMA))
+    assert sorted(r.component_id for r in got.collect()) == list(range(24))
+    assert [rows for rows, _ in meetings] == [0]  # those with a passage in both prefixes before
+
+
+@pytest.mark.parametrize("seed, parts", [(1, 1), (2, 8)])
+def test_families_around_the_threshold(spark, seed, parts):
+    """With one partition the summary knows the shingles of the families, with eight it knows none of them."""
+    pick = random.Random(seed)
+    texts = [t for name in "abcdef" for t in family(pick, pick.choice([6, 25]), [0, 1, 2, 3, 4, 5, 8], name, pick.choice([60, 200]))]
+    texts += [" ".join(f"a{k}" for k in range(n)) for n in range(4, 60, 3)] + [f"{t} {u}" for t, u in zip(texts[::5], texts[3::5])]
+    pick.shuffle(texts)
+    data = [(i, text, None, None) for i, text in enumerate(texts)]
+    got = jaccard.near_duplicates(spark.createDataFrame(data, SCHEMA).repartition(parts))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(data, 5, 80)
+
+
+def test_places_follow_the_order_of_shingles():
+    rng = np.random.default_rng(3)
+    tokens = np.unique(rng.integers(0, 2**64, 3000, dtype=np.uint64))
+    for known in (tokens[:0], tokens[::3]):
+        counts = rng.integers(8, 40, len(known)) * rng.choice([1, 1 << 31], len(known))
+        order = jaccard.prefix_of(tokens, known, counts, 0)
+        places = [jaccard._last_place(order[: i + 1], known, counts) for i in range(len(order))]
+        assert len(order) == len(tokens) and places == sorted(places) and 0 <= places[0] and places[-1] < 1 << 63
+    assert jaccard._last_place(tokens[:0], tokens, tokens) == 0
